@@ -38,9 +38,10 @@ def daily_headcount(employee: DataFrame, as_of: dt.date) -> DataFrame:
         .agg(F.sum("delta").alias("delta"))
     )
     by_day = Window.orderBy("day")
+    so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     until = F.coalesce(F.date_sub(F.lead("day").over(by_day), 1), end)
     steps = changes.select(
-        "day", until.alias("until"), F.sum("delta").over(by_day).alias("active_count")
+        "day", until.alias("until"), F.sum("delta").over(so_far).alias("active_count")
     )
     return steps.select(
         F.explode(F.sequence("day", "until")).alias("snapshot_date"), "active_count"

@@ -33,18 +33,21 @@ def _stored(table: str, result: DataFrame, config: Config) -> DataFrame:
     )
 
 
-def gold_tables(
-    employee: DataFrame, department: DataFrame, timesheet: DataFrame, config: Config
-) -> dict[str, DataFrame]:
-    """The six gold tables by name."""
-    results = {
-        "kpi_headcount": kpi.kpi_headcount(employee, config.as_of),
-        "kpi_turnover": kpi.kpi_turnover(employee, config.as_of),
-        "kpi_tenure_by_department": kpi.kpi_tenure_by_department(employee, department, config.as_of),
-        "kpi_attendance": kpi.kpi_attendance(timesheet, employee, department),
-        "kpi_rolling_hours": kpi.kpi_rolling_hours(timesheet, employee, config.rolling_window_rows),
-        "kpi_early_attrition": kpi.kpi_early_attrition(
+def gold_table(
+    table: str, employee: DataFrame, department: DataFrame, timesheet: DataFrame, config: Config
+) -> DataFrame:
+    """One gold table by name."""
+    as_of = config.as_of
+    builders = {
+        "kpi_headcount": lambda: kpi.kpi_headcount(employee, as_of),
+        "kpi_turnover": lambda: kpi.kpi_turnover(employee, as_of),
+        "kpi_tenure_by_department": lambda: kpi.kpi_tenure_by_department(employee, department, as_of),
+        "kpi_attendance": lambda: kpi.kpi_attendance(timesheet, employee, department),
+        "kpi_rolling_hours": lambda: kpi.kpi_rolling_hours(
+            timesheet, employee, config.rolling_window_rows
+        ),
+        "kpi_early_attrition": lambda: kpi.kpi_early_attrition(
             employee, department, config.early_attrition_months
         ),
     }
-    return {table: _stored(table, result, config) for table, result in results.items()}
+    return _stored(table, builders[table](), config)

@@ -7,6 +7,7 @@ lineage: when executors are lost, at most the running stage is recomputed.
 from __future__ import annotations
 
 import logging
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -22,8 +23,8 @@ from muster.operators.conform import (
 from muster.operators.contracts import contract_violations
 from muster.operators.dimensions import departments, organizations
 from muster.operators.quality import quality_checks
-from muster.plans.gold import gold_tables
-from muster.schemas import CONTRACTS
+from muster.plans.gold import gold_table
+from muster.schemas import CONTRACTS, GOLD_TABLES
 from muster.sources.export import export_gold, write_report
 from muster.sources.landing import land_employees, land_timesheets
 from muster.sources.tables import Warehouse
@@ -133,13 +134,11 @@ def quality(warehouse: Warehouse, config: Config) -> list[dict]:
 
 def postprocess(warehouse: Warehouse, config: Config) -> dict[str, int]:
     """Write the gold tables."""
-    tables = gold_tables(
-        warehouse.read("silver", "employee"),
-        warehouse.read("silver", "department"),
-        warehouse.read("silver", "timesheet"),
-        config,
-    )
-    return {table: warehouse.write("gold", table, df) for table, df in tables.items()}
+    silver = [warehouse.read("silver", table) for table in ("employee", "department", "timesheet")]
+    return {
+        table: warehouse.write("gold", table, gold_table(table, *silver, config))
+        for table in GOLD_TABLES
+    }
 
 
 def refresh(
@@ -148,6 +147,7 @@ def refresh(
     warehouse_path: str,
     config: Config | None = None,
     export_path: str | None = None,
+    export_storage: Mapping[str, str] | None = None,
     **landing,
 ) -> Summary:
     """Run all stages in order; ``landing`` holds options of ``land_files``."""
@@ -163,5 +163,5 @@ def refresh(
     if export_path is None:
         log.warning("no export path given, export skipped")
     else:
-        exported = export_gold(warehouse, export_path)
+        exported = export_gold(warehouse, export_path, export_storage)
     return Summary(extracted, transformed, checks, loaded, exported)

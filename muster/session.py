@@ -18,6 +18,14 @@ _SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+# On a cluster shuffles start from many partitions, so that one of them fits into
+# a task's memory at terabytes of shuffled rows, and AQE merges them for smaller
+# ones. Larger scan splits keep the task count of a full scan in bounds.
+_CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
 
 def build_session(
     app: str = "muster",
@@ -27,9 +35,11 @@ def build_session(
 ) -> SparkSession:
     """Session with the settings above; ``master`` only for local runs."""
     builder = SparkSession.builder.appName(app)
+    settings = dict(_SETTINGS)
     if master:
         builder = builder.master(master)
-    settings = dict(_SETTINGS)
+    else:
+        settings.update(_CLUSTER_SETTINGS)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(extra)

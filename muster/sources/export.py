@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+from collections.abc import Mapping
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
@@ -16,7 +17,9 @@ from muster.sources.tables import Warehouse, write_counted
 log = logging.getLogger(__name__)
 
 
-def export_gold(warehouse: Warehouse, target: str) -> dict[str, int]:
+def export_gold(
+    warehouse: Warehouse, target: str, storage: Mapping[str, str] | None = None
+) -> dict[str, int]:
     """Copy each gold table to ``<target>/warehouse/<table>.parquet``; rows per table.
 
     A table that fails is logged and counts 0; the others are still exported.
@@ -25,7 +28,9 @@ def export_gold(warehouse: Warehouse, target: str) -> dict[str, int]:
     for table in GOLD_TABLES:
         path = f"{target.rstrip('/')}/warehouse/{table}.parquet"
         try:
-            summary[f"gold.{table}"] = write_counted(warehouse.read("gold", table), path)
+            summary[f"gold.{table}"] = write_counted(
+                warehouse.read("gold", table), path, storage=storage
+            )
         except (PySparkException, Py4JError):
             log.exception("export of %s failed", table)
             summary[f"gold.{table}"] = 0

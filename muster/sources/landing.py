@@ -6,7 +6,7 @@ import csv
 import datetime as dt
 import logging
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
@@ -41,7 +41,9 @@ def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return
 
 
-def file_headers(spark: SparkSession, path: str, glob: str, recursive: bool) -> DataFrame:
+def file_headers(
+    spark: SparkSession, path: str, glob: str, recursive: bool, **storage: str
+) -> DataFrame:
     """``path, header`` of every matching file, read by one task per file.
 
     The split sizes that put each file alone into one task are set on a session of
@@ -53,8 +55,7 @@ def file_headers(spark: SparkSession, path: str, glob: str, recursive: bool) ->
     session.conf.set("spark.sql.files.openCostInBytes", _WHOLE_FILE)
     session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
     lines = (
-        session.read.option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", recursive)
+        session.read.options(pathGlobFilter=glob, recursiveFileLookup=recursive, **storage)
         .text(path)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("header"))
         .filter(F.length(F.trim("header")) > 0)
@@ -123,17 +124,19 @@ def land_files(
     ignore_case: bool = False,
     null_tokens: Sequence[str] = CSV_NULL_TOKENS,
     multi_line: bool = False,
+    storage: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """All files below ``path`` whose name holds ``pattern``, as one text table.
 
-    ``path`` may be on any file system Spark can read. A CSV read maps columns by
+    ``path`` may be on any file system Spark can read, with ``storage`` holding the
+    file system's own settings. A CSV read maps columns by
     position, so files are grouped by their header and each layout is read once;
     one layout, the usual case, is a single read of the folder. Without a matching
     file the result is empty.
     """
-    glob = name_glob(pattern, ignore_case)
+    glob, storage = name_glob(pattern, ignore_case), dict(storage or {})
     try:
-        headers = file_headers(spark, path, glob, recursive)
+        headers = file_headers(spark, path, glob, recursive, **storage)
         layouts = {header_names(r.header) for r in headers.select("header").distinct().collect()}
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
@@ -143,15 +146,16 @@ def land_files(
         log.warning("no file matches %s in %s", glob, path)
         return spark.createDataFrame([], TABLES["bronze", table])
 
-    options = {"pathGlobFilter": glob, "recursiveFileLookup": str(recursive).lower()}
     if len(layouts) == 1:
-        parts = [_read_layout(spark, [path], layouts.pop(), multi_line, **options)]
+        options = {"pathGlobFilter": glob, "recursiveFileLookup": str(recursive).lower()}
+        parts = [_read_layout(spark, [path], layouts.pop(), multi_line, **options, **storage)]
     else:
         files: dict[tuple[str, ...], list[str]] = {}
         for row in headers.collect():
             files.setdefault(header_names(row.header), []).append(_literal_path(row.path))
         parts = [
-            _read_layout(spark, paths, names, multi_line) for names, paths in sorted(files.items())
+            _read_layout(spark, paths, names, multi_line, **storage)
+            for names, paths in sorted(files.items())
         ]
     landed = [_select_declared(part, columns, null_tokens, loaded_at) for part in parts]
     # Unique, and fixed once the table is written; nothing relies on the value itself.

@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from muster.schemas import TABLES
 
 
-def write_counted(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> int:
+def write_counted(
+    df: DataFrame,
+    path: str,
+    partition_by: tuple[str, ...] = (),
+    storage: Mapping[str, str] | None = None,
+) -> int:
     """Overwrite a Parquet folder and return the row count seen while writing."""
     observed = Observation()
     counted = df.observe(observed, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    writer = counted.write.mode("overwrite").options(**(storage or {}))
+    writer.partitionBy(*partition_by).parquet(path)
     return observed.get.get("rows", 0)
 
 
@@ -53,12 +61,15 @@ class Warehouse:
 
     def read(self, layer: str, table: str) -> DataFrame:
         """A stored table; one that was never written reads as empty."""
+        schema = TABLES[layer, table]
+        if table == "timesheet":
+            schema = T.StructType([*schema.fields, T.StructField("punch_month", T.StringType())])
         try:
-            return self.spark.read.parquet(self.path(layer, table))
+            return self.spark.read.schema(schema).parquet(self.path(layer, table))
         except AnalysisException as error:
-            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], TABLES[layer, table])
+            return self.spark.createDataFrame([], schema)
 
     def replace(self, layer: str, table: str, df: DataFrame) -> int:
         """Replace a table by rows derived from itself.

@@ -79,31 +79,31 @@ def kpi_tenure_by_department(v: Views) -> DataFrame:
 
 @_query
 def kpi_working_hours(v: Views) -> DataFrame:
-    rows = kpi.kpi_working_hours(v.timesheet, v.employee, v.department)
+    rows = kpi.kpi_working_hours(v.timesheet, v.staff, v.department)
     return kpi.report_order("kpi_working_hours", rows)
 
 
 @_query
 def kpi_late_arrivals(v: Views) -> DataFrame:
-    rows = kpi.kpi_late_arrivals(v.timesheet, v.employee, v.department)
+    rows = kpi.kpi_late_arrivals(v.timesheet, v.staff, v.department)
     return kpi.report_order("kpi_late_arrivals", rows)
 
 
 @_query
 def kpi_early_departures(v: Views) -> DataFrame:
-    rows = kpi.kpi_early_departures(v.timesheet, v.employee, v.department)
+    rows = kpi.kpi_early_departures(v.timesheet, v.staff, v.department)
     return kpi.report_order("kpi_early_departures", rows)
 
 
 @_query
 def kpi_overtime(v: Views) -> DataFrame:
-    rows = kpi.kpi_overtime(v.timesheet, v.employee, v.department)
+    rows = kpi.kpi_overtime(v.timesheet, v.staff, v.department)
     return kpi.report_order("kpi_overtime", rows)
 
 
 @_query
 def kpi_rolling_hours(v: Views) -> DataFrame:
-    return kpi.report_order("kpi_rolling_hours", kpi.kpi_rolling_hours(v.timesheet, v.employee))
+    return kpi.report_order("kpi_rolling_hours", kpi.kpi_rolling_hours(v.timesheet, v.staff))
 
 
 @_query
@@ -114,7 +114,7 @@ def kpi_early_attrition(v: Views) -> DataFrame:
 
 @_query
 def kpi_attendance(v: Views) -> DataFrame:
-    rows = kpi.kpi_attendance(v.timesheet, v.employee, v.department)
+    rows = kpi.kpi_attendance(v.timesheet, v.staff, v.department)
     return kpi.report_order("kpi_attendance", rows)
 
 
@@ -138,7 +138,7 @@ def served_tenure(v: Views) -> DataFrame:
 
 @_query
 def served_attendance(v: Views) -> DataFrame:
-    return feeds.served_attendance(v.timesheet, v.employee, v.department)
+    return feeds.served_attendance(v.timesheet, v.staff, v.department)
 
 
 @_query
@@ -146,26 +146,26 @@ def served_early_attrition(v: Views) -> DataFrame:
     return feeds.served_early_attrition(v.employee, v.department)
 
 
-def _gold(v: Views) -> dict[str, DataFrame]:
-    return gold.gold_tables(v.employee, v.department, v.timesheet, CONFIG)
+def _gold(v: Views, table: str) -> DataFrame:
+    return gold.gold_table(table, v.employee, v.department, v.timesheet, CONFIG)
 
 
 @_query
 def chart_headcount_feed(v: Views) -> DataFrame:
-    rows = feeds.chart_headcount_feed(_gold(v)["kpi_headcount"])
+    rows = feeds.chart_headcount_feed(_gold(v, "kpi_headcount"))
     return rows.withColumn("active_count", F.col("active_count").cast("bigint"))
 
 
 @_query
 def chart_attendance_feed(v: Views) -> DataFrame:
-    rows = feeds.chart_attendance_feed(_gold(v)["kpi_attendance"])
+    rows = feeds.chart_attendance_feed(_gold(v, "kpi_attendance"))
     counts = ("late_arrival_count", "early_departure_count", "overtime_count")
     return rows.withColumns({c: F.col(c).cast("bigint") for c in counts})
 
 
 @_query
 def chart_tenure_feed(v: Views) -> DataFrame:
-    return feeds.chart_tenure_feed(_gold(v)["kpi_tenure_by_department"]).withColumns(
+    return feeds.chart_tenure_feed(_gold(v, "kpi_tenure_by_department")).withColumns(
         {
             "avg_tenure_years": F.col("avg_tenure_years").cast("double"),
             "employee_count": F.col("employee_count").cast("bigint"),
@@ -534,8 +534,8 @@ def land_timesheets(v: Views) -> DataFrame:
 def warehouse_roundtrip(v: Views) -> DataFrame:
     """Gold tables written, exported and read back: rows and a checksum per table."""
     warehouse = Warehouse(v.spark, shared_folder(v.spark, "roundtrip"))
-    for table, df in _gold(v).items():
-        warehouse.write("gold", table, df)
+    for table in GOLD_TABLES:
+        warehouse.write("gold", table, _gold(v, table))
     target = shared_folder(v.spark, "export")
     export.export_gold(warehouse, target)
     measures = {

@@ -51,7 +51,15 @@ class Views:
 
     @cached_property
     def people(self) -> DataFrame:
-        """Customers with nation, region, first order day and, for some, the next order day."""
+        """Customers with nation and region."""
+        customer = self.table("customer").filter("c_mktsegment <> 'BUILDING'")
+        return customer.join(
+            self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey")
+        ).join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+
+    @cached_property
+    def employed(self) -> DataFrame:
+        """People with their first order day and, for some, the next order day."""
         by_customer = Window.partitionBy("o_custkey")
         days = self.table("orders").select("o_custkey", F.col("o_orderdate").cast("date").alias("d"))
         employment = (
@@ -60,28 +68,37 @@ class Views:
             .groupBy("o_custkey", "hire_date")
             .agg(F.min(F.when(F.col("d") > F.col("hire_date"), F.col("d"))).alias("next_date"))
         )
-        customer = self.table("customer").filter("c_mktsegment <> 'BUILDING'")
-        return (
-            customer.join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .join(employment, F.col("o_custkey") == F.col("c_custkey"), "left")
-            .withColumn("term_date", F.when(F.col("c_acctbal") < 1000, F.col("next_date")))
-        )
+        return self.people.join(
+            employment, F.col("o_custkey") == F.col("c_custkey"), "left"
+        ).withColumn("term_date", F.when(F.col("c_acctbal") < 1000, F.col("next_date")))
 
     @cached_property
     def employee(self) -> DataFrame:
+        """Employees with all their columns."""
+        return self._employees(
+            self.employed,
+            hire_date=F.col("hire_date"),
+            term_date=F.col("term_date"),
+            active_status=F.col("term_date").isNull(),
+        )
+
+    @cached_property
+    def staff(self) -> DataFrame:
+        """Employees for the shift reports, which read no employment dates."""
+        return self._employees(self.people)
+
+    @staticmethod
+    def _employees(people: DataFrame, **dates: Column) -> DataFrame:
         col = F.col
         return _as_table(
-            self.people,
+            people,
             "silver",
             "employee",
+            **dates,
             id=col("c_custkey"),
             client_employee_id=col("c_custkey"),
             first_name=col("c_name"),
             last_name=col("c_mktsegment"),
-            hire_date=col("hire_date"),
-            term_date=col("term_date"),
-            active_status=col("term_date").isNull(),
             organization_id=col("n_regionkey"),
             department_id=F.when(col("c_acctbal") >= 0, col("c_nationkey")),
             manager_employee_id=col("c_custkey") * 2,
@@ -173,7 +190,7 @@ class Views:
         }
         padded = F.concat(F.lit(" "), col("c_custkey").cast("string"), F.lit("\t"))
         return _as_table(
-            self.people,
+            self.employed,
             "bronze",
             "raw_employee",
             id=col("c_custkey"),
