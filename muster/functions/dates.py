@@ -1,63 +1,53 @@
 """Lenient date and time parsing of trimmed text.
 
-Text is rewritten into ISO order with regular expressions and cast to
-``timestamp_ntz``: unlike the ``to_timestamp`` family this never depends on the
-session time zone, and ``try_cast`` turns bad text into null under ANSI mode.
-ISO text, the common case, takes the first branch and runs no rewrite.
+ISO text, the common case, is cast to ``timestamp_ntz`` at once. Only text the cast
+refuses is rewritten into ISO order and cast again. Unlike the ``to_timestamp``
+family this never depends on the session time zone, and ``try_cast`` turns bad text
+into null under ANSI mode. As in ``text``, a column name or SQL expression goes in.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_ISO = r"^\d{4}(-\d{1,2}(-\d{1,2}([ T].*)?)?)?$"
-
-# (pattern, ISO rewrite), tried in this order: a month comes first when ambiguous.
+# (pattern, rewrite), applied in turn; a text that does not match stays as it is.
 _REWRITES = (
-    (r"^(\d{4})/(\d{1,2})/(\d{1,2})([ T].*)?$", "$1-$2-$3$4"),
-    (r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})( .*)?$", "$3-$1-$2$4"),
+    # Twelve-hour clock: 12 AM and 12 PM count from 0, then the suffix goes. The 12 hours
+    # of PM are added after the cast, to texts this list leaves as a time before noon.
+    (r"(?i)^(\S+) 12(:[0-5]\d(?::[0-5]\d)? ?[ap]\.?m\.?)$", "$1 00$2"),
+    (r"(?i)^(\S+ (?:0?\d|1[01]):[0-5]\d(?::[0-5]\d)?) ?[ap]\.?m\.?$", "$1"),
+    # Month first; day first only where the first number cannot be a month.
+    (r"^(0?[1-9]|1[0-2])[/-](\d{1,2})[/-](\d{4})( .*)?$", "$3-$1-$2$4"),
     (r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})( .*)?$", "$3-$2-$1$4"),
+    (r"^(\d{4})/(\d{1,2})/(\d{1,2})([ T].*)?$", "$1-$2-$3$4"),
     (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
     (r"^(\d{4})(\d{2})(\d{2})T?(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:$6"),
+    # Years have four digits and start at 1.
+    (r"^(?!\d{4}(?:-|$)).*|^0000.*", ""),
 )
 
-# Day, 12-hour clock and half of the day, e.g. "5/28/2025 1:05:30 PM".
-_TWELVE_HOUR = r"^(\S+) (0?[1-9]|1[0-2]):([0-5]\d)(?::([0-5]\d))? ?([AaPp])\.?[Mm]\.?$"
-
-_FIRST, _LAST = "0001-01-01 00:00:00", "9999-12-31 23:59:59.999999"
-
-
-def _ntz(c: Column) -> Column:
-    return c.try_cast("timestamp_ntz")
-
-
-def _plain(text: Column) -> Column:
-    """Text with no clock or a 24-hour clock."""
-    rewritten = (
-        F.when(text.rlike(pattern), _ntz(F.regexp_replace(text, pattern, iso)))
-        for pattern, iso in _REWRITES
-    )
-    return F.when(text.rlike(_ISO), _ntz(text)).otherwise(F.coalesce(*rewritten))
+_AFTERNOON = r"(?i) (?:0?\d|1[0-2]):[0-5]\d(?::[0-5]\d)? ?p\.?m\.?$"
 
 
-def _twelve_hour(text: Column) -> Column:
-    def part(group: int) -> Column:
-        return F.regexp_extract(text, _TWELVE_HOUR, group)
+def _ntz(sql: str) -> str:
+    return f"try_cast({sql} as timestamp_ntz)"
 
-    def number(group: int) -> Column:
-        return F.coalesce(part(group).try_cast("int"), F.lit(0))
 
-    hour = number(2) % 12 + F.when(F.lower(part(5)) == "p", 12).otherwise(0)
-    return _plain(part(1)) + F.make_dt_interval(F.lit(0), hour, number(3), number(4))
+def _rewritten(c: str) -> str:
+    iso = reduce(lambda sql, step: f"regexp_replace({sql}, r'{step[0]}', '{step[1]}')", _REWRITES, c)
+    return f"{_ntz(iso)} + if({c} rlike r'{_AFTERNOON}', interval '12' hour, interval '0' hour)"
 
 
-def parse_datetime(text: Column) -> Column:
+def parse_datetime(c: str) -> Column:
     """Date and time of day without time zone; null when the text fits no declared format."""
-    parsed = F.when(text.rlike(_TWELVE_HOUR), _twelve_hour(text)).otherwise(_plain(text))
-    return F.when(parsed.between(_ntz(F.lit(_FIRST)), _ntz(F.lit(_LAST))), parsed)
+    four_digit_year = f"substring({c}, 5, 1) in ('-', '') and not startswith({c}, '0000')"
+    direct = _ntz(f"if({four_digit_year}, {c}, null)")
+    return F.expr(f"coalesce({direct}, {_rewritten(c)})")
 
 
-def parse_date(text: Column) -> Column:
+def parse_date(c: str) -> Column:
     """Date part of ``parse_datetime``."""
-    return parse_datetime(text).cast("date")
+    return parse_datetime(c).cast("date")

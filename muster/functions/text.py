@@ -1,8 +1,13 @@
-"""Cleaning of text columns. Everything here is a Column expression."""
+"""Cleaning of text columns.
+
+Functions take the name of a column, or any SQL expression, and give a Column. They
+are written as SQL text because a file has dozens of columns, and one parsed
+expression is far cheaper to build than a tree of Column calls for each of them.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,60 +37,104 @@ WHITESPACE = (
 # Decimal number with optional sign, fraction, exponent and digit-group underscores.
 # Keeps out the suffixes and words (1.0d, NaN, Infinity) that a cast to double accepts.
 _NUMBER = r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+)?$"
+_LONGEST_BLANK = max(map(len, BLANK_WORDS))
 
 
-def strip(c: Column) -> Column:
-    """Trim every kind of white space from both ends."""
-    return F.trim(c, F.lit(WHITESPACE))
+def literal(text: str) -> str:
+    """SQL string literal; every character is written as its code."""
+    return "'" + "".join(f"\\u{ord(c):04x}" for c in text) + "'"
 
 
-def null_token(c: Column, tokens: Sequence[str] = CSV_NULL_TOKENS) -> Column:
-    """Null where the raw field is one of ``tokens``; the text is not trimmed first."""
-    return F.when(~c.isin(*tokens), c)
+def _among(words: Iterable[str]) -> str:
+    return "(" + ", ".join(map(literal, words)) + ")"
+
+
+def _strip(c: str) -> str:
+    visible = "between 33 and 127"  # ASCII codes
+    return (
+        f"if(ascii({c}) {visible} and ascii(substring({c}, -1, 1)) {visible}, {c}, "
+        f"trim(both {literal(WHITESPACE)} from {c}))"
+    )
+
+
+def _blank_to_null(c: str) -> str:
+    return (
+        f"case when octet_length({c}) > {_LONGEST_BLANK} or lower({c}) not in {_among(BLANK_WORDS)} "
+        f"then {c} end"
+    )
+
+
+def strip(c: str) -> Column:
+    """Trim every kind of white space from both ends.
+
+    Trimming a character set is costly per value, so text that starts and ends
+    with a visible ASCII character passes as it is.
+    """
+    return F.expr(_strip(c))
 
 
-def clean_string(c: Column) -> Column:
+def blank_to_null(c: str) -> Column:
+    """Null where trimmed text is empty or a word for missing; longer text passes at once."""
+    return F.expr(_blank_to_null(c))
+
+
+def clean_string(c: str) -> Column:
     """Trimmed text, null when blank or a word for missing."""
-    trimmed = strip(c)
-    return F.when(~F.lower(trimmed).isin(*BLANK_WORDS), trimmed)
+    return F.expr(_blank_to_null(_strip(c)))
+
+
+def clean_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """``clean_string`` on many columns, in two projections so that each value is trimmed once."""
+    names = list(columns)
+    stripped = df.withColumns({c: strip(c) for c in names})
+    return stripped.withColumns({c: blank_to_null(c) for c in names})
+
 
+def null_token(c: str, tokens: Sequence[str] = CSV_NULL_TOKENS) -> Column:
+    """Null where the raw field is one of ``tokens``; the text is not trimmed first."""
+    return F.expr(f"case when {c} not in {_among(tokens)} then {c} end")
+
+
+# The parsers below expect trimmed text, as ``clean_columns`` leaves it.
 
-def parse_bool(c: Column) -> Column:
+
+def parse_bool(c: str) -> Column:
     """True for a true word, else false; never null."""
-    return F.coalesce(F.lower(strip(c)).isin(*TRUE_WORDS), F.lit(False))
+    return F.expr(f"coalesce(lower({c}) in {_among(TRUE_WORDS)}, false)")
 
 
-def _number_text(c: Column) -> Column:
-    trimmed = strip(c)
-    return F.when(trimmed.rlike(_NUMBER), F.translate(trimmed, "_", ""))
+def _plain_number(c: str) -> str:
+    """Number text without digit-group underscores; null for any other text."""
+    return f"case when {c} rlike r'{_NUMBER}' then translate({c}, '_', '') end"
 
 
-def parse_double(c: Column) -> Column:
+def parse_double(c: str) -> Column:
     """Number as double; text that is no finite number gives null."""
-    return finite(_number_text(c).try_cast("double"))
+    return finite(f"try_cast({_plain_number(c)} as double)")
+
 
+def parse_decimal(c: str, precision: int, scale: int) -> Column:
+    """Number as fixed point, rounded half away from zero; null when invalid or too large.
 
-def parse_decimal(c: Column, precision: int, scale: int) -> Column:
-    """Number as fixed point, rounded half away from zero; null when invalid or too large."""
-    return _number_text(c).try_cast(T.DecimalType(precision, scale))
+    The cast accepts no words or suffixes, so only what it refuses is looked at again.
+    """
+    kind = f"decimal({precision}, {scale})"
+    return F.expr(f"coalesce(try_cast({c} as {kind}), try_cast({_plain_number(c)} as {kind}))")
 
 
-def overflows(c: Column, precision: int, scale: int) -> Column:
+def overflows(c: str, precision: int, scale: int) -> Column:
     """True where the text is a number that ``parse_decimal`` cannot hold; never null."""
-    return parse_double(c).isNotNull() & parse_decimal(c, precision, scale).isNull()
+    return parse_decimal(c, precision, scale).isNull() & parse_double(c).isNotNull()
 
 
-def finite(c: Column) -> Column:
-    """Null instead of NaN or an infinity."""
-    return F.when(~(F.isnan(c) | (F.abs(c) == F.lit(float("inf")))), c)
+def finite(c: str) -> Column:
+    """Null instead of NaN, which sorts above every number, or an infinity."""
+    return F.expr(f"case when abs({c}) < double('infinity') then {c} end")
 
 
 def finite_columns(df: DataFrame) -> DataFrame:
     """Apply ``finite`` to every floating-point column."""
     floating = (T.DoubleType, T.FloatType)
-    return df.select(
-        *(
-            finite(F.col(f.name)).alias(f.name) if isinstance(f.dataType, floating) else F.col(f.name)
-            for f in df.schema.fields
-        )
+    return df.withColumns(
+        {f.name: finite(f.name) for f in df.schema.fields if isinstance(f.dataType, floating)}
     )

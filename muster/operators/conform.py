@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from muster.functions.attendance import attendance_flags
 from muster.functions.dates import parse_date, parse_datetime
-from muster.functions.text import clean_string, parse_bool, parse_decimal, parse_double
+from muster.functions.text import (
+    clean_columns,
+    clean_string,
+    parse_bool,
+    parse_decimal,
+    parse_double,
+)
 from muster.operators.dimensions import department_key, organization_key, with_dimension_codes
 from muster.schemas import EMPLOYEE_FILE_COLUMNS, TABLES, TIMESHEET_FILE_COLUMNS
 
@@ -22,10 +28,6 @@ def timestamp(moment: dt.datetime) -> Column:
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _cleaned(raw: DataFrame, columns: tuple[str, ...], *keep: str) -> DataFrame:
-    return raw.select(*keep, *(clean_string(F.col(c)).alias(c) for c in columns))
-
-
 def spread_nulls(key: Column, row_id: Column) -> Column:
     """Join key whose nulls are spread over many values that match nothing.
 
@@ -37,22 +39,24 @@ def spread_nulls(key: Column, row_id: Column) -> Column:
 
 def conform_employees(raw_employee: DataFrame, now: dt.datetime) -> DataFrame:
     """Typed employees with dimension keys and resolved managers."""
-    cleaned = with_dimension_codes(_cleaned(raw_employee, EMPLOYEE_FILE_COLUMNS))
+    cleaned = with_dimension_codes(
+        clean_columns(raw_employee.select(*EMPLOYEE_FILE_COLUMNS), EMPLOYEE_FILE_COLUMNS)
+    )
     parsed = {
         "id": F.xxhash64("client_employee_id"),
         "organization_id": organization_key(F.col("organization_code")),
         "department_id": department_key(F.col("organization_code"), F.col("department_code")),
-        "scheduled_weekly_hour": parse_decimal(F.col("scheduled_weekly_hour"), 5, 2),
-        "years_of_experience": parse_double(F.col("years_of_experience")),
-        "is_per_deim": parse_bool(F.col("is_per_deim")),
-        "active_status": parse_bool(F.col("active_status")),
+        "scheduled_weekly_hour": parse_decimal("scheduled_weekly_hour", 5, 2),
+        "years_of_experience": parse_double("years_of_experience"),
+        "is_per_deim": parse_bool("is_per_deim"),
+        "active_status": parse_bool("active_status"),
         "created_at": timestamp(now),
         "updated_at": timestamp(now),
     }
     for column in (
         "job_start_date", "dob", "hire_date", "recent_hire_date", "anniversary_date", "term_date",
     ):
-        parsed[column] = parse_date(F.col(column))
+        parsed[column] = parse_date(column)
     schema = TABLES["silver", "employee"]
     typed = cleaned.select(*(parsed.get(n, F.col(n)).alias(n) for n in schema.names))
     return resolve_managers(typed)
@@ -80,10 +84,21 @@ def _employee_ids(employee: DataFrame) -> DataFrame:
     return employee.select("client_employee_id")
 
 
+def _with_clean_id(raw_timesheet: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    return raw_timesheet.select(
+        "id",
+        clean_string("client_employee_id").alias("client_employee_id"),
+        *(c for c in columns if c != "client_employee_id"),
+    )
+
+
 def accepted_timesheets(raw_timesheet: DataFrame, employee: DataFrame) -> DataFrame:
-    """Cleaned text rows whose employee exists."""
-    cleaned = _cleaned(raw_timesheet, (*TIMESHEET_FILE_COLUMNS, "source_file"), "id")
-    return cleaned.join(_employee_ids(employee), "client_employee_id", "left_semi")
+    """Cleaned text rows whose employee exists; only the id is cleaned before the split."""
+    columns = (*TIMESHEET_FILE_COLUMNS, "source_file")
+    known = _with_clean_id(raw_timesheet, columns).join(
+        _employee_ids(employee), "client_employee_id", "left_semi"
+    )
+    return clean_columns(known, columns[1:])
 
 
 def conform_timesheets(
@@ -97,10 +112,10 @@ def conform_timesheets(
     )
     typed = accepted.withColumns(
         {
-            "punch_apply_date": parse_date(F.col("punch_apply_date")),
-            "hours_worked": parse_decimal(F.col("hours_worked"), 6, 2),
+            "punch_apply_date": parse_date("punch_apply_date"),
+            "hours_worked": parse_decimal("hours_worked", 6, 2),
             "created_at": timestamp(now),
-            **{c: parse_datetime(F.col(c)) for c in moments},
+            **{c: parse_datetime(c) for c in moments},
         }
     )
     flagged = typed.withColumns(attendance_flags(*map(F.col, moments), grace_minutes))
@@ -113,9 +128,11 @@ def rejected_timesheets(
     """Dead letters: rows whose employee id is missing or unknown."""
     kept = ("client_employee_id", "punch_apply_date", "hours_worked", "source_file")
     ids = _employee_ids(employee).withColumnRenamed("client_employee_id", "_known")
-    return (
-        _cleaned(raw_timesheet, kept, "id")
+    unknown = (
+        _with_clean_id(raw_timesheet, kept)
         .withColumn("_key", spread_nulls(F.col("client_employee_id"), F.col("id")))
         .join(ids, F.col("_key") == F.col("_known"), "left_anti")
-        .select("id", *kept, F.lit(MISSING_EMPLOYEE).alias("reason"), timestamp(now).alias("rejected_at"))
+    )
+    return clean_columns(unknown, kept[1:]).select(
+        "id", *kept, F.lit(MISSING_EMPLOYEE).alias("reason"), timestamp(now).alias("rejected_at")
     )

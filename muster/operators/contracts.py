@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from muster.functions.text import overflows
+from muster.functions.text import clean_columns, overflows
 from muster.schemas import Contract
 
 
@@ -78,11 +78,12 @@ def contract_violations(
             for column, parent, parent_column in contract.references
         ]
     if raw is not None and contract.fixed_point:
+        texts = clean_columns(raw, [c for c, _, _ in contract.fixed_point])
         parts.append(
             _row_rules(
                 table,
-                raw,
-                [(c, f"fixed_point_{p}_{s}", overflows(F.col(c), p, s)) for c, p, s in contract.fixed_point],
+                texts,
+                [(c, f"fixed_point_{p}_{s}", overflows(c, p, s)) for c, p, s in contract.fixed_point],
             )
         )
     return reduce(DataFrame.unionByName, parts)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from muster.functions.text import clean_string
+from muster.functions.text import clean_columns
 
 
 def organization_key(code: Column) -> Column:
@@ -43,9 +43,7 @@ def _members(raw_employee: DataFrame) -> DataFrame:
         "client_employee_id", "organization_id", "organization_name", "department_id",
         "department_name", "source_file",
     )
-    return with_dimension_codes(
-        raw_employee.select(*(clean_string(F.col(c)).alias(c) for c in columns))
-    )
+    return with_dimension_codes(clean_columns(raw_employee.select(*columns), columns))
 
 
 def _first_name(name: str) -> Column:

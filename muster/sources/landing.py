@@ -100,7 +100,7 @@ def _select_declared(
 ) -> DataFrame:
     present = set(df.columns)
     fields = (
-        null_token(F.col(c), null_tokens) if c in present else F.lit(None).cast("string")
+        null_token(c, null_tokens) if c in present else F.lit(None).cast("string")
         for c in columns
     )
     return df.select(

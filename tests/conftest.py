@@ -67,8 +67,6 @@ def rows(df, *columns):
 
 
 def values(spark, texts, make):
-    """Column function applied to a list of texts, in order."""
-    from pyspark.sql import functions as F
-
+    """Function of a column name applied to a list of texts, in order."""
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
-    return [r.v for r in df.select("i", make(F.col("t")).alias("v")).orderBy("i").collect()]
+    return [r.v for r in df.select("i", make("t").alias("v")).orderBy("i").collect()]

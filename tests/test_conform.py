@@ -1,0 +1,201 @@
+from decimal import Decimal
+
+import pytest
+from conftest import NOW, day, moment, rows
+
+from muster.operators import conform, dimensions
+from muster.operators.contracts import contract_violations
+from muster.schemas import CONTRACTS, TABLES
+
+
+@pytest.fixture
+def raw_employee(table):
+    def person(number, **fields):
+        base = {
+            "id": number,
+            "client_employee_id": f"{number:03}",
+            "first_name": f"F{number}",
+            "organization_id": "North",
+            "organization_name": "North",
+            "department_id": "10",
+            "department_name": "10-Ward",
+            "hire_date": "2020-01-31",
+            "active_status": "1",
+            "source_file": "employee_b.csv",
+        }
+        return {**base, **fields}
+
+    return table(
+        "bronze",
+        "raw_employee",
+        person(1, scheduled_weekly_hour="37.125", years_of_experience="2.5", manager_employee_id="002"),
+        person(2, term_date="2024-05-06", active_status="0", termination_reason=" moved "),
+        person(3, middle_name="[NULL]", last_name=" none ", zip="", hire_date="not a date", dob="2024-13-40"),
+        person(4, scheduled_weekly_hour="abc", manager_employee_id="999"),
+        person(5, scheduled_weekly_hour="99999", manager_employee_id=" 001 ", is_per_deim="yes"),
+        person(6, organization_id="South", organization_name="South", department_name="10-Ward South"),
+        person(7, department_name="10-Other", source_file="employee_a.csv"),
+        person(8, organization_name=None),
+        person(9, organization_id=None, department_id=None),
+        person(10, department_name=" nan "),
+        person(11, department_id="20", department_name="20-Lab", client_employee_id=" 011 "),
+    )
+
+
+def by_number(df):
+    return {int(r.client_employee_id): r for r in df.collect()}
+
+
+def test_dimensions(raw_employee):
+    organizations = dimensions.organizations(raw_employee)
+    departments = dimensions.departments(raw_employee)
+    assert rows(organizations, "code", "name") == [("North", "North"), ("South", "South")]
+    named = departments.join(organizations.selectExpr("id organization_id", "code org"), "organization_id")
+    assert rows(named, "org", "code", "name") == [
+        ("North", "10", "10-Other"),  # the first file's name wins
+        ("North", "20", "20-Lab"),
+        ("South", "10", "10-Ward South"),
+    ]
+
+
+def test_employees(raw_employee):
+    df = conform.conform_employees(raw_employee, NOW)
+    assert df.schema.names == TABLES["silver", "employee"].names
+    assert [f.dataType for f in df.schema] == [f.dataType for f in TABLES["silver", "employee"]]
+    people = by_number(df)
+    assert len(people) == 11
+    one, two, three = people[1], people[2], people[3]
+    assert (one.scheduled_weekly_hour, one.years_of_experience) == (Decimal("37.13"), 2.5)
+    assert (one.hire_date, one.active_status, one.is_per_deim) == (day("2020-01-31"), True, False)
+    assert (two.term_date, two.active_status, two.termination_reason) == (day("2024-05-06"), False, "moved")
+    assert (three.middle_name, three.last_name, three.zip) == ("[NULL]", None, None)
+    assert (three.hire_date, three.dob) == (None, None)
+    assert people[4].scheduled_weekly_hour is None and people[5].scheduled_weekly_hour is None
+    assert people[5].is_per_deim
+    assert {n: p.manager_employee_id for n, p in people.items() if p.manager_employee_id} == {1: "002", 5: "001"}
+    assert people[11].client_employee_id == "011"
+
+
+def test_dimension_keys(raw_employee):
+    people = by_number(conform.conform_employees(raw_employee, NOW))
+    departments = {r.id: r.name for r in dimensions.departments(raw_employee).collect()}
+    organizations = {r.id: r.name for r in dimensions.organizations(raw_employee).collect()}
+    assert organizations[people[6].organization_id] == "South"
+    assert departments[people[1].department_id] == "10-Other"
+    assert departments[people[6].department_id] == "10-Ward South"
+    for n in (8, 9):
+        assert people[n].organization_id is None and people[n].department_id is None
+    assert organizations[people[10].organization_id] == "North"
+    assert people[10].department_id is None
+
+
+@pytest.fixture
+def raw_timesheet(table):
+    def shift(number, employee, **fields):
+        base = {
+            "id": number,
+            "client_employee_id": employee,
+            "hours_worked": "8",
+            "punch_apply_date": "2025-05-28",
+            "punch_in_datetime": "2025-05-28 09:16:00.000",
+            "punch_out_datetime": "05/28/2025 5:00 PM",
+            "scheduled_start_datetime": "2025-05-28 09:00:00.000",
+            "scheduled_end_datetime": "2025-05-28 17:00:00.000",
+            "source_file": "timesheet_1.csv",
+        }
+        return {**base, **fields}
+
+    return table(
+        "bronze",
+        "raw_timesheet",
+        shift(1, "001"),
+        shift(2, " 002 ", hours_worked="7.125", scheduled_start_datetime="NaN"),
+        shift(3, "404", hours_worked=" 5 "),
+        shift(4, None),
+        shift(5, "nan"),
+        shift(6, "001", hours_worked="123456", punch_out_comment=" None"),
+        shift(7, "001", punch_apply_date="never"),
+    )
+
+
+def test_timesheets(raw_timesheet, raw_employee):
+    staff = conform.conform_employees(raw_employee, NOW)
+    df = conform.conform_timesheets(raw_timesheet, staff, NOW)
+    assert [f.dataType for f in df.schema] == [f.dataType for f in TABLES["silver", "timesheet"]]
+    shifts = {r.id: r for r in df.collect()}
+    assert sorted(shifts) == [1, 2, 6, 7]
+    assert shifts[1].punch_out_datetime == moment("2025-05-28 17:00:00")
+    assert shifts[1].is_late_arrival and not shifts[1].is_unscheduled
+    assert shifts[2].client_employee_id == "002" and shifts[2].hours_worked == Decimal("7.13")
+    assert shifts[2].is_unscheduled and not shifts[2].is_late_arrival
+    assert shifts[6].hours_worked is None and shifts[6].punch_out_comment is None
+    assert shifts[7].punch_apply_date is None
+
+
+def test_dead_letters(raw_timesheet, raw_employee):
+    staff = conform.conform_employees(raw_employee, NOW)
+    df = conform.rejected_timesheets(raw_timesheet, staff, NOW)
+    assert df.schema.names == TABLES["bronze", "rejected_timesheet"].names
+    assert rows(df, "id", "client_employee_id", "hours_worked", "reason") == [
+        (3, "404", "5", "MISSING_EMPLOYEE_RECORD"),
+        (4, None, "8", "MISSING_EMPLOYEE_RECORD"),
+        (5, None, "8", "MISSING_EMPLOYEE_RECORD"),
+    ]
+    accepted = conform.accepted_timesheets(raw_timesheet, staff)
+    assert accepted.count() + df.count() == raw_timesheet.count()
+
+
+def broken(df):
+    return {(r.column_name, r.rule): r.violations for r in df.filter("violations > 0").collect()}
+
+
+def test_contracts(table, raw_timesheet, raw_employee):
+    staff = conform.conform_employees(raw_employee, NOW)
+    tables = {
+        "organization": dimensions.organizations(raw_employee),
+        "department": dimensions.departments(raw_employee),
+        "employee": staff,
+        "timesheet": conform.conform_timesheets(raw_timesheet, staff, NOW),
+    }
+    found = {
+        name: broken(contract_violations(name, tables[name], CONTRACTS[name], tables))
+        for name in tables
+    }
+    assert found == {
+        "organization": {},
+        "department": {},
+        "employee": {},
+        "timesheet": {("punch_apply_date", "not_null"): 1},
+    }
+    raw = {"employee": raw_employee, "timesheet": conform.accepted_timesheets(raw_timesheet, staff)}
+    for name, column in (("employee", "scheduled_weekly_hour"), ("timesheet", "hours_worked")):
+        rules = broken(contract_violations(name, tables[name], CONTRACTS[name], tables, raw[name]))
+        assert [v for (c, rule), v in rules.items() if c == column and rule.startswith("fixed")] == [1]
+
+
+def test_contract_rules_count_rows_and_keys(table):
+    def person(**fields):
+        return {"id": 1, "client_employee_id": "1", "active_status": True, **fields}
+
+    staff = table(
+        "silver",
+        "employee",
+        person(zip="x" * 21),
+        person(id=2, organization_id=5),
+        person(id=3, client_employee_id=None, active_status=None, organization_id=5),
+        person(id=3, client_employee_id="9", manager_employee_id="404"),
+    )
+    parents = {
+        "organization": table("silver", "organization", {"id": 4, "code": "a", "name": "a"}),
+        "department": table("silver", "department"),
+        "employee": staff,
+    }
+    assert broken(contract_violations("employee", staff, CONTRACTS["employee"], parents)) == {
+        ("client_employee_id", "not_null"): 1,
+        ("active_status", "not_null"): 1,
+        ("zip", "max_length_20"): 1,
+        ("id", "unique"): 1,
+        ("client_employee_id", "unique"): 1,
+        ("organization_id", "reference"): 2,
+        ("manager_employee_id", "reference"): 1,
+    }

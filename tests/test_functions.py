@@ -12,7 +12,7 @@ from muster.functions.dates import parse_date, parse_datetime
 
 
 def test_clean_string(spark):
-    dirty = ["  a b \t", " x ", "NaN", " nat ", "None", "NULL\n", "", "   ", None, "nano", "0"]
+    dirty = ["  a b \t", "\xa0　\n x\x1f ", "NaN", " nat ", "None", "NULL\n", "", "   ", None, "nano", "0"]
     expected = ["a b", "x", None, None, None, None, None, None, None, "nano", "0"]
     assert values(spark, dirty, text.clean_string) == expected
 
@@ -30,12 +30,12 @@ def test_null_tokens_match_exactly(spark):
 
 
 def test_parse_bool(spark):
-    words = ["1", " TRUE ", "Yes", "0", "no", "t", "", None]
+    words = ["1", "TRUE", "Yes", "0", "no", "t", "", None]
     assert values(spark, words, text.parse_bool) == [True] * 3 + [False] * 5
 
 
 def test_parse_double(spark):
-    texts = [" 1.5 ", "1e3", "-.5", "1_000", "5.", "1.0d", "NaN", "inf", "1e999", "1__0", "abc", "", None]
+    texts = ["1.5", "1e3", "-.5", "1_000", "5.", "1.0d", "NaN", "inf", "1e999", "1__0", "abc", "", None]
     expected = [1.5, 1000.0, -0.5, 1000.0, 5.0] + [None] * 8
     assert values(spark, texts, text.parse_double) == expected
 
@@ -67,6 +67,14 @@ def test_finite_columns(spark):
         ("5/28/2025 1:05:30 PM", "2025-05-28 13:05:30"),
         ("5/28/2025 12:05 am", "2025-05-28 00:05:00"),
         ("2025-05-28 12:00 p.m.", "2025-05-28 12:00:00"),
+        ("28/05/2025 11:59:59PM", "2025-05-28 23:59:59"),
+        ("2025-05-28 10:53:00+01:00", "2025-05-28 10:53:00"),
+        ("2024", "2024-01-01 00:00:00"),
+        ("12024-01-01", None),
+        ("02/30/2024", None),
+        ("13/13/2024", None),
+        ("10:30 PM", None),
+        ("5/28/2025 0:30", "2025-05-28 00:30:00"),
         ("20250528", "2025-05-28 00:00:00"),
         ("20250528103000", "2025-05-28 10:30:00"),
         ("9999-12-31", "9999-12-31 00:00:00"),

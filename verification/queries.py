@@ -14,6 +14,7 @@ from muster.functions.attendance import attendance_flags
 from muster.functions.dates import parse_date, parse_datetime
 from muster.functions.rounding import to_hundredths
 from muster.functions.text import (
+    clean_columns,
     clean_string,
     finite_columns,
     null_token,
@@ -21,6 +22,7 @@ from muster.functions.text import (
     parse_bool,
     parse_decimal,
     parse_double,
+    strip,
 )
 from muster.operators import changes, conform, contracts, dimensions, quality, reads
 from muster.plans import feeds, gold, kpi, refresh
@@ -185,7 +187,8 @@ def null_token_normalize(v: Views) -> DataFrame:
         22: "NONE", 23: "0",
     }
     field = case("c_nationkey", tokens, F.col("c_name"))
-    return v.table("customer").select("c_custkey", null_token(field).alias("value"))
+    written = v.table("customer").withColumn("text", field)
+    return written.select("c_custkey", null_token("text").alias("value"))
 
 
 @_query
@@ -195,7 +198,8 @@ def clean_string_(v: Views) -> DataFrame:
         {"BUILDING": " NaN\t", "MACHINERY": "None ", "FURNITURE": F.concat(F.lit(" \t"), "c_name", F.lit("\n "))},
         F.concat(F.lit(" "), "c_mktsegment", F.lit(" ")),
     )
-    return v.table("customer").select("c_custkey", clean_string(field).alias("value"))
+    written = v.table("customer").withColumn("text", field)
+    return written.select("c_custkey", clean_string("text").alias("value"))
 
 
 def _dated(v: Views) -> DataFrame:
@@ -212,15 +216,17 @@ def _dated(v: Views) -> DataFrame:
 
 @_query
 def parse_date_(v: Views) -> DataFrame:
-    return _dated(v).select("o_orderkey", parse_date(clean_string(F.col("text"))).alias("value"))
+    cleaned = clean_columns(_dated(v), ["text"])
+    return cleaned.select("o_orderkey", parse_date("text").alias("value"))
 
 
 @_query
 def parse_datetime_(v: Views) -> DataFrame:
-    return v.raw_timesheet.select(
-        F.col("id").alias("event_id"),
-        parse_datetime(clean_string(F.col("punch_in_datetime"))).alias("value"),
-    ).select("event_id", _moment("value"))
+    cleaned = clean_columns(v.raw_timesheet, ["punch_in_datetime"])
+    parsed = cleaned.select(
+        F.col("id").alias("event_id"), parse_datetime("punch_in_datetime").alias("value")
+    )
+    return parsed.select("event_id", _moment("value"))
 
 
 @_query
@@ -231,11 +237,11 @@ def parse_number(v: Views) -> DataFrame:
         F.col("c_acctbal").cast("string"),
     )
     rows = v.table("customer").join(v.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    return rows.withColumn("text", field).select(
+    return clean_columns(rows.withColumn("text", field), ["text"]).select(
         "c_custkey",
-        parse_double(F.col("text")).alias("as_double"),
-        to_hundredths(parse_decimal(F.col("text"), 5, 2)).alias("as_hundredths"),
-        overflows(F.col("text"), 5, 2).alias("overflow"),
+        parse_double("text").alias("as_double"),
+        to_hundredths(parse_decimal("text", 5, 2)).alias("as_hundredths"),
+        overflows("text", 5, 2).alias("overflow"),
     )
 
 
@@ -244,7 +250,10 @@ def parse_bool_(v: Views) -> DataFrame:
     field = case(
         "c_nationkey", {0: "1", 1: " TRUE ", 2: "Yes\n", 3: "0", 4: "no", 5: "y", 6: ""}
     )
-    return v.table("customer").select("c_custkey", parse_bool(field).alias("value"))
+    written = v.table("customer").withColumn("text", field)
+    return written.select("c_custkey", strip("text").alias("text")).select(
+        "c_custkey", parse_bool("text").alias("value")
+    )
 
 
 @_query
@@ -524,7 +533,7 @@ def land_timesheets(v: Views) -> DataFrame:
     )
     return landed.select(
         "client_employee_id", "pay_code", "hours_worked", "punch_in_comment", "punch_out_comment",
-        parse_date(clean_string(F.col("punch_apply_date"))).alias("punch_day"),
+        parse_date("punch_apply_date").alias("punch_day"),
         F.col("scheduled_start_datetime").isNull().alias("no_plan"),
         F.col("source_file").isNull().alias("no_file"),
     )
