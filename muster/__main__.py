@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import json
 import logging
 import os
 
@@ -18,11 +19,23 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("warehouse", help="root folder of the layered tables")
     parser.add_argument("--source", help="folder of raw files (default: from the environment)")
     parser.add_argument("--export", help="folder for the exported tables (default: from the environment)")
+    parser.add_argument("--settings", help="settings file (JSON, or YAML where PyYAML is installed)")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
     parser.add_argument("--master", help="Spark master, for local runs")
     return parser.parse_args()
 
 
+def _settings(path: str | None) -> dict:
+    if path is None:
+        return {}
+    with open(path, encoding="utf-8") as file:
+        if path.endswith((".yaml", ".yml")):
+            import yaml  # optional dependency
+
+            return yaml.safe_load(file)
+        return json.load(file)
+
+
 def main() -> None:
     args = _arguments()
     logging.basicConfig(level=logging.INFO)
@@ -32,7 +45,7 @@ def main() -> None:
         build_session(master=args.master),
         source.path,
         args.warehouse,
-        Config(as_of=args.as_of),
+        Config.from_settings(_settings(args.settings), as_of=args.as_of),
         export_path=target and target.path,
         export_storage=target and target.storage,
         **source.landing_options(),

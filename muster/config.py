@@ -3,9 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 
+# Names in a settings document.
+_SETTINGS = {
+    "grace_time_minutes": "grace_minutes",
+    "early_attribution_months": "early_attrition_months",
+    "orphan_rate_max_pct": "orphan_rate_max_pct",
+    "attendance_flag_max_overlap": "flag_max_overlap",
+}
+
+
 @dataclass(frozen=True)
 class Config:
     """Thresholds and dates of one run.
@@ -23,3 +33,10 @@ class Config:
     flag_max_overlap: int = 2
     fail_on_quality: bool = False
     fail_on_contract: bool = True
+
+    @classmethod
+    def from_settings(cls, settings: Mapping, **overrides) -> Config:
+        """Thresholds from the ``etl`` section of a settings document; the rest by keyword."""
+        section = settings.get("etl", {})
+        known = {ours: section[theirs] for theirs, ours in _SETTINGS.items() if theirs in section}
+        return cls(**{**known, **overrides})

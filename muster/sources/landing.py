@@ -163,6 +163,11 @@ def land_files(
     return whole.select(*TABLES["bronze", table].names)
 
 
+def rows_per_file(landed: DataFrame) -> DataFrame:
+    """``source_file, rows`` of a landed table."""
+    return landed.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def land_employees(
     spark: SparkSession, path: str, loaded_at: dt.datetime, pattern: str = "employee", **options
 ) -> DataFrame:

@@ -12,7 +12,7 @@ from muster.functions.dates import parse_date, parse_datetime
 
 
 def test_clean_string(spark):
-    dirty = ["  a b \t", "\xa0　\n x\x1f ", "NaN", " nat ", "None", "NULL\n", "", "   ", None, "nano", "0"]
+    dirty = ["  a b \t", "\xa0\u3000\n x\x1f\u2029", "NaN", " nat ", "None", "NULL\n", "", "   ", None, "nano", "0"]
     expected = ["a b", "x", None, None, None, None, None, None, None, "nano", "0"]
     assert values(spark, dirty, text.clean_string) == expected
 

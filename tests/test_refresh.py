@@ -10,6 +10,7 @@ from muster.plans import feeds
 from muster.plans.refresh import ContractError, QualityError, refresh
 from muster.schemas import EMPLOYEE_FILE_COLUMNS, GOLD_TABLES, TABLES, TIMESHEET_FILE_COLUMNS
 from muster.sources.export import export_gold
+from muster.sources.landing import rows_per_file
 from muster.sources.tables import Warehouse
 
 CONFIG = Config(as_of=day("2024-03-31"), run_at=NOW)
@@ -97,8 +98,7 @@ def test_refresh_twice(spark, source, tmp_path):
         assert [(f.name, f.dataType) for f in stored.schema] == [(f.name, f.dataType) for f in schema]
         exact = warehouse.spark.read.parquet(warehouse.path(layer, name))
         assert exact.count() == stored.count() > 0
-    per_file = warehouse.read("bronze", "raw_timesheet").groupBy("source_file").count()
-    assert rows(per_file) == [("timesheet_1.csv", 10), ("timesheet_2.csv", 2)]
+    assert rows(rows_per_file(warehouse.read("bronze", "raw_timesheet"))) == [("timesheet_1.csv", 10), ("timesheet_2.csv", 2)]
     assert warehouse.read("bronze", "raw_employee").filter("source_file is null").isEmpty()
     for table, n in EXPECTED_GOLD.items():
         assert spark.read.parquet(f"{target}/warehouse/{table}.parquet").count() == n
@@ -108,6 +108,13 @@ def test_refresh_twice(spark, source, tmp_path):
     ]
 
 
+def test_settings_document():
+    settings = {"etl": {"grace_time_minutes": 9, "orphan_rate_max_pct": 50, "batch_size": 1}, "logging": {}}
+    config = Config.from_settings(settings, as_of=CONFIG.as_of)
+    assert (config.grace_minutes, config.orphan_rate_max_pct, config.flag_max_overlap) == (9, 50, 2)
+    assert config.as_of == CONFIG.as_of
+
+
 def test_report_document(spark, source, tmp_path):
     refresh(spark, str(source), str(tmp_path / "wh"), CONFIG)
     [file] = (tmp_path / "wh/logs/quality").glob("quality_report_20260102_030405/*.json")

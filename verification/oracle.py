@@ -481,6 +481,8 @@ select client_employee_id, hire_date,
   case when s_suppkey is not null then false else active_status end as active_status
 from employee left join gone on s_suppkey = id""",
     }
+    sql["rows_per_source_file"] = """select 'timesheet_' || event_type || '.csv' as source_file, count(*) as rows
+from events group by event_type"""
     hire = "strftime(hire_date, '{}')"
     sql["land_employees"] = f"""with {_PEOPLE}
 select case c_mktsegment when 'HOUSEHOLD' then ' ' || c_custkey || chr(9) else cast(c_custkey as varchar) end as client_employee_id,

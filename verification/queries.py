@@ -195,7 +195,7 @@ def null_token_normalize(v: Views) -> DataFrame:
 def clean_string_(v: Views) -> DataFrame:
     field = case(
         "c_mktsegment",
-        {"BUILDING": " NaN\t", "MACHINERY": "None ", "FURNITURE": F.concat(F.lit(" \t"), "c_name", F.lit("\n "))},
+        {"BUILDING": " NaN\t", "MACHINERY": "None ", "FURNITURE": F.concat(F.lit("\xa0\t"), "c_name", F.lit("\n "))},
         F.concat(F.lit(" "), "c_mktsegment", F.lit(" ")),
     )
     written = v.table("customer").withColumn("text", field)
@@ -539,6 +539,11 @@ def land_timesheets(v: Views) -> DataFrame:
     )
 
 
+@_query
+def rows_per_source_file(v: Views) -> DataFrame:
+    return landing.rows_per_file(v.raw_timesheet)
+
+
 @_query
 def warehouse_roundtrip(v: Views) -> DataFrame:
     """Gold tables written, exported and read back: rows and a checksum per table."""
