@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from muster.functions.attendance import attendance_flags
@@ -22,6 +23,13 @@ from muster.schemas import EMPLOYEE_FILE_COLUMNS, TABLES, TIMESHEET_FILE_COLUMNS
 MISSING_EMPLOYEE = "MISSING_EMPLOYEE_RECORD"
 _NULL_SPREAD = 4096
 
+_EMPLOYEE_DATES = (
+    "job_start_date", "dob", "hire_date", "recent_hire_date", "anniversary_date", "term_date",
+)
+_SHIFT_TIMES = (
+    "punch_in_datetime", "punch_out_datetime", "scheduled_start_datetime", "scheduled_end_datetime",
+)
+
 
 def timestamp(moment: dt.datetime) -> Column:
     """Run time as a zone-free literal."""
@@ -37,29 +45,45 @@ def spread_nulls(key: Column, row_id: Column) -> Column:
     return F.coalesce(key, F.concat(F.lit(" "), F.pmod(row_id, F.lit(_NULL_SPREAD))))
 
 
-def conform_employees(raw_employee: DataFrame, now: dt.datetime) -> DataFrame:
+def _parse(cleaned: DataFrame, parsers: Mapping[str, Column], losses: Observation | None) -> DataFrame:
+    """Replace text columns by their parsed values.
+
+    ``losses`` receives, per column, the number of texts that could not be parsed,
+    counted while the rows pass through.
+    """
+    both = cleaned.withColumns({f"_{c}": parser for c, parser in parsers.items()})
+    if losses is not None:
+        lost = (
+            F.count_if(F.col(c).isNotNull() & F.col(f"_{c}").isNull()).alias(c) for c in parsers
+        )
+        both = both.observe(losses, *lost)
+    return both.drop(*parsers).withColumnsRenamed({f"_{c}": c for c in parsers})
+
+
+def conform_employees(
+    raw_employee: DataFrame, now: dt.datetime, losses: Observation | None = None
+) -> DataFrame:
     """Typed employees with dimension keys and resolved managers."""
     cleaned = with_dimension_codes(
         clean_columns(raw_employee.select(*EMPLOYEE_FILE_COLUMNS), EMPLOYEE_FILE_COLUMNS)
     )
-    parsed = {
-        "id": F.xxhash64("client_employee_id"),
-        "organization_id": organization_key(F.col("organization_code")),
-        "department_id": department_key(F.col("organization_code"), F.col("department_code")),
+    parsers = {
         "scheduled_weekly_hour": parse_decimal("scheduled_weekly_hour", 5, 2),
         "years_of_experience": parse_double("years_of_experience"),
-        "is_per_deim": parse_bool("is_per_deim"),
-        "active_status": parse_bool("active_status"),
-        "created_at": timestamp(now),
-        "updated_at": timestamp(now),
+        **{c: parse_date(c) for c in _EMPLOYEE_DATES},
     }
-    for column in (
-        "job_start_date", "dob", "hire_date", "recent_hire_date", "anniversary_date", "term_date",
-    ):
-        parsed[column] = parse_date(column)
-    schema = TABLES["silver", "employee"]
-    typed = cleaned.select(*(parsed.get(n, F.col(n)).alias(n) for n in schema.names))
-    return resolve_managers(typed)
+    typed = _parse(cleaned, parsers, losses).withColumns(
+        {
+            "id": F.xxhash64("client_employee_id"),
+            "organization_id": organization_key(F.col("organization_code")),
+            "department_id": department_key(F.col("organization_code"), F.col("department_code")),
+            "is_per_deim": parse_bool("is_per_deim"),
+            "active_status": parse_bool("active_status"),
+            "created_at": timestamp(now),
+            "updated_at": timestamp(now),
+        }
+    )
+    return resolve_managers(typed.select(*TABLES["silver", "employee"].names))
 
 
 def resolve_managers(employee: DataFrame) -> DataFrame:
@@ -102,24 +126,23 @@ def accepted_timesheets(raw_timesheet: DataFrame, employee: DataFrame) -> DataFr
 
 
 def conform_timesheets(
-    raw_timesheet: DataFrame, employee: DataFrame, now: dt.datetime, grace_minutes: int = 5
+    raw_timesheet: DataFrame,
+    employee: DataFrame,
+    now: dt.datetime,
+    grace_minutes: int = 5,
+    losses: Observation | None = None,
 ) -> DataFrame:
     """Typed, flagged shifts of known employees; rows are parsed after the split."""
-    accepted = accepted_timesheets(raw_timesheet, employee)
-    moments = (
-        "punch_in_datetime", "punch_out_datetime", "scheduled_start_datetime",
-        "scheduled_end_datetime",
-    )
-    typed = accepted.withColumns(
-        {
-            "punch_apply_date": parse_date("punch_apply_date"),
-            "hours_worked": parse_decimal("hours_worked", 6, 2),
-            "created_at": timestamp(now),
-            **{c: parse_datetime(c) for c in moments},
-        }
+    parsers = {
+        "punch_apply_date": parse_date("punch_apply_date"),
+        "hours_worked": parse_decimal("hours_worked", 6, 2),
+        **{c: parse_datetime(c) for c in _SHIFT_TIMES},
+    }
+    typed = _parse(accepted_timesheets(raw_timesheet, employee), parsers, losses)
+    flags = attendance_flags(*map(F.col, _SHIFT_TIMES), grace_minutes)
+    return typed.withColumns({**flags, "created_at": timestamp(now)}).select(
+        *TABLES["silver", "timesheet"].names
     )
-    flagged = typed.withColumns(attendance_flags(*map(F.col, moments), grace_minutes))
-    return flagged.select(*TABLES["silver", "timesheet"].names)
 
 
 def rejected_timesheets(

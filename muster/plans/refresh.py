@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from muster.config import Config
 from muster.operators.conform import (
@@ -70,18 +70,27 @@ def transform(warehouse: Warehouse, config: Config) -> dict[str, int]:
     raw_timesheet = warehouse.read("bronze", "raw_timesheet")
     warehouse.write("silver", "organization", organizations(raw_employee))
     warehouse.write("silver", "department", departments(raw_employee))
+    losses = {"employee": Observation(), "timesheet": Observation()}
     employees = warehouse.write(
-        "silver", "employee", conform_employees(raw_employee, config.run_at)
+        "silver",
+        "employee",
+        conform_employees(raw_employee, config.run_at, losses["employee"]),
     )
     employee = warehouse.read("silver", "employee")
     timesheets = warehouse.write(
         "silver",
         "timesheet",
-        conform_timesheets(raw_timesheet, employee, config.run_at, config.grace_minutes),
+        conform_timesheets(
+            raw_timesheet, employee, config.run_at, config.grace_minutes, losses["timesheet"]
+        ),
     )
     rejected = warehouse.write(
         "bronze", "rejected_timesheet", rejected_timesheets(raw_timesheet, employee, config.run_at)
     )
+    for table, observed in losses.items():
+        for column, n in observed.get.items():
+            if n:
+                log.warning("%s.%s: %d values could not be parsed and are null", table, column, n)
     return {
         "employees_transformed": employees,
         "timesheets_transformed": timesheets,

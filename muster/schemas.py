@@ -16,6 +16,7 @@ _TYPES = {
     "ts": T.TimestampNTZType(),
     "dec52": T.DecimalType(5, 2),
     "dec62": T.DecimalType(6, 2),
+    "measure": T.DecimalType(18, 2),
 }
 
 
@@ -78,29 +79,30 @@ TABLES: dict[tuple[str, str], T.StructType] = {
         is_early_departure="bool", is_overtime="bool", is_unscheduled="bool",
         source_file="string", created_at="ts",
     ),
+    # Counts and measures of gold tables are wide enough for a key that holds most of the rows.
     ("gold", "kpi_headcount"): _table(
-        id="long", snapshot_date="date", active_count="int", computed_at="ts",
+        id="long", snapshot_date="date", active_count="long", computed_at="ts",
     ),
     ("gold", "kpi_turnover"): _table(
-        id="long", year="int", month="int", terminations="int", turnover_rate_pct="dec52",
+        id="long", year="int", month="int", terminations="long", turnover_rate_pct="measure",
         computed_at="ts",
     ),
     ("gold", "kpi_tenure_by_department"): _table(
-        id="long", department_id="string", department_name="string", avg_tenure_years="dec62",
-        employee_count="int", computed_at="ts",
+        id="long", department_id="string", department_name="string", avg_tenure_years="measure",
+        employee_count="long", computed_at="ts",
     ),
     ("gold", "kpi_attendance"): _table(
-        id="long", client_employee_id="string", department_name="string", total_shifts="int",
-        late_arrival_count="int", early_departure_count="int", overtime_count="int",
-        late_arrival_rate_pct="dec52", computed_at="ts",
+        id="long", client_employee_id="string", department_name="string", total_shifts="long",
+        late_arrival_count="long", early_departure_count="long", overtime_count="long",
+        late_arrival_rate_pct="measure", computed_at="ts",
     ),
     ("gold", "kpi_rolling_hours"): _table(
-        id="long", client_employee_id="string", punch_apply_date="date", hours_worked="dec62",
-        rolling_avg_7d="dec62", computed_at="ts",
+        id="long", client_employee_id="string", punch_apply_date="date", hours_worked="measure",
+        rolling_avg_7d="measure", computed_at="ts",
     ),
     ("gold", "kpi_early_attrition"): _table(
-        id="long", department_name="string", total_hires="int", early_attrition_count="int",
-        early_attrition_rate_pct="dec52", computed_at="ts",
+        id="long", department_name="string", total_hires="long", early_attrition_count="long",
+        early_attrition_rate_pct="measure", computed_at="ts",
     ),
 }
 

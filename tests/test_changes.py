@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from conftest import NOW, day, rows
 
@@ -80,6 +82,49 @@ def test_updates_patch_only_set_fields(spark, staff):
     assert rows(applied.rejected, "change_seq", "id") == [(5, 9), (6, None)]
 
 
+def test_updates_equal_one_by_one(spark, table):
+    """Random batch against a plain replay."""
+    draw = random.Random(11)
+    people = [
+        {"id": n, "client_employee_id": str(n), "first_name": "f", "city": "c", "job_title": None, "active_status": True}
+        for n in range(40)
+    ]
+    fields = ("first_name", "city", "job_title")
+    batch = []
+    for seq in range(600):
+        number = 0 if draw.random() < 0.4 else draw.randint(0, 45)  # one hot id, some unknown
+        chosen = [f for f in fields if draw.random() < 0.4]
+        batch.append((seq, number, chosen, *(draw.choice([None, "x", "y", "z"]) for _ in fields)))
+    expected = {p["id"]: dict(p) for p in people}
+    for _, number, chosen, *new in batch:
+        if number in expected:
+            expected[number].update({f: v for f, v in zip(fields, new) if f in chosen})
+    draw.shuffle(batch)
+    changed = spark.createDataFrame(
+        batch, "change_seq long, id long, set_fields array<string>, first_name string, city string, job_title string"
+    ).repartition(7)
+    applied = changes.apply_employee_updates(table("silver", "employee", *people), changed, NOW)
+    found = {r.id: {f: r[f] for f in fields} for r in applied.employee.collect()}
+    assert found == {n: {f: p[f] for f in fields} for n, p in expected.items()}
+    assert applied.rejected.count() == sum(1 for c in batch if c[1] >= 40)
+
+
+def test_inserts_equal_one_by_one(spark, table):
+    draw = random.Random(12)
+    known = table("silver", "employee", *({"id": n, "client_employee_id": str(n), "active_status": True} for n in range(10)))
+    batch = [(seq, str(draw.randint(0, 30)), f"name {seq}", None) for seq in range(200)]
+    names = {str(n): None for n in range(10)}
+    for _, number, name, _ in batch:
+        names.setdefault(number, name)
+    draw.shuffle(batch)
+    changed = spark.createDataFrame(
+        batch, "change_seq long, client_employee_id string, first_name string, hire_date date"
+    ).repartition(5)
+    applied = changes.apply_employee_inserts(known, changed, NOW)
+    assert dict(rows(applied.employee, "client_employee_id", "first_name")) == names
+    assert applied.rejected.count() == 200 - (len(names) - 10)
+
+
 def test_reads(staff, table):
     assert rows(reads.list_employees(staff).items, "client_employee_id") == [("A",), ("C",)]
     assert reads.list_employees(staff, active_only=False).total() == 3

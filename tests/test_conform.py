@@ -3,6 +3,8 @@ from decimal import Decimal
 import pytest
 from conftest import NOW, day, moment, rows
 
+from pyspark.sql import Observation
+
 from muster.operators import conform, dimensions
 from muster.operators.contracts import contract_violations
 from muster.schemas import CONTRACTS, TABLES
@@ -76,6 +78,16 @@ def test_employees(raw_employee):
     assert people[11].client_employee_id == "011"
 
 
+def test_unparsed_values_are_counted(raw_employee, raw_timesheet):
+    seen = Observation()
+    staff = conform.conform_employees(raw_employee, NOW, seen)
+    assert staff.count() == 11
+    assert {c: n for c, n in seen.get.items() if n} == {"scheduled_weekly_hour": 2, "hire_date": 1, "dob": 1}
+    seen = Observation()
+    assert conform.conform_timesheets(raw_timesheet, staff, NOW, 5, seen).count() == 4
+    assert {c: n for c, n in seen.get.items() if n} == {"hours_worked": 1, "punch_apply_date": 1}
+
+
 def test_dimension_keys(raw_employee):
     people = by_number(conform.conform_employees(raw_employee, NOW))
     departments = {r.id: r.name for r in dimensions.departments(raw_employee).collect()}

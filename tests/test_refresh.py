@@ -6,6 +6,7 @@ import pytest
 from conftest import NOW, day, rows
 
 from muster.config import Config
+from muster.operators.reads import list_timesheets
 from muster.plans import feeds
 from muster.plans.refresh import ContractError, QualityError, refresh
 from muster.schemas import EMPLOYEE_FILE_COLUMNS, GOLD_TABLES, TABLES, TIMESHEET_FILE_COLUMNS
@@ -124,9 +125,8 @@ def test_report_document(spark, source, tmp_path):
     assert set(report["checks"][0]) == {"check", "status", "details"}
 
 
-def test_months_are_pruned(spark, source, tmp_path):
-    from muster.operators.reads import list_timesheets
-
+def test_months_are_pruned(spark, settings, source, tmp_path):
+    settings(maxMetadataStringLength="10000")
     refresh(spark, str(source), str(tmp_path / "wh"), CONFIG)
     stored = Warehouse(spark, str(tmp_path / "wh")).read("silver", "timesheet")
     february = list_timesheets(stored, None, day("2024-02-01"), day("2024-02-29")).items
