@@ -6,11 +6,10 @@ import csv
 import datetime as dt
 import logging
 import re
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
-import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,12 +32,20 @@ def name_glob(pattern: str, ignore_case: bool = False) -> str:
     return glob
 
 
-def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """First row of the partition; the rest of the file is never pulled."""
-    for batch in batches:
-        if batch.num_rows:
-            yield batch.slice(0, 1)
-            return
+def _first_line_reader():
+    """Function that passes on the first row of a partition and pulls no more of the file.
+
+    It is made here, and not at module level, so that it travels to the executors by
+    value: they need not have this package installed.
+    """
+
+    def first_line(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    return first_line
 
 
 def file_headers(
@@ -60,7 +67,7 @@ def file_headers(
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("header"))
         .filter(F.length(F.trim("header")) > 0)
     )
-    return lines.mapInArrow(_first_lines, "path string, header string")
+    return lines.mapInArrow(_first_line_reader(), "path string, header string")
 
 
 def header_names(header: str) -> tuple[str, ...]:

@@ -1,5 +1,10 @@
+import os
+import subprocess
+import sys
+
 import pytest
 from conftest import NOW, rows
+from pyspark import cloudpickle
 
 from muster.schemas import EMPLOYEE_FILE_COLUMNS, TABLES, TIMESHEET_FILE_COLUMNS
 from muster.sources import landing
@@ -91,6 +96,14 @@ def test_header_reading_leaves_the_session_alone(spark, tmp_path):
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
 
 
+def test_executors_need_no_package():
+    """The function sent to them loads where the package cannot be imported."""
+    load = "import sys; from pyspark import cloudpickle; cloudpickle.loads(sys.stdin.buffer.read())"
+    function = cloudpickle.dumps(landing._first_line_reader())
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", load], input=function, cwd="/", env=environment, check=True)
+
+
 def test_header_names():
     assert landing.header_names('\ufeff" A "|b|"c|d"') == ("a", "b", "c|d")
 
