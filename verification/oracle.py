@@ -219,7 +219,8 @@ from joined {where} group by {_WHO} having count(*) filter (where {flag}) > 0"""
 _SILVER_EMPLOYEE = f"""with {_RAW_EMPLOYEE},
 silver_employee as (
   select c.client_employee_id, first_name, middle_name, last_name, job_title, job_start_date,
-    hire_date, term_date, is_per_deim, active_status, weekly_hundredths, years_of_experience,
+    hire_date, term_date, is_per_deim, active_status,
+    cast(weekly_hundredths as double) / 100 as scheduled_weekly_hour, years_of_experience,
     o.name as organization_name, d.name as department_name,
     case when manager_raw in (select client_employee_id from raw_employee) then manager_raw end as manager_employee_id
   from coded c left join organization o on o.code = c.organization_code
@@ -413,7 +414,7 @@ select o_orderkey, case o_orderpriority when '5-LOW' then null
 exact as (select c_custkey, try_cast(text as double) as as_double, try_cast(text as decimal(18, 4)) as x from written),
 rounded as (
   select *, {_half_up("cast(x * 10000 as bigint)", "100")} as h from exact)
-select c_custkey, as_double, case when abs(h) < 100000 then h end as as_hundredths,
+select c_custkey, as_double, case when abs(h) < 100000 then cast(h as double) / 100 end as as_decimal,
   coalesce(abs(h) >= 100000, false) as overflow from rounded""",
         "parse_bool": "select c_custkey, c_nationkey in (0, 1, 2) as value from customer",
         "nan_to_null": """select event_id, case when event_type not in ('click', 'view', 'error') then value end as value
@@ -431,7 +432,7 @@ select id, client_employee_id, pay_code, cast(punch_in as date) as punch_apply_d
   cast(null as varchar) as punch_in_comment, punch_out_comment,
   {_stamp("punch_in")} as punch_in_datetime, {_stamp("punch_out")} as punch_out_datetime,
   {_stamp("planned_start")} as scheduled_start_datetime, {_stamp("planned_end")} as scheduled_end_datetime,
-  cast(round(hours * 100) as bigint) as hours_hundredths,
+  hours as hours_worked,
   {_flags("planned_start", "planned_end", "punch_in", "punch_out")}, source_file
 from known where accepted""",
         "rejected_timesheet": f"""{_SPLIT}

@@ -240,7 +240,7 @@ def parse_number(v: Views) -> DataFrame:
     return clean_columns(rows.withColumn("text", field), ["text"]).select(
         "c_custkey",
         parse_double("text").alias("as_double"),
-        to_hundredths(parse_decimal("text", 5, 2)).alias("as_hundredths"),
+        parse_decimal("text", 5, 2).cast("double").alias("as_decimal"),
         overflows("text", 5, 2).alias("overflow"),
     )
 
@@ -314,7 +314,7 @@ def silver_employee(v: Views) -> DataFrame:
         .select(
             "client_employee_id", "first_name", "middle_name", "last_name", "job_title",
             "job_start_date", "hire_date", "term_date", "is_per_deim", "active_status",
-            to_hundredths(F.col("scheduled_weekly_hour")).alias("weekly_hundredths"),
+            F.col("scheduled_weekly_hour").cast("double").alias("scheduled_weekly_hour"),
             "years_of_experience", "organization_name", "department_name", "manager_employee_id",
         )
     )
@@ -333,7 +333,7 @@ def silver_timesheet(v: Views) -> DataFrame:
         "id", "client_employee_id", "pay_code", "punch_apply_date", "punch_in_comment",
         "punch_out_comment", _moment("punch_in_datetime"), _moment("punch_out_datetime"),
         _moment("scheduled_start_datetime"), _moment("scheduled_end_datetime"),
-        to_hundredths(F.col("hours_worked")).alias("hours_hundredths"), "is_late_arrival",
+        F.col("hours_worked").cast("double").alias("hours_worked"), "is_late_arrival",
         "is_early_departure", "is_overtime", "is_unscheduled", "source_file",
     )
 
