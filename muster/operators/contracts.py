@@ -5,38 +5,34 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from muster.functions.text import clean_columns, overflows
 from muster.schemas import Contract
 
 
-def _entry(table: str, column: str, rule: str, violations: Column) -> Column:
-    return F.struct(
-        F.lit(table).alias("table_name"),
-        F.lit(column).alias("column_name"),
-        F.lit(rule).alias("rule"),
-        violations.cast("bigint").alias("violations"),
+def _report(table: str, counts: DataFrame) -> DataFrame:
+    """One row per count of a one-row frame whose columns are named ``column|rule``."""
+    entries = counts.unpivot([], list(counts.columns), "entry", "violations")
+    return entries.selectExpr(
+        f"'{table}' as table_name",
+        "split_part(entry, '|', 1) as column_name",
+        "split_part(entry, '|', 2) as rule",
+        "violations",
     )
 
 
-def _row_rules(table: str, df: DataFrame, conditions: list[tuple[str, str, Column]]) -> DataFrame:
+def _row_rules(table: str, df: DataFrame, conditions: Mapping[str, str]) -> DataFrame:
     """All row-level rules of a table in one aggregate pass."""
-    counts = df.agg(*(F.count_if(bad).alias(f"n{i}") for i, (_, _, bad) in enumerate(conditions)))
-    entries = [
-        _entry(table, column, rule, F.col(f"n{i}"))
-        for i, (column, rule, _) in enumerate(conditions)
-    ]
-    return counts.select(F.inline(F.array(*entries)))
+    counts = (F.expr(f"count_if({bad})").alias(name) for name, bad in conditions.items())
+    return _report(table, df.agg(*counts))
 
 
 def _unique_rule(table: str, df: DataFrame, key: tuple[str, ...]) -> DataFrame:
     """Number of keys that occur more than once; a null never equals another."""
     repeated = df.dropna(subset=list(key)).groupBy(*key).count().filter("count > 1")
-    return repeated.agg(F.count(F.lit(1)).alias("n")).select(
-        F.inline(F.array(_entry(table, ",".join(key), "unique", F.col("n"))))
-    )
+    return _report(table, repeated.agg(F.count(F.lit(1)).alias(f"{','.join(key)}|unique")))
 
 
 def _reference_rule(
@@ -46,12 +42,22 @@ def _reference_rule(
 
     Rows are counted per key before the join, so a hot key joins as one row.
     """
-    keys = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_key")).count()
+    keys = df.select(F.col(column).alias("_key")).dropna().groupBy("_key").count()
     parents = parent.select(F.col(parent_column).alias("_key"))
     orphans = keys.join(parents, "_key", "left_anti")
-    return orphans.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n")).select(
-        F.inline(F.array(_entry(table, column, "reference", F.col("n"))))
+    return _report(table, orphans.agg(F.expr(f"coalesce(sum(count), 0) as `{column}|reference`")))
+
+
+def _overflow_rules(
+    table: str, raw: DataFrame, fixed_point: tuple[tuple[str, int, int], ...]
+) -> DataFrame:
+    """Texts that hold a number their decimal column has no room for."""
+    texts = clean_columns(raw, [column for column, _, _ in fixed_point])
+    counts = (
+        F.count_if(overflows(column, p, s)).alias(f"{column}|fixed_point_{p}_{s}")
+        for column, p, s in fixed_point
     )
+    return _report(table, texts.agg(*counts))
 
 
 def contract_violations(
@@ -66,10 +72,8 @@ def contract_violations(
     Reference rules need ``parents``; fixed-point rules need ``raw``, the text rows
     behind ``df``, because a value that does not fit is null once typed.
     """
-    conditions = [(c, "not_null", F.col(c).isNull()) for c in contract.not_null]
-    conditions += [
-        (c, f"max_length_{n}", F.char_length(F.col(c)) > n) for c, n in contract.max_length
-    ]
+    conditions = {f"{c}|not_null": f"{c} is null" for c in contract.not_null}
+    conditions |= {f"{c}|max_length_{n}": f"char_length({c}) > {n}" for c, n in contract.max_length}
     parts = [_row_rules(table, df, conditions)]
     parts += [_unique_rule(table, df, key) for key in contract.unique]
     if parents is not None:
@@ -78,12 +82,5 @@ def contract_violations(
             for column, parent, parent_column in contract.references
         ]
     if raw is not None and contract.fixed_point:
-        texts = clean_columns(raw, [c for c, _, _ in contract.fixed_point])
-        parts.append(
-            _row_rules(
-                table,
-                texts,
-                [(c, f"fixed_point_{p}_{s}", overflows(c, p, s)) for c, p, s in contract.fixed_point],
-            )
-        )
+        parts.append(_overflow_rules(table, raw, contract.fixed_point))
     return reduce(DataFrame.unionByName, parts)

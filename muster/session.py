@@ -23,9 +23,11 @@ _SETTINGS = {
 
 # On a cluster shuffles start from many partitions, so that one of them fits into
 # a task's memory at terabytes of shuffled rows, and AQE merges them for smaller
-# ones. Larger scan splits keep the task count of a full scan in bounds.
+# ones up to the advisory size, which is also the size of a rebalanced write. Larger
+# scan splits keep the task count of a full scan in bounds.
 _CLUSTER_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
 }
 

@@ -33,12 +33,14 @@ def case(key: str, values: dict, default=None) -> Column:
 
 def _as_table(df: DataFrame, layer: str, table: str, **values: Column) -> DataFrame:
     """Select the declared columns; those not given are null."""
-    return df.select(
-        *(
-            values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in TABLES[layer, table].fields
-        )
-    )
+
+    def column(name: str, kind: str) -> Column:
+        if name in values:
+            return values[name].cast(kind).alias(name)
+        return F.expr(f"cast(null as {kind}) as {name}")
+
+    schema = TABLES[layer, table]
+    return df.select(*(column(f.name, f.dataType.simpleString()) for f in schema.fields))
 
 
 @dataclass(frozen=True)
