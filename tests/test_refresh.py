@@ -157,6 +157,25 @@ def test_failed_checks_do_not_stop_the_run_unless_told(spark, tmp_path):
         refresh(spark, str(empty), str(tmp_path / "wh"), strict)
 
 
+def test_refresh_without_shifts(spark, source, tmp_path):
+    for file in source.glob("timesheet*"):
+        file.unlink()
+    summary = refresh(spark, str(source), str(tmp_path / "wh"), CONFIG)
+    assert summary.transform["employees_transformed"] == 3
+    assert summary.transform["timesheets_transformed"] == 0
+    assert summary.postprocess["kpi_attendance"] == 0 and summary.postprocess["kpi_headcount"] == 91
+
+
+def test_refresh_with_orphans_only(spark, source, tmp_path):
+    for file in source.glob("timesheet*"):
+        file.unlink()
+    write(source / "timesheet.csv", TIMESHEET_FILE_COLUMNS, [shift("4", "2024-01-01"), shift("", "2024-01-01")])
+    summary = refresh(spark, str(source), str(tmp_path / "wh"), CONFIG)
+    assert summary.transform["timesheets_transformed"] == 0
+    assert summary.transform["timesheets_rejected"] == 2
+    assert [c["check"] for c in summary.quality if c["status"] == "FAIL"] == ["orphan_rate_check"]
+
+
 def test_failed_export_counts_zero_and_goes_on(spark, source, tmp_path):
     refresh(spark, str(source), str(tmp_path / "wh"), CONFIG)
     target = tmp_path / "out"

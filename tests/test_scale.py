@@ -4,6 +4,7 @@ import re
 
 import pytest
 from conftest import NOW, day, rows
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from muster.operators import conform
@@ -89,10 +90,14 @@ def test_hot_employee_is_split_in_the_join(spark, settings, shifts, staff):
         shuffle__partitions="16",
     )
     raw = shifts("000001")("bronze", "raw_timesheet").repartition(8)
-    accepted = conform.accepted_timesheets(raw, staff)
-    accepted.collect()
-    text = plan(accepted)
-    assert "skew=true" in text
+    observed = Observation()
+    for accepted in (
+        conform.accepted_timesheets(raw, staff),
+        conform.conform_timesheets(raw, staff, NOW, 5, observed),
+    ):
+        accepted.collect()
+        assert "skew=true" in plan(accepted)
+    assert set(observed.get.values()) == {0}
     rejected = conform.rejected_timesheets(raw.withColumn("client_employee_id", F.lit("none such")), staff, NOW)
     assert rejected.count() == raw.count()
 
