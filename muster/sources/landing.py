@@ -48,6 +48,19 @@ def _first_line_reader():
     return first_line
 
 
+def _session_for_headers(spark: SparkSession) -> SparkSession:
+    """Session of its own with the caller's settings and splits that hold one whole file."""
+    session = spark.newSession()
+    inherited = session.conf.getAll
+    for key, value in spark.conf.getAll.items():
+        if inherited.get(key) != value:
+            session.conf.set(key, value)
+    session.conf.set("spark.sql.files.maxPartitionBytes", _WHOLE_FILE)
+    session.conf.set("spark.sql.files.openCostInBytes", _WHOLE_FILE)
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    return session
+
+
 def file_headers(
     spark: SparkSession, path: str, glob: str, recursive: bool, **storage: str
 ) -> DataFrame:
@@ -57,12 +70,9 @@ def file_headers(
     their own, so the caller's settings stay as they are. A task stops after its
     first line, so the job opens the files but does not read them through.
     """
-    session = spark.newSession()
-    session.conf.set("spark.sql.files.maxPartitionBytes", _WHOLE_FILE)
-    session.conf.set("spark.sql.files.openCostInBytes", _WHOLE_FILE)
-    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
     lines = (
-        session.read.options(pathGlobFilter=glob, recursiveFileLookup=recursive, **storage)
+        _session_for_headers(spark)
+        .read.options(pathGlobFilter=glob, recursiveFileLookup=recursive, **storage)
         .text(path)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("header"))
         .filter(F.length(F.trim("header")) > 0)

@@ -91,6 +91,8 @@ def test_no_file_gives_an_empty_table(spark, tmp_path):
 def test_header_reading_leaves_the_session_alone(spark, tmp_path):
     write(tmp_path, "employee.csv", EMPLOYEE_FILE_COLUMNS, "|".join(["x"] * 34))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("fs.test.setting", "kept")
+    assert landing._session_for_headers(spark).conf.get("fs.test.setting") == "kept"
     headers = landing.file_headers(spark, str(tmp_path), "*employee*.csv", False)
     assert headers.count() == 1
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before

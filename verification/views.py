@@ -14,6 +14,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from muster.functions.attendance import attendance_flags
 from muster.operators.conform import timestamp
@@ -22,6 +23,8 @@ from muster.schemas import EMPLOYEE_FILE_COLUMNS, TABLES, TIMESHEET_FILE_COLUMNS
 AS_OF = dt.date(2002, 1, 1)
 RUN_AT = dt.datetime(2002, 1, 1, 6, 0)
 
+_SCHEMAS: dict[str, StructType] = {}
+
 
 def case(key: str, values: dict, default=None) -> Column:
     """CASE expression over one column."""
@@ -49,7 +52,13 @@ class Views:
     folder: str
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A test table; its schema is looked up in the file only once."""
+        path, reader = f"{self.folder}/{name}.parquet", self.spark.read
+        if path in _SCHEMAS:
+            reader = reader.schema(_SCHEMAS[path])
+        df = reader.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
 
     @cached_property
     def people(self) -> DataFrame:
