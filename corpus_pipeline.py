@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from muster.llm import quality_rules
+from muster.llm import byte_bpe, line_dedup, quality_rules
 from muster.llm.tables import stored, table
 
 #: (name, function); a function takes (spark, docs, folder) and returns a DataFrame. All but the last
 #: return the columns of ``documents``.
 STAGES = [
     ("quality_rules", quality_rules.stage),
+    ("line_dedup", line_dedup.stage),
+    ("byte_bpe", byte_bpe.stage),
 ]
 
 #: EM weights, near-duplicate components and byte-level merges are no SQL; the tests hold the result

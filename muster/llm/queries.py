@@ -6,16 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from muster.llm import chat, quality_rules, sharding
+from muster.llm import byte_bpe, chat, line_dedup, quality_rules, sharding, token_counts, url_filter
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_url_filter": url_filter.op2_url_filter,
         "op3_chat_formatting": chat.op3_chat_formatting,
+        "op5_line_dedup": line_dedup.op5_line_dedup,
+        "op6_token_counts": token_counts.op6_token_counts,
         "op8_sharding": sharding.op8_sharding,
+        "op9_byte_bpe": byte_bpe.op9_byte_bpe,
         "op10_quality_rules": quality_rules.op10_quality_rules,
     }
 
 
 def statements() -> dict[str, str]:
-    return {"op3_chat_formatting": chat.sql()}
+    return {
+        "op2_url_filter": url_filter.sql(),
+        "op3_chat_formatting": chat.sql(),
+        "op5_line_dedup": line_dedup.sql(),
+    }
