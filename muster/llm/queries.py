@@ -6,13 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from muster.llm import byte_bpe, chat, line_dedup, quality_rules, sharding, token_counts, url_filter
+from muster.llm import (
+    byte_bpe,
+    chat,
+    line_dedup,
+    minhash_dedup,
+    quality_rules,
+    sharding,
+    substring_dedup,
+    token_counts,
+    url_filter,
+)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_substring_dedup": substring_dedup.op1_substring_dedup,
         "op2_url_filter": url_filter.op2_url_filter,
         "op3_chat_formatting": chat.op3_chat_formatting,
+        "op4_minhash_dedup": minhash_dedup.op4_minhash_dedup,
         "op5_line_dedup": line_dedup.op5_line_dedup,
         "op6_token_counts": token_counts.op6_token_counts,
         "op8_sharding": sharding.op8_sharding,
