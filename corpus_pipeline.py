@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from muster.llm import byte_bpe, line_dedup, minhash_dedup, quality_rules
+from muster.llm import byte_bpe, decontamination, line_dedup, minhash_dedup, quality_rules
 from muster.llm.tables import stored, table
 
 #: (name, function); a function takes (spark, docs, folder) and returns a DataFrame. All but the last
@@ -13,6 +13,7 @@ STAGES = [
     ("quality_rules", quality_rules.stage),
     ("line_dedup", line_dedup.stage),
     ("minhash_dedup", minhash_dedup.stage),
+    ("decontamination", decontamination.stage),
     ("byte_bpe", byte_bpe.stage),
 ]
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from muster.llm import (
     byte_bpe,
     chat,
+    decontamination,
     line_dedup,
     minhash_dedup,
     quality_rules,
@@ -27,6 +28,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_minhash_dedup": minhash_dedup.op4_minhash_dedup,
         "op5_line_dedup": line_dedup.op5_line_dedup,
         "op6_token_counts": token_counts.op6_token_counts,
+        "op7_decontamination": decontamination.op7_decontamination,
         "op8_sharding": sharding.op8_sharding,
         "op9_byte_bpe": byte_bpe.op9_byte_bpe,
         "op10_quality_rules": quality_rules.op10_quality_rules,
