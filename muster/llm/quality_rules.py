@@ -102,6 +102,8 @@ def base_failed() -> Column:
 def posteriors(cast: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
     """(votes, quality): the posterior probability of good quality for each pattern of votes.
 
+    ``cast`` has (votes, base_failed); rows that fail are not counted.
+
     Two-coin model: a rule that votes is right with probability ``s`` on good documents and ``t`` on
     bad ones; an abstention says nothing. EM runs on the counted patterns, of which there are at most
     3 ** rules whatever the number of documents, in one aggregate expression over the iterations.
@@ -109,8 +111,8 @@ def posteriors(cast: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
     wrong votes on good documents, so that the classes can't trade places.
     """
     rules = len(RULES)
-    counted = cast.groupBy("votes").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    one = counted.agg(F.sort_array(F.collect_list(F.struct("votes", "n"))).alias("patterns"))
+    counted = cast.groupBy("votes").agg(F.sum(1 - F.col("base_failed").cast("int")).cast("double").alias("n"))
+    one = counted.filter("n > 0").agg(F.sort_array(F.collect_list(F.struct("votes", "n"))).alias("patterns"))
     # ln P(bad) - ln P(good) of a pattern under the state
     odds = (
         "aggregate(sequence(0, {last}), ln(1 - state.prior) - ln(state.prior), (z, j) -> z + case get(p.votes, j) "
@@ -163,10 +165,12 @@ def with_quality(documents: DataFrame, text: str = "text") -> DataFrame:
 
 def _verdicts(judged: DataFrame) -> DataFrame:
     checked = judged.withColumn("base_failed", base_failed())
-    quality = F.broadcast(posteriors(checked.filter("not base_failed").select("votes")))
+    quality = F.broadcast(posteriors(checked.select("votes", "base_failed")))
     known = checked.join(quality, "votes", "left")
-    sure = F.coalesce(F.col("quality") >= THRESHOLD, F.lit(False))
-    return known.withColumn("kept", ~F.col("base_failed") & sure)
+    # One product of both sides: a filter on it stays above the statistics, which would else be
+    # written out anew inside the pushed-down condition.
+    passes = F.when(F.col("base_failed"), 0.0).otherwise(1.0)
+    return known.withColumn("kept", F.coalesce(F.col("quality") * passes, F.lit(0.0)) >= THRESHOLD)
 
 
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:

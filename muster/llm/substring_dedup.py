@@ -170,6 +170,9 @@ def repeated_spans(
         .filter("n > 1")
         .select("anchor", "source", (F.col("low") == F.col("high")).alias("straight"))
     )
+    # Stored tables on both sides of a join: adaptive execution can split a hot anchor, which it could
+    # not while one side comes straight from the aggregate.
+    repeated = stored(repeated, "path-anchors")
     here = F.struct("doc", "at")
     met = walked.join(repeated, "anchor").filter(~(F.col("straight") & here.eqNullSafe(F.col("source"))))
     met = stored(met.select("anchor", "digest", "doc", "at", "straight"), "paths")
@@ -190,6 +193,7 @@ def repeated_spans(
     sources = (
         opened.groupBy("anchor", "gram").agg(F.min(there).alias("source"), F.max(there).alias("other"))
     ).filter(~F.col("source").eqNullSafe(F.col("other")))
+    sources = stored(sources, "path-sources").select("anchor", "gram", "source")
     later = opened.join(sources, ["anchor", "gram"]).filter(~there.eqNullSafe(F.col("source")))
     single = later.select("doc", "start", (F.col("start") + window).alias("end"))
     return straight.union(copies).union(single)
