@@ -18,6 +18,9 @@ WORDS = 5
 PERCENT = 80
 BANDS, ROWS = 32, 5
 SHIFT_BLOCK = 1 << 18
+# Shingles in a block of sets that are compared with another block in one step, and of them at once.
+BLOCK_SHINGLES = 100_000
+COLUMNS = 4096
 
 
 def _permute(x: np.ndarray, first: int, second: int) -> np.ndarray:
@@ -168,39 +171,83 @@ def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
         labels = new.select("doc", "component")
 
 
-def _stars(members: DataFrame, farthest: bool) -> DataFrame:
-    """One pair per member of a bucket: the member and the bucket's centre, if of another component.
-
-    ``members`` has (key, doc, n, component). Of each component in a bucket one member is compared.
+def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each set of ``x`` with each of ``y``."""
+    tokens = [np.concatenate(z) for z in (x, y)]
+    owners = [np.repeat(np.arange(len(z)), [len(s) for s in z]) for z in (x, y)]
+    shared = np.intersect1d(*tokens)
+    counts = np.zeros((len(x), len(y)), np.float32)
+    for at in range(0, len(shared), COLUMNS):
+        some = shared[at : at + COLUMNS]
+        grids = []
+        for t, owner, z in zip(tokens, owners, (x, y), strict=True):
+            column = np.minimum(np.searchsorted(some, t), len(some) - 1)
+            held = some[column] == t
+            grid = np.zeros((len(z), len(some)), np.float32)
+            grid[owner[held], column[held]] = 1
+            grids.append(grid)
+        counts += grids[0] @ grids[1].T
+    return counts.astype(np.int64)
+
+
+def _apart(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between members of one group that no component joins, found block by block.
+
+    ``groups`` has (centre, doc, n, component). The members in the centre's own component are linked
+    already; the others are compared with them and with each other. Blocks are dealt by hash, have
+    about ``BLOCK_SHINGLES`` shingles, and only pairs of blocks are joined, so a group of any size is
+    spread over many tasks and its pairs are never rows.
     """
-    pick = F.max if farthest else F.min
-    heads = members.groupBy("key", "component").agg(pick(F.struct("doc", "n")).alias("head"))
-    centres = heads.groupBy("key").agg(F.min("head").alias("centre"), F.count(F.lit(1)).alias("m"))
-    met = heads.join(centres.filter("m > 1").select("key", "centre"), "key")
-    return met.select(
-        F.col("centre.doc").alias("a"), F.col("head.doc").alias("b"),
-        F.col("centre.n").alias("n"), F.col("head.n").alias("other_n"),
-    )
-
-
-def _rest(members: DataFrame) -> DataFrame:
-    """All pairs of one bucket that no component joins, by pairs of components."""
-    kinds = members.select("key", "component").distinct()
-    mixed = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key")
-    few = kinds.join(mixed, "key")
-    left = few.select("key", F.col("component").alias("one"))
-    right = few.select("key", F.col("component").alias("two"))
-    meet = left.join(right, "key").filter(F.col("one") < F.col("two"))
-    x = members.select("key", F.col("component").alias("one"), F.col("doc").alias("a"), "n")
-    y = members.select("key", F.col("component").alias("two"), F.col("doc").alias("b"), F.col("n").alias("other_n"))
-    return meet.join(x, ["key", "one"]).join(y, ["key", "two"]).select("a", "b", "n", "other_n")
-
+    own = F.max(F.when(F.col("doc") == F.col("centre"), F.col("component")))
+    centres = groups.groupBy("centre").agg(
+        own.alias("own"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    mixed = centres.filter("low <> high").select("centre", "own")
+    placed = groups.join(mixed, "centre").withColumn("other", F.col("component") != F.col("own"))
+    count = F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int")
+    sizes = stored(placed.groupBy("centre", "other").agg(count.alias("blocks")), "minhash-sizes")
+    dealt = placed.join(sizes, ["centre", "other"]).withColumn(
+        "block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
+    )
+    member = F.struct("doc", "component", "shingles")
+    blocks = (
+        dealt.join(sets, "doc").groupBy("centre", "other", "block").agg(F.collect_list(member).alias("members"))
+    )
+    blocks = stored(blocks, "minhash-blocks")
+    some = blocks.filter("other").select("centre", F.col("block").alias("one"))
+    every = blocks.select("centre", "other", F.col("block").alias("two"))
+    met = some.join(every, "centre").filter(~F.col("other") | (F.col("one") <= F.col("two")))
+    left = blocks.filter("other").select("centre", F.col("block").alias("one"), F.col("members").alias("x"))
+    right = blocks.select("centre", "other", F.col("block").alias("two"), F.col("members").alias("y"))
+
+    @F.arrow_udf("array<struct<a:long, b:long>>")
+    def links(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for pairs in batches:
+            rows = []
+            for both in zip(*pairs, strict=True):
+                sides = []
+                for side in both:
+                    members = side.values
+                    sets = members.field("shingles")
+                    flat = sets.flatten().to_numpy(zero_copy_only=False)
+                    at = np.concatenate([[0], np.cumsum(sets.value_lengths().to_numpy(zero_copy_only=False))])
+                    sides.append(
+                        (
+                            [flat[i:j] for i, j in zip(at[:-1], at[1:], strict=True)],
+                            members.field("component").to_numpy(zero_copy_only=False),
+                            np.diff(at),
+                            members.field("doc").to_numpy(zero_copy_only=False),
+                        )
+                    )
+                (x, cx, nx, dx), (y, cy, ny, dy) = sides
+                common = _common(x, y)
+                near = 100 * common >= percent * (nx[:, None] + ny[None, :] - common)
+                i, j = np.nonzero(near & (cx[:, None] != cy[None, :]))
+                rows.append([{"a": a, "b": b} for a, b in zip(dx[i].tolist(), dy[j].tolist(), strict=True)])
+            yield pa.array(rows, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))
 
-def _candidates(pairs: DataFrame, percent: int) -> DataFrame:
-    """Distinct ordered pairs whose sizes alone don't rule them out."""
-    small, large = F.least("n", "other_n"), F.greatest("n", "other_n")
-    possible = pairs.filter((F.col("a") != F.col("b")) & (100 * small >= percent * large))
-    return possible.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    compared = met.join(left, ["centre", "one"]).join(right, ["centre", "other", "two"])
+    return compared.select(F.explode(links("x", "y")).alias("link")).select("link.a", "link.b").distinct()
 
 
 def near_duplicates(
@@ -219,12 +266,11 @@ def near_duplicates(
     With 32 bands of 5 rows a pair at 0.8 shares a band with probability 1 - 3e-6.
 
     Equal sets are one class from the start, and only its smallest document goes on; so copies never
-    meet in a bucket. In a bucket each class is compared with one centre; linked classes become one
-    component, and a second round compares the components that are still apart by other members.
-    What a bucket then still holds apart is compared pair by pair, so no link between different sets is
-    lost, and a bucket whose classes are linked to its centre costs as many comparisons as it has
-    classes. Sets are made only of documents that share a bucket; ids, sets, links and
-    components stay in tables, none is collected or broadcast by hint.
+    meet in a bucket. In a bucket each class is compared with one centre, and linked classes become one
+    component. Members of a centre's buckets that are then still apart are compared with all its other
+    members, in blocks; so no link between different sets is lost, and near copies that are linked to
+    their centre cost one comparison each. Sets are made only of documents that share a bucket; ids,
+    sets, links and components stay in tables, none is collected or broadcast by hint.
 
     Null or empty text, or white space only: empty set, linked with nothing. Rows without key are
     linked with nothing: no component, kept. Repeated rows of a key fall into one class; if rows of one
@@ -245,15 +291,23 @@ def near_duplicates(
     ids = members.select("doc").distinct()
     sets = stored(_sets(documents, ids, words, text, key), "minhash-sets").dropDuplicates(["doc"])
 
-    alone = members.withColumn("component", F.col("doc"))
-    links = stored(_linked(_candidates(_stars(alone, False), percent), sets, percent), "minhash-links")
-    for pairs in (lambda known: _stars(known, True), _rest):
-        labels = components(links).withColumnRenamed("component", "found")
-        known = members.join(labels, "doc", "left").select(
-            "key", "doc", "n", F.coalesce("found", "doc").alias("component")
-        )
-        more = stored(_linked(_candidates(pairs(known), percent), sets, percent), "minhash-links")
-        links = links.union(more)
+    # A group is a centre, the smallest document of some buckets, and all that share those with it.
+    centres = members.groupBy("key").agg(F.min("doc").alias("centre"))
+    centres = stored(centres, "minhash-centres")
+    groups = stored(members.join(centres, "key").select("centre", "doc", "n").distinct(), "minhash-groups")
+    sizes = groups.filter("doc = centre").select("centre", F.col("n").alias("centre_n"))
+    small, large = F.least("n", "centre_n"), F.greatest("n", "centre_n")
+    stars = (
+        groups.join(sizes, "centre")
+        .filter((F.col("doc") != F.col("centre")) & (100 * small >= percent * large))
+        .select(F.col("centre").alias("a"), F.col("doc").alias("b"))
+    )
+    links = stored(_linked(stars, sets, percent), "minhash-links")
+    labels = components(links).withColumnRenamed("component", "found")
+    known = groups.join(labels, "doc", "left").select(
+        "centre", "doc", "n", F.coalesce("found", "doc").alias("component")
+    )
+    links = links.union(stored(_apart(known, sets, percent), "minhash-links"))
     labels = components(links).select(F.col("doc").alias("rep"), F.col("component").alias("found"))
     placed = profiles.join(classes, ["n", "s1", "s2"], "left").join(labels, "rep", "left")
     component = F.when(F.col("doc").isNotNull(), F.coalesce("found", "rep", "doc"))
