@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from muster.llm.tables import table
+from muster.llm.tables import stored, table
 from muster.llm.workers import parts
 
 MIN_CHARS = 20
@@ -70,6 +70,8 @@ def dedup_lines(
         .filter(F.col("n") >= min_documents)
         .select("digest", "last")
     )
+    # From a stored table the join below has an exchange on both sides, and a hot line can be split.
+    shared = stored(shared, "shared-lines")
     dropped = (
         found.join(shared, "digest")
         .filter(~F.col("_key").eqNullSafe(F.col("last")))
