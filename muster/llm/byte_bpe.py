@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import public_tokenizers
@@ -20,8 +19,8 @@ from muster.llm.tables import table
 from muster.llm.workers import parts, worker_held
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-# Pre-tokens that a worker keeps, about 300 bytes each.
-CACHED = 250_000
+# Pre-tokens that a worker keeps, about 350 bytes each.
+CACHED = 600_000
 BPE, NORMAL, UNKNOWN = 2, 1, 2
 
 
@@ -72,7 +71,7 @@ class Codec:
         of_letter = {c: b for b, c in self.letters.items()}
         pieces = map(self.processor.id_to_piece, range(1, len(ranks) + 1))
         self.bytes_of = {r: bytes(of_letter[c] for c in p) for r, p in zip(ranks, pieces, strict=True)}
-        self.digits = {r: str(r) for r in ranks}
+        self.digits = {r: str(r).encode() for r in ranks}
         self.whole = {token: rank for rank, token in self.bytes_of.items()}
 
     def encode(self, tokens: list[str]) -> list[tuple[int, ...]]:
@@ -88,16 +87,24 @@ class Codec:
         merged = iter(self.processor.encode(mapped, out_type=int, num_threads=1) if mapped else [])
         return [f if f is not None else tuple(self.ranks[i - 1] for i in next(merged)) for f in found]
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
+    def entries(self, tokens: list[str]) -> list[tuple[bytes, bytes]]:
+        """What the cache holds of each pre-token: its ids as text, and the bytes they decode to."""
+        return [
+            (b",".join(map(self.digits.__getitem__, ids)), self.decode(ids))
+            for ids in self.encode(tokens)
+        ]
+
 
 def encode_documents(documents: DataFrame, vocabulary: str = VOCABULARY, text: str = "text") -> DataFrame:
     """``document`` (the row as a struct) and ``bpe``: ``n_tokens``, and digests of ids and decoded bytes.
 
     Each match of the public split pattern is encoded separately, as tiktoken does for the same ranks,
-    and the ids of a whole text are decoded again by the inverse mapping. Nothing is shuffled; the
-    broadcast model is bounded by the vocabulary, and a worker's cache of pre-tokens by a number of
+    and the ids are decoded again by the inverse mapping, both once per pre-token that a worker's cache
+    doesn't hold; a text's ids and bytes are those of its pre-tokens. Nothing is shuffled; the broadcast
+    model is bounded by the vocabulary, and a worker's cache of pre-tokens by a number of
     entries. ``bpe.ids`` holds the ids themselves (pruned where it is not read).
 
     Null or empty text: no tokens; digests of nothing. Very long texts are split in steps of bounded
@@ -136,23 +143,25 @@ def _encoded(documents: DataFrame, vocabulary: str, text: str, with_ids: bool) -
 def _split(values: list[str], split, cache: Bounded, codec: Codec):
     """Texts with their pre-tokens, those of the short ones learnt together; None for a long text."""
     lists = [next(split(v), []) if len(v) <= CHUNK else None for v in values]
-    cache.learn([found for found in lists if found is not None], codec.encode)
+    cache.learn([found for found in lists if found is not None], codec.entries)
     return zip(values, lists, strict=True)
 
 
 def _digest(value: str, found: list[str] | None, split, cache: Bounded, codec: Codec, with_ids: bool) -> tuple:
-    """Encodes step by step, digests the ids, decodes them and digests the bytes."""
+    """Joins what the cache holds step by step: digests of the ids and of the bytes that they decode to."""
     ids_sha, bytes_sha, total, all_ids = hashlib.sha256(), hashlib.sha256(), 0, []
     for tokens in split(value) if found is None else [found]:
+        if not tokens:
+            continue
         if found is None:
-            cache.learn([tokens], codec.encode)
-        ids = list(chain.from_iterable(map(cache.__getitem__, tokens)))
-        if ids:
-            ids_sha.update((b"," if total else b"") + ",".join(map(codec.digits.__getitem__, ids)).encode())
-            bytes_sha.update(codec.decode(ids))
-            total += len(ids)
-            if with_ids:
-                all_ids += ids
+            cache.learn([tokens], codec.entries)
+        entries = list(map(cache.__getitem__, tokens))
+        text = b",".join([ids for ids, _ in entries])
+        ids_sha.update(b"," + text if total else text)
+        bytes_sha.update(b"".join([decoded for _, decoded in entries]))
+        total += text.count(b",") + 1
+        if with_ids:
+            all_ids += map(int, text.split(b","))
     row = (total, ids_sha.hexdigest(), bytes_sha.hexdigest())
     return (*row, all_ids) if with_ids else row
 

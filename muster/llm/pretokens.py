@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Callable, Iterator
 from itertools import islice
@@ -31,22 +32,34 @@ def _unassigned_letters() -> regex.Pattern:
     return regex.compile(f"[{ranges}]" if ranges else r"(?!)")
 
 
+def _latin(pattern: str) -> re.Pattern:
+    """The pattern for texts of the first 256 code points, whose classes are listed: faster to match."""
+
+    def ranges(kind: str) -> str:
+        held = regex.compile(kind)
+        return "".join(f"\\x{c:02x}" for c in range(256) if held.match(chr(c)))
+
+    letters, numbers, spaces = map(ranges, (r"\p{L}", r"\p{N}", r"\s"))
+    listed = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{spaces}{letters}{numbers}]")
+    for kind, class_ in ((r"\p{L}", letters), (r"\p{N}", numbers), (r"\s", spaces)):
+        listed = listed.replace(kind, f"[{class_}]")
+    listed = listed.replace(r"\S", f"[^{spaces}]")
+    if "\\p" in listed:
+        raise ValueError(f"classes of this pattern are not known here: {pattern}")
+    return re.compile(listed)
+
+
 def splitter(pattern: str) -> Callable[[str], Iterator[list[str]]]:
     """Function that gives the matches of ``pattern`` in a text, in order, in lists of bounded length."""
-    compiled = regex.compile(pattern)
+    latin, whole = _latin(pattern), regex.compile(pattern)
 
-    def whole(text: str) -> str:
-        """The text with stand-ins for letters that the libraries don't know."""
-        if text.isascii():
-            return text
+    def split(text: str) -> Iterator[list[str]]:
+        plain, compiled = text, latin
         try:
             text.encode("latin-1")
-            return text
         except UnicodeEncodeError:
-            return worker_held("unassigned", _unassigned_letters).sub(STAND_IN, text)
-
-    def split(text: str) -> Iterator[list[str]]:
-        plain = whole(text)
+            # Stand-ins for letters that the libraries don't know.
+            plain, compiled = worker_held("unassigned", _unassigned_letters).sub(STAND_IN, text), whole
         if plain == text and len(text) <= CHUNK:
             yield compiled.findall(text)
             return
@@ -60,21 +73,25 @@ def splitter(pattern: str) -> Callable[[str], Iterator[list[str]]]:
 class Bounded(dict):
     """Cache of what pre-tokens map to: a fixed first tier, and misses up to a number of entries.
 
-    When the misses fill it, it goes back to the first tier; results don't depend on its state.
+    Misses are held in two generations. When the young one is full it becomes the old one, and what is
+    asked for again moves on from there without being encoded anew. Results don't depend on its state.
     """
 
     def __init__(self, first: dict, limit: int):
         super().__init__(first)
-        self.first, self.limit = first, limit
+        self.first, self.limit, self.old = first, limit, {}
 
     def learn(self, lists: list[list[str]], encode: Callable[[list[str]], list]) -> None:
         """Makes sure that all pre-tokens of ``lists`` are held, encoding the misses in one call."""
-        missing = {t for tokens in lists for t in tokens if t not in self}
-        if not missing:
-            return
-        if len(self) - len(self.first) + len(missing) > self.limit:
+        asked = set().union(*lists)
+        missing = asked.difference(self)
+        if len(self) - len(self.first) + len(missing) > self.limit // 2:
+            self.old = dict(self)
             self.clear()
             self.update(self.first)
-            missing = {t for tokens in lists for t in tokens if t not in self}
-        listed = list(missing)
-        self.update(zip(listed, encode(listed), strict=True))
+            missing = asked.difference(self)
+        known = missing & self.old.keys()
+        self.update((t, self.old[t]) for t in known)
+        new = list(missing - known)
+        if new:
+            self.update(zip(new, encode(new), strict=True))
