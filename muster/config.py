@@ -21,7 +21,9 @@ class Config:
     """Thresholds and dates of one run.
 
     ``as_of`` replaces the database clock: it closes the headcount calendar and
-    the tenure of active employees, and it is the date of a soft delete.
+    the tenure of active employees, and it is the date of a soft delete. With
+    ``max_lost_values`` the run stops when more values of one column could not be
+    parsed; without, they are counted in the log.
     """
 
     as_of: dt.date = field(default_factory=dt.date.today)
@@ -33,6 +35,8 @@ class Config:
     flag_max_overlap: int = 2
     fail_on_quality: bool = False
     fail_on_contract: bool = True
+    fail_on_malformed: bool = True
+    max_lost_values: int | None = None
 
     @classmethod
     def from_settings(cls, settings: Mapping, **overrides) -> Config:

@@ -13,8 +13,23 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_MONTHS = (
+    "jan(?:uary)?", "feb(?:ruary)?", "mar(?:ch)?", "apr(?:il)?", "may", "june?", "july?",
+    "aug(?:ust)?", "sept?(?:ember)?", "oct(?:ober)?", "nov(?:ember)?", "dec(?:ember)?",
+)
+
 # (pattern, rewrite), applied in turn; a text that does not match stays as it is.
 _REWRITES = (
+    # Named months, before or after the day, then by number.
+    (r"(?i)^([a-z]{3,9})\.? (\d{1,2})(?:st|nd|rd|th)?,? +(\d{4})( .*)?$", "$3-$1-$2$4"),
+    (r"(?i)^(\d{1,2})(?:st|nd|rd|th)?[ -]([a-z]{3,9})\.?,?[ -](\d{4})( .*)?$", "$3-$2-$1$4"),
+    *((rf"(?i)^(\d{{4}})-{name}-", f"$1-{n:02}-") for n, name in enumerate(_MONTHS, 1)),
+    # Dots as separators.
+    (r"^(\d{1,2})\.(\d{1,2})\.(\d{4}|\d{2})( .*)?$", "$1/$2/$3$4"),
+    (r"^(\d{4})\.(\d{1,2})\.(\d{1,2})( .*)?$", "$1-$2-$3$4"),
+    # Two-digit years lie between 1976 and 2075.
+    (r"^(\d{1,2})[/-](\d{1,2})[/-]([0-6]\d|7[0-5])( .*)?$", "$1/$2/20$3$4"),
+    (r"^(\d{1,2})[/-](\d{1,2})[/-](7[6-9]|[89]\d)( .*)?$", "$1/$2/19$3$4"),
     # Twelve-hour clock: 12 AM and 12 PM count from 0, then the suffix goes. The 12 hours
     # of PM are added after the cast, to texts this list leaves as a time before noon.
     (r"(?i)^(\S+) 12(:[0-5]\d(?::[0-5]\d)? ?[ap]\.?m\.?)$", "$1 00$2"),

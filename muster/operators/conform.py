@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -13,14 +13,17 @@ from muster.functions.dates import parse_date, parse_datetime
 from muster.functions.text import (
     clean_columns,
     clean_string,
+    overflows,
     parse_bool,
     parse_decimal,
     parse_double,
 )
 from muster.operators.dimensions import department_key, organization_key, with_dimension_codes
-from muster.schemas import EMPLOYEE_FILE_COLUMNS, TABLES, TIMESHEET_FILE_COLUMNS
+from muster.schemas import CONTRACTS, EMPLOYEE_FILE_COLUMNS, TABLES, TIMESHEET_FILE_COLUMNS
 
 MISSING_EMPLOYEE = "MISSING_EMPLOYEE_RECORD"
+# Ending of a metric's name that counts numbers too large for their column.
+OVERFLOW = "|overflow"
 _NULL_SPREAD = 4096
 
 _EMPLOYEE_DATES = (
@@ -45,17 +48,24 @@ def spread_nulls(key: Column, row_id: Column) -> Column:
     return F.coalesce(key, F.concat(F.lit(" "), F.pmod(row_id, F.lit(_NULL_SPREAD))))
 
 
-def _parse(cleaned: DataFrame, parsers: Mapping[str, Column], losses: Observation | None) -> DataFrame:
+def _parse(
+    cleaned: DataFrame,
+    parsers: Mapping[str, Column],
+    losses: Observation | None,
+    sized: Sequence[tuple[str, int, int]] = (),
+) -> DataFrame:
     """Replace text columns by their parsed values.
 
     ``losses`` receives, per column, the number of texts that could not be parsed,
-    counted while the rows pass through.
+    counted while the rows pass through; and for ``sized`` columns, below a name of
+    its own, how many of those are numbers that the column has no room for.
     """
     both = cleaned.withColumns({f"_{c}": parser for c, parser in parsers.items()})
     if losses is not None:
-        lost = (
+        lost = [
             F.count_if(F.col(c).isNotNull() & F.col(f"_{c}").isNull()).alias(c) for c in parsers
-        )
+        ]
+        lost += [F.count_if(overflows(c, p, s)).alias(f"{c}{OVERFLOW}") for c, p, s in sized]
         both = both.observe(losses, *lost)
     return both.drop(*parsers).withColumnsRenamed({f"_{c}": c for c in parsers})
 
@@ -63,16 +73,22 @@ def _parse(cleaned: DataFrame, parsers: Mapping[str, Column], losses: Observatio
 def conform_employees(
     raw_employee: DataFrame, now: dt.datetime, losses: Observation | None = None
 ) -> DataFrame:
-    """Typed employees with dimension keys and resolved managers."""
-    cleaned = with_dimension_codes(
-        clean_columns(raw_employee.select(*EMPLOYEE_FILE_COLUMNS), EMPLOYEE_FILE_COLUMNS)
+    """Typed employees with dimension keys and resolved managers.
+
+    Managers are resolved on the cleaned text, so the two small branches of that
+    join read the id columns only and nothing is parsed or counted twice.
+    """
+    cleaned = resolve_managers(
+        with_dimension_codes(
+            clean_columns(raw_employee.select(*EMPLOYEE_FILE_COLUMNS), EMPLOYEE_FILE_COLUMNS)
+        )
     )
     parsers = {
         "scheduled_weekly_hour": parse_decimal("scheduled_weekly_hour", 5, 2),
         "years_of_experience": parse_double("years_of_experience"),
         **{c: parse_date(c) for c in _EMPLOYEE_DATES},
     }
-    typed = _parse(cleaned, parsers, losses).withColumns(
+    typed = _parse(cleaned, parsers, losses, CONTRACTS["employee"].fixed_point).withColumns(
         {
             "id": F.xxhash64("client_employee_id"),
             "organization_id": organization_key(F.col("organization_code")),
@@ -83,7 +99,7 @@ def conform_employees(
             "updated_at": timestamp(now),
         }
     )
-    return resolve_managers(typed.select(*TABLES["silver", "employee"].names))
+    return typed.select(*TABLES["silver", "employee"].names)
 
 
 def resolve_managers(employee: DataFrame) -> DataFrame:
@@ -116,13 +132,30 @@ def _with_clean_id(raw_timesheet: DataFrame, columns: tuple[str, ...]) -> DataFr
     )
 
 
-def accepted_timesheets(raw_timesheet: DataFrame, employee: DataFrame) -> DataFrame:
-    """Cleaned text rows whose employee exists; only the id is cleaned before the split."""
+def split_timesheets(raw_timesheet: DataFrame, employee: DataFrame) -> DataFrame:
+    """Raw shifts with a clean id and ``known``: whether that is an employee's.
+
+    One join serves both sides of the split. Only the id is cleaned before it; rows
+    without id get keys that match nothing and are spread.
+    """
     columns = (*TIMESHEET_FILE_COLUMNS, "source_file")
-    known = _with_clean_id(raw_timesheet, columns).join(
-        _employee_ids(employee), "client_employee_id", "left_semi"
+    ids = _employee_ids(employee).distinct().withColumnRenamed("client_employee_id", "_known")
+    return (
+        _with_clean_id(raw_timesheet, columns)
+        .withColumn("_key", spread_nulls(F.col("client_employee_id"), F.col("id")))
+        .join(ids, F.col("_key") == F.col("_known"), "left")
+        .withColumn("known", F.col("_known").isNotNull())
+        .drop("_key", "_known")
     )
-    return clean_columns(known, columns[1:])
+
+
+def accepted_timesheets(raw_timesheet: DataFrame, employee: DataFrame) -> DataFrame:
+    """Cleaned text rows whose employee exists."""
+    return _accepted(split_timesheets(raw_timesheet, employee))
+
+
+def _accepted(split: DataFrame) -> DataFrame:
+    return clean_columns(split.filter("known").drop("known"), (*TIMESHEET_FILE_COLUMNS[1:], "source_file"))
 
 
 def conform_timesheets(
@@ -133,12 +166,19 @@ def conform_timesheets(
     losses: Observation | None = None,
 ) -> DataFrame:
     """Typed, flagged shifts of known employees; rows are parsed after the split."""
+    return conform_split(split_timesheets(raw_timesheet, employee), now, grace_minutes, losses)
+
+
+def conform_split(
+    split: DataFrame, now: dt.datetime, grace_minutes: int = 5, losses: Observation | None = None
+) -> DataFrame:
+    """The known shifts of ``split_timesheets``, typed and flagged."""
     parsers = {
         "punch_apply_date": parse_date("punch_apply_date"),
         "hours_worked": parse_decimal("hours_worked", 6, 2),
         **{c: parse_datetime(c) for c in _SHIFT_TIMES},
     }
-    typed = _parse(accepted_timesheets(raw_timesheet, employee), parsers, losses)
+    typed = _parse(_accepted(split), parsers, losses, CONTRACTS["timesheet"].fixed_point)
     flags = attendance_flags(*map(F.col, _SHIFT_TIMES), grace_minutes)
     return typed.withColumns({**flags, "created_at": timestamp(now)}).select(
         *TABLES["silver", "timesheet"].names
@@ -149,13 +189,12 @@ def rejected_timesheets(
     raw_timesheet: DataFrame, employee: DataFrame, now: dt.datetime
 ) -> DataFrame:
     """Dead letters: rows whose employee id is missing or unknown."""
+    return rejected_split(split_timesheets(raw_timesheet, employee), now)
+
+
+def rejected_split(split: DataFrame, now: dt.datetime) -> DataFrame:
+    """The other shifts of ``split_timesheets``, as dead letters."""
     kept = ("client_employee_id", "punch_apply_date", "hours_worked", "source_file")
-    ids = _employee_ids(employee).withColumnRenamed("client_employee_id", "_known")
-    unknown = (
-        _with_clean_id(raw_timesheet, kept)
-        .withColumn("_key", spread_nulls(F.col("client_employee_id"), F.col("id")))
-        .join(ids, F.col("_key") == F.col("_known"), "left_anti")
-    )
-    return clean_columns(unknown, kept[1:]).select(
+    return clean_columns(split.filter("not known").select("id", *kept), kept[1:]).select(
         "id", *kept, F.lit(MISSING_EMPLOYEE).alias("reason"), timestamp(now).alias("rejected_at")
     )

@@ -12,6 +12,9 @@ from muster.functions.text import clean_columns, overflows
 from muster.schemas import Contract
 
 
+_REPORT = "table_name string, column_name string, rule string, violations long"
+
+
 def _report(table: str, counts: DataFrame) -> DataFrame:
     """One row per count of a one-row frame whose columns are named ``column|rule``."""
     entries = counts.unpivot([], list(counts.columns), "entry", "violations")
@@ -66,21 +69,28 @@ def contract_violations(
     contract: Contract,
     parents: Mapping[str, DataFrame] | None = None,
     raw: DataFrame | None = None,
+    overflowed: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """``table_name, column_name, rule, violations``: one row per rule, 0 where it holds.
 
-    Reference rules need ``parents``; fixed-point rules need ``raw``, the text rows
-    behind ``df``, because a value that does not fit is null once typed.
+    Reference rules need ``parents``. A value that does not fit its column is null
+    once typed, so fixed-point rules need ``raw``, the text rows behind ``df``, or
+    ``overflowed``, the numbers per column that were counted while they were typed.
     """
     conditions = {f"{c}|not_null": f"{c} is null" for c in contract.not_null}
     conditions |= {f"{c}|max_length_{n}": f"char_length({c}) > {n}" for c, n in contract.max_length}
-    parts = [_row_rules(table, df, conditions)]
+    parts = [_row_rules(table, df, conditions)] if conditions else []
     parts += [_unique_rule(table, df, key) for key in contract.unique]
     if parents is not None:
         parts += [
             _reference_rule(table, df, column, parents[parent], parent_column)
             for column, parent, parent_column in contract.references
         ]
-    if raw is not None and contract.fixed_point:
+    if overflowed is not None and contract.fixed_point:
+        counted = [
+            (table, c, f"fixed_point_{p}_{s}", overflowed.get(c, 0)) for c, p, s in contract.fixed_point
+        ]
+        parts.append(df.sparkSession.createDataFrame(counted, _REPORT))
+    elif raw is not None and contract.fixed_point:
         parts.append(_overflow_rules(table, raw, contract.fixed_point))
     return reduce(DataFrame.unionByName, parts)

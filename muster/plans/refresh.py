@@ -8,32 +8,41 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from muster.config import Config
 from muster.operators.conform import (
-    accepted_timesheets,
+    OVERFLOW,
     conform_employees,
-    conform_timesheets,
-    rejected_timesheets,
+    conform_split,
+    rejected_split,
+    split_timesheets,
 )
 from muster.operators.contracts import contract_violations
 from muster.operators.dimensions import departments, organizations
 from muster.operators.quality import quality_checks
 from muster.plans.gold import gold_table
-from muster.schemas import CONTRACTS, GOLD_TABLES
+from muster.schemas import BRONZE_CONTRACTS, CONTRACTS, GOLD_CONTRACTS, GOLD_TABLES, TABLES
+from muster.sources import landing as files
 from muster.sources.export import export_gold, write_report
-from muster.sources.landing import land_employees, land_timesheets
-from muster.sources.tables import Warehouse
+from muster.sources.tables import Warehouse, write_counted
 
 log = logging.getLogger(__name__)
 
 
 class ContractError(ValueError):
-    """Silver tables break their declared rules."""
+    """Tables break their declared rules."""
+
+
+class MalformedError(ValueError):
+    """Files hold lines that are no records, and the run was told to stop on that."""
+
+
+class LostValuesError(ValueError):
+    """More values of a column could not be parsed than the run was told to bear."""
 
 
 class QualityError(ValueError):
@@ -52,72 +61,109 @@ class Summary:
 
 
 def extract(warehouse: Warehouse, source_path: str, config: Config, **landing) -> dict[str, int]:
-    """Land both kinds of files."""
+    """Land both kinds of files, and store the lines that are no records."""
     spark = warehouse.spark
-    return {
-        "employees_extracted": warehouse.write(
-            "bronze", "raw_employee", land_employees(spark, source_path, config.run_at, **landing)
-        ),
-        "timesheets_extracted": warehouse.write(
-            "bronze", "raw_timesheet", land_timesheets(spark, source_path, config.run_at, **landing)
+    employees = files.split_employees(spark, source_path, config.run_at, **landing)
+    shifts = files.split_timesheets(spark, source_path, config.run_at, **landing)
+    counts = {
+        "employees_extracted": warehouse.write("bronze", "raw_employee", employees.rows),
+        "timesheets_extracted": warehouse.write("bronze", "raw_timesheet", shifts.rows),
+        "lines_malformed": warehouse.write(
+            "bronze", "malformed_line", employees.malformed.unionByName(shifts.malformed)
         ),
     }
-
-
-def transform(warehouse: Warehouse, config: Config) -> dict[str, int]:
-    """Build the silver tables and the dead letters from bronze."""
+    if counts["lines_malformed"]:
+        found = f"{counts['lines_malformed']} malformed lines, kept in bronze.malformed_line"
+        if config.fail_on_malformed:
+            raise MalformedError(found)
+        log.warning(found)
+    return counts
+
+
+def transform(
+    warehouse: Warehouse, config: Config, target: Warehouse | None = None
+) -> tuple[dict[str, int], dict[str, dict[str, int]]]:
+    """Build the silver tables and the dead letters from bronze, in ``target``.
+
+    The shifts meet the employees once; the split is stored, and both of its sides
+    are read from there. Returns the row counts, and per table the numbers that
+    were too large for their columns.
+    """
+    target = target or warehouse
     raw_employee = warehouse.read("bronze", "raw_employee")
-    raw_timesheet = warehouse.read("bronze", "raw_timesheet")
-    warehouse.write("silver", "organization", organizations(raw_employee))
-    warehouse.write("silver", "department", departments(raw_employee))
+    target.write("silver", "organization", organizations(raw_employee))
+    target.write("silver", "department", departments(raw_employee))
     losses = {"employee": Observation(), "timesheet": Observation()}
-    employees = warehouse.write(
-        "silver",
-        "employee",
-        conform_employees(raw_employee, config.run_at, losses["employee"]),
+    employees = target.write(
+        "silver", "employee", conform_employees(raw_employee, config.run_at, losses["employee"])
     )
-    employee = warehouse.read("silver", "employee")
-    timesheets = warehouse.write(
+    employee = target.read("silver", "employee")
+    split_path = warehouse.path("staging", "split_timesheet")
+    split = split_timesheets(warehouse.read("bronze", "raw_timesheet"), employee)
+    write_counted(split, split_path)
+    split = warehouse.spark.read.schema(split.schema).parquet(split_path)
+    timesheets = target.write(
         "silver",
         "timesheet",
-        conform_timesheets(
-            raw_timesheet, employee, config.run_at, config.grace_minutes, losses["timesheet"]
-        ),
-    )
-    rejected = warehouse.write(
-        "bronze", "rejected_timesheet", rejected_timesheets(raw_timesheet, employee, config.run_at)
+        conform_split(split, config.run_at, config.grace_minutes, losses["timesheet"]),
     )
+    rejected = target.write("bronze", "rejected_timesheet", rejected_split(split, config.run_at))
+    overflowed = {}
     for table, written in (("employee", employees), ("timesheet", timesheets)):
         # Without rows the engine may drop the observed step, and nothing was lost.
-        for column, n in losses[table].get.items() if written else ():
-            if n:
-                log.warning("%s.%s: %d values could not be parsed and are null", table, column, n)
+        counts = losses[table].get if written else {}
+        overflowed[table] = {
+            c.removesuffix(OVERFLOW): n for c, n in counts.items() if c.endswith(OVERFLOW)
+        }
+        _report_lost(table, {c: n for c, n in counts.items() if n and not c.endswith(OVERFLOW)}, config)
     return {
         "employees_transformed": employees,
         "timesheets_transformed": timesheets,
         "timesheets_rejected": rejected,
-    }
+    }, overflowed
+
+
+def _report_lost(table: str, lost: Mapping[str, int], config: Config) -> None:
+    for column, n in lost.items():
+        log.warning("%s.%s: %d values could not be parsed and are null", table, column, n)
+    limit = config.max_lost_values
+    over = [f"{table}.{c}: {n}" for c, n in lost.items() if limit is not None and n > limit]
+    if over:
+        raise LostValuesError(f"values that could not be parsed: {', '.join(over)}")
 
 
-def silver_violations(warehouse: Warehouse) -> DataFrame:
-    """Contract rows of all silver tables."""
+def silver_violations(
+    warehouse: Warehouse, overflowed: Mapping[str, Mapping[str, int]] | None = None
+) -> DataFrame:
+    """Contract rows of all silver tables and of the dead letters.
+
+    ``overflowed`` comes from ``transform``. The split has just joined the shifts to
+    their employees, so that reference is not checked again.
+    """
     tables = {table: warehouse.read("silver", table) for table in CONTRACTS}
-    raw = {
-        "employee": warehouse.read("bronze", "raw_employee"),
-        "timesheet": accepted_timesheets(
-            warehouse.read("bronze", "raw_timesheet"), tables["employee"]
-        ),
-    }
+    parts = []
+    for table, contract in CONTRACTS.items():
+        if table == "timesheet":
+            contract = replace(contract, references=())
+        counted = (overflowed or {}).get(table, {})
+        parts.append(contract_violations(table, tables[table], contract, tables, overflowed=counted))
+    for table, contract in BRONZE_CONTRACTS.items():
+        parts.append(contract_violations(table, warehouse.read("bronze", table), contract))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def gold_violations(warehouse: Warehouse) -> DataFrame:
+    """Contract rows of all gold tables."""
     parts = (
-        contract_violations(table, tables[table], contract, tables, raw.get(table))
-        for table, contract in CONTRACTS.items()
+        contract_violations(table, warehouse.read("gold", table), contract)
+        for table, contract in GOLD_CONTRACTS.items()
     )
     return reduce(DataFrame.unionByName, parts)
 
 
-def enforce_contracts(warehouse: Warehouse) -> None:
-    """Stop the run when a silver table breaks its contract."""
-    broken = silver_violations(warehouse).filter("violations > 0").collect()
+def enforce(violations: DataFrame) -> None:
+    """Stop the run when a table breaks its contract."""
+    broken = violations.filter("violations > 0").collect()
     if broken:
         raise ContractError(
             "; ".join(f"{r.table_name}.{r.column_name}: {r.rule} x {r.violations}" for r in broken)
@@ -142,11 +188,13 @@ def quality(warehouse: Warehouse, config: Config) -> list[dict]:
     return [r.asDict() for r in rows]
 
 
-def postprocess(warehouse: Warehouse, config: Config) -> dict[str, int]:
-    """Write the gold tables."""
+def postprocess(
+    warehouse: Warehouse, config: Config, target: Warehouse | None = None
+) -> dict[str, int]:
+    """Write the gold tables, in ``target``."""
     silver = [warehouse.read("silver", table) for table in ("employee", "department", "timesheet")]
     return {
-        table: warehouse.write("gold", table, gold_table(table, *silver, config))
+        table: (target or warehouse).write("gold", table, gold_table(table, *silver, config))
         for table in GOLD_TABLES
     }
 
@@ -160,15 +208,27 @@ def refresh(
     export_storage: Mapping[str, str] | None = None,
     **landing,
 ) -> Summary:
-    """Run all stages in order; ``landing`` holds options of ``land_files``."""
+    """Run all stages in order; ``landing`` holds options of ``land_split``.
+
+    Silver and gold tables are built beside the stored ones and checked there; only
+    tables that keep their contract take the place of the old ones.
+    """
     config = config or Config()
     warehouse = Warehouse(spark, warehouse_path)
     extracted = extract(warehouse, source_path, config, **landing)
-    transformed = transform(warehouse, config)
+    staged = warehouse.staged()
+    transformed, overflowed = transform(warehouse, config, staged)
     if config.fail_on_contract:
-        enforce_contracts(warehouse)
+        enforce(silver_violations(staged, overflowed))
+    for layer, table in TABLES:
+        if layer == "silver" or (layer, table) == ("bronze", "rejected_timesheet"):
+            warehouse.promote(layer, table)
     checks = quality(warehouse, config)
-    loaded = postprocess(warehouse, config)
+    loaded = postprocess(warehouse, config, staged)
+    if config.fail_on_contract:
+        enforce(gold_violations(staged))
+    for table in GOLD_TABLES:
+        warehouse.promote("gold", table)
     exported = None
     if export_path is None:
         log.warning("no export path given, export skipped")

@@ -54,6 +54,13 @@ TABLES: dict[tuple[str, str], T.StructType] = {
         id="long", client_employee_id="string", punch_apply_date="string", hours_worked="string",
         source_file="string", reason="string", rejected_at="ts",
     ),
+    ("bronze", "refused_change"): _table(
+        operation="string", change_seq="long", id="long", client_employee_id="string",
+        reason="string", refused_at="ts",
+    ),
+    ("bronze", "malformed_line"): _table(
+        source_file="string", text="string", reason="string", loaded_at="ts",
+    ),
     ("silver", "organization"): _table(id="long", code="string", name="string"),
     ("silver", "department"): _table(
         id="long", code="string", name="string", organization_id="long",
@@ -166,3 +173,25 @@ CONTRACTS: dict[str, Contract] = {
         fixed_point=(("hours_worked", 6, 2),),
     ),
 }
+
+# The id of a gold row is a hash of its key for lookups; its identity is the key itself.
+GOLD_CONTRACTS: dict[str, Contract] = {
+    "kpi_headcount": Contract(not_null=("snapshot_date", "active_count"), unique=(("snapshot_date",),)),
+    "kpi_turnover": Contract(not_null=("year", "month", "terminations"), unique=(("year", "month"),)),
+    "kpi_tenure_by_department": Contract(
+        unique=(("department_name",),), max_length=(("department_name", 255),)
+    ),
+    "kpi_attendance": Contract(
+        not_null=("client_employee_id",), unique=(("client_employee_id",),),
+        max_length=(("client_employee_id", 50), ("department_name", 255)),
+    ),
+    "kpi_rolling_hours": Contract(
+        not_null=("client_employee_id", "punch_apply_date"),
+        unique=(("client_employee_id", "punch_apply_date"),), max_length=(("client_employee_id", 50),),
+    ),
+    "kpi_early_attrition": Contract(
+        unique=(("department_name",),), max_length=(("department_name", 255),)
+    ),
+}
+
+BRONZE_CONTRACTS: dict[str, Contract] = {"rejected_timesheet": Contract(not_null=("reason",))}

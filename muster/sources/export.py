@@ -22,7 +22,8 @@ def export_gold(
 ) -> dict[str, int]:
     """Copy each gold table to ``<target>/warehouse/<table>.parquet``; rows per table.
 
-    A table that fails is logged and counts 0; the others are still exported.
+    A table that storage fails on is logged and counts 0; the others are still exported.
+    Other errors are not caught.
     """
     summary = {}
     for table in GOLD_TABLES:
@@ -31,12 +32,20 @@ def export_gold(
             summary[f"gold.{table}"] = write_counted(
                 warehouse.read("gold", table), path, storage=storage
             )
-        except (PySparkException, Py4JError):
+        except (PySparkException, Py4JError) as error:
+            if not _storage_failed(error):
+                raise
             log.exception("export of %s failed", table)
             summary[f"gold.{table}"] = 0
     return summary
 
 
+def _storage_failed(error: Exception) -> bool:
+    """Whether reading or writing files lies at the bottom of an error."""
+    text = str(error)
+    return any(name in text for name in ("IOException", "FAILED_READ_FILE", "FileNotFound", "AccessDenied"))
+
+
 def write_report(checks: DataFrame, folder: str, run_at: dt.datetime) -> str:
     """Write the check rows as one JSON document ``{run_at, checks: [...]}``; its folder.
 

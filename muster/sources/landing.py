@@ -5,13 +5,12 @@ from __future__ import annotations
 import csv
 import datetime as dt
 import logging
-import re
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +20,16 @@ from muster.schemas import EMPLOYEE_FILE_COLUMNS, TABLES, TIMESHEET_FILE_COLUMNS
 
 log = logging.getLogger(__name__)
 
-_WHOLE_FILE = str(1 << 50)
+# A character that no text holds; as separator it keeps a line in one piece.
+_NO_SEPARATOR = "\uffff"
+_FORMAT = {"sep": "|", "quote": '"', "escape": '"'}
+
+TOO_MANY_FIELDS = "TOO_MANY_FIELDS"
+BROKEN_QUOTE = "BROKEN_QUOTE"
+# A quoted field, or a separator inside quotes, is taken out before separators are counted. The
+# possessive loops neither go back nor nest, however long a field is.
+_QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'
+_OPEN = r'^(?:(?:"[^"]*+(?:""[^"]*+)*+"[^|]*+|[^"|][^|]*+|)\|)*+"[^"]*+(?:""[^"]*+)*+$'
 
 
 def name_glob(pattern: str, ignore_case: bool = False) -> str:
@@ -32,52 +40,34 @@ def name_glob(pattern: str, ignore_case: bool = False) -> str:
     return glob
 
 
-def _first_line_reader():
-    """Function that passes on the first row of a partition and pulls no more of the file.
-
-    It is made here, and not at module level, so that it travels to the executors by
-    value: they need not have this package installed.
-    """
-
-    def first_line(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.slice(0, 1)
-                return
-
-    return first_line
+@dataclass(frozen=True)
+class Landed:
+    """Rows of the matching files as text, and the lines that do not fit their header."""
 
-
-def _session_for_headers(spark: SparkSession) -> SparkSession:
-    """Session of its own with the caller's settings and splits that hold one whole file."""
-    session = spark.newSession()
-    inherited = session.conf.getAll
-    for key, value in spark.conf.getAll.items():
-        if inherited.get(key) != value:
-            session.conf.set(key, value)
-    session.conf.set("spark.sql.files.maxPartitionBytes", _WHOLE_FILE)
-    session.conf.set("spark.sql.files.openCostInBytes", _WHOLE_FILE)
-    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    return session
+    rows: DataFrame
+    malformed: DataFrame
 
 
 def file_headers(
     spark: SparkSession, path: str, glob: str, recursive: bool, **storage: str
 ) -> DataFrame:
-    """``path, header`` of every matching file, read by one task per file.
+    """``path, header`` of every matching file: its first line that is not blank.
 
-    The split sizes that put each file alone into one task are set on a session of
-    their own, so the caller's settings stay as they are. A task stops after its
-    first line, so the job opens the files but does not read them through.
+    The files are read as lines with the session's split size, and a partial minimum per task passes
+    on one line per file, so neither a large file nor many small ones stand in one task's way.
     """
     lines = (
-        _session_for_headers(spark)
-        .read.options(pathGlobFilter=glob, recursiveFileLookup=recursive, **storage)
+        spark.read.options(pathGlobFilter=glob, recursiveFileLookup=recursive, **storage)
         .text(path)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("header"))
-        .filter(F.length(F.trim("header")) > 0)
+        .select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("place"),
+            "value",
+        )
     )
-    return lines.mapInArrow(_first_line_reader(), "path string, header string")
+    heads = lines.filter((F.col("block") == 0) & (F.length(F.trim("value")) > 0))
+    return heads.groupBy("path").agg(F.min_by("value", "place").alias("header"))
 
 
 def header_names(header: str) -> tuple[str, ...]:
@@ -86,51 +76,89 @@ def header_names(header: str) -> tuple[str, ...]:
     return tuple(cell.strip().lower() for cell in cells)
 
 
-def _unique(names: Sequence[str]) -> list[str]:
-    """Names for the reader; blank and repeated ones are kept apart and not selected later."""
-    seen: set[str] = set()
-    result = []
-    for i, name in enumerate(names):
-        result.append(f"_{i}" if not name or name in seen else name)
-        seen.add(name)
-    return result
+def _lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """``line, path, file`` of all lines but headers and blank ones."""
+    whole = {"sep": _NO_SEPARATOR, "quote": "", "header": "true"}
+    return (
+        spark.read.schema("line string")
+        .options(**whole, **options)
+        .csv(path)
+        .select("line", F.col("_metadata.file_path").alias("path"), _file_name().alias("file"))
+    )
 
 
-def _literal_path(uri: str) -> str:
-    """Path of a listed file, with characters escaped that a path glob would interpret."""
-    return re.sub(r"([{}\[\]*?\\])", r"\\\1", unquote(uri))
+def _file_name() -> Column:
+    """Listed names are URL-encoded, except that a plus sign stands for itself."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
 
 
-def _read_layout(
-    spark: SparkSession, paths: Sequence[str], names: Sequence[str], multi_line: bool, **options: str
-) -> DataFrame:
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in _unique(names)])
+def _with_layout(lines: DataFrame, headers: DataFrame, layouts: list[str]) -> DataFrame:
+    """Adds the number of the header that a line's file has."""
+    if len(layouts) == 1:
+        return lines.withColumn("layout", F.lit(0))
+    numbered = lines.sparkSession.createDataFrame(list(enumerate(layouts)), "layout int, header string")
+    return lines.join(headers.join(numbered, "header").select("path", "layout"), "path")
+
+
+def malformed_reason(line: Column, width: Column) -> Column:
+    """Why a line cannot be a record of ``width`` fields; null if it can.
+
+    A line with fewer fields is a record whose last fields are missing, unless a quote is open at its
+    end or it closes one that an earlier line left open: then it is a part of a broken record.
+    """
+    bare = F.regexp_replace(line, _QUOTED, "")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit("|"), F.lit(""))) + 1
+    odd = quotes % 2 == 1
+    broken = odd & (line.rlike(_OPEN) | (fields < width))
     return (
-        spark.read.schema(schema)
-        .options(sep="|", header=True, quote='"', escape='"', multiLine=multi_line, **options)
-        .csv(list(paths))
+        F.when(quotes == 0, F.when(_plain_fields(line) > width, TOO_MANY_FIELDS))
+        .when(broken, BROKEN_QUOTE)
+        .when(fields > width, TOO_MANY_FIELDS)
     )
 
 
-def _select_declared(
-    df: DataFrame, columns: Sequence[str], null_tokens: Sequence[str], loaded_at: dt.datetime
-) -> DataFrame:
-    present = set(df.columns)
-    fields = (
-        null_token(c, null_tokens) if c in present else F.lit(None).cast("string")
-        for c in columns
-    )
-    return df.select(
-        *(field.alias(c) for field, c in zip(fields, columns, strict=True)),
-        timestamp(loaded_at).alias("loaded_at"),
-        # Listed names are URL-encoded, except that a plus sign stands for itself.
-        F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias(
-            "source_file"
-        ),
-    )
+def _plain_fields(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit("|"), F.lit(""))) + 1
+
+
+def _by_layout(values: Sequence) -> Column:
+    """The value that belongs to a line's layout."""
+    if len(values) == 1:
+        return values[0]
+    return F.element_at(F.array(*values), F.col("layout") + 1)
 
 
-def land_files(
+def _records(lines: DataFrame, widest: int) -> DataFrame:
+    """``record`` with the fields ``f0, f1, ...`` of each line."""
+    fields = ", ".join(f"f{i} string" for i in range(widest))
+    return lines.withColumn("record", F.from_csv("line", fields, {**_FORMAT, "mode": "PERMISSIVE"}))
+
+
+def _multi_line(
+    spark: SparkSession, path: str, headers: DataFrame, layouts: list[str], widest: int, **options: str
+) -> DataFrame:
+    """Records that may hold line breaks; ``line`` is set where a record has not its header's width.
+
+    Such files cannot be split, and each layout is a pass over the files.
+    """
+    parts = []
+    for i, header in enumerate(layouts):
+        names = [f"f{k}" for k in range(len(header_names(header)))]
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, "line")])
+        read = (
+            spark.read.schema(schema)
+            .options(**_FORMAT, header=True, multiLine=True, columnNameOfCorruptRecord="line", **options)
+            .csv(path)
+            .select("*", F.col("_metadata.file_path").alias("path"), _file_name().alias("file"))
+        )
+        own = _with_layout(read, headers, layouts).filter(F.col("layout") == i)
+        empty = (F.lit(None).cast("string").alias(f"f{k}") for k in range(len(names), widest))
+        parts.append(own.select("line", "file", "layout", F.struct(*names, *empty).alias("record")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def land_split(
     spark: SparkSession,
     path: str,
     table: str,
@@ -142,42 +170,71 @@ def land_files(
     null_tokens: Sequence[str] = CSV_NULL_TOKENS,
     multi_line: bool = False,
     storage: Mapping[str, str] | None = None,
-) -> DataFrame:
-    """All files below ``path`` whose name holds ``pattern``, as one text table.
-
-    ``path`` may be on any file system Spark can read, with ``storage`` holding the
-    file system's own settings. A CSV read maps columns by
-    position, so files are grouped by their header and each layout is read once;
-    one layout, the usual case, is a single read of the folder. Without a matching
-    file the result is empty.
+) -> Landed:
+    """All files below ``path`` whose name holds ``pattern``, as one text table, and what did not fit.
+
+    ``path`` may be on any file system Spark can read, with ``storage`` holding the file system's own
+    settings. Columns are mapped by the header of each file; only the distinct headers come to the
+    driver, and lines find theirs by a join on the file. A line with more fields than its header, or
+    one that is a part of a record with a line break inside quotes (``multi_line`` off), goes to
+    ``malformed`` with its file, text and reason; every other line is a row. Without a matching file
+    both are empty.
     """
     glob, storage = name_glob(pattern, ignore_case), dict(storage or {})
+    empty = Landed(
+        spark.createDataFrame([], TABLES["bronze", table]),
+        spark.createDataFrame([], TABLES["bronze", "malformed_line"]),
+    )
     try:
-        headers = file_headers(spark, path, glob, recursive, **storage)
-        layouts = {header_names(r.header) for r in headers.select("header").distinct().collect()}
+        headers = file_headers(spark, path, glob, recursive, **storage).cache()
+        layouts = sorted(r.header for r in headers.select("header").distinct().collect())
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        layouts = set()
+        layouts = []
     if not layouts:
         log.warning("no file matches %s in %s", glob, path)
-        return spark.createDataFrame([], TABLES["bronze", table])
-
-    if len(layouts) == 1:
-        options = {"pathGlobFilter": glob, "recursiveFileLookup": str(recursive).lower()}
-        parts = [_read_layout(spark, [path], layouts.pop(), multi_line, **options, **storage)]
+        return empty
+
+    names = [header_names(header) for header in layouts]
+    widest = max(map(len, names))
+    width = _by_layout([F.lit(len(n)) for n in names])
+    options = {"pathGlobFilter": glob, "recursiveFileLookup": str(recursive).lower(), **storage}
+    if multi_line:
+        parsed = _multi_line(spark, path, headers, layouts, widest, **options)
+        bare = F.regexp_replace("line", _QUOTED, "")
+        # The reader gives the text of a record only together with a field of it.
+        told = F.length(F.concat_ws("", "record.f0", "line")) > 0
+        reason = F.when(told & (_plain_fields(bare) > width), TOO_MANY_FIELDS)
+        good = parsed.filter(reason.isNull())
     else:
-        files: dict[tuple[str, ...], list[str]] = {}
-        for row in headers.collect():
-            files.setdefault(header_names(row.header), []).append(_literal_path(row.path))
-        parts = [
-            _read_layout(spark, paths, names, multi_line, **storage)
-            for names, paths in sorted(files.items())
-        ]
-    landed = [_select_declared(part, columns, null_tokens, loaded_at) for part in parts]
-    # Unique, and fixed once the table is written; nothing relies on the value itself.
-    whole = reduce(DataFrame.unionByName, landed).withColumn("id", F.monotonically_increasing_id())
-    return whole.select(*TABLES["bronze", table].names)
+        parsed = _with_layout(_lines(spark, path, **options), headers, layouts)
+        reason = malformed_reason(F.col("line"), width)
+        good = _records(parsed.filter(reason.isNull()), widest)
+
+    def column(name: str) -> Column:
+        places = [n.index(name) if name in n else None for n in names]
+        missing = F.lit(None).cast("string")
+        return _by_layout([missing if p is None else F.col(f"record.f{p}") for p in places])
+
+    named = good.select(*(column(c).alias(c) for c in columns), F.col("file").alias("source_file"))
+    rows = named.select(
+        *(null_token(c, null_tokens).alias(c) for c in columns),
+        "source_file",
+        timestamp(loaded_at).alias("loaded_at"),
+        # Unique, and fixed once the table is written; nothing relies on the value itself.
+        F.monotonically_increasing_id().alias("id"),
+    ).select(*TABLES["bronze", table].names)
+    malformed = parsed.withColumn("reason", reason).filter("reason is not null").select(
+        F.col("file").alias("source_file"), F.col("line").alias("text"), "reason",
+        timestamp(loaded_at).alias("loaded_at"),
+    )
+    return Landed(rows, malformed.select(*TABLES["bronze", "malformed_line"].names))
+
+
+def land_files(*args, **options) -> DataFrame:
+    """The rows of ``land_split``."""
+    return land_split(*args, **options).rows
 
 
 def rows_per_file(landed: DataFrame) -> DataFrame:
@@ -185,19 +242,29 @@ def rows_per_file(landed: DataFrame) -> DataFrame:
     return landed.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def land_employees(
+def split_employees(
     spark: SparkSession, path: str, loaded_at: dt.datetime, pattern: str = "employee", **options
-) -> DataFrame:
-    """Employee files as ``bronze.raw_employee``; options as for ``land_files``."""
-    return land_files(
+) -> Landed:
+    """Employee files as ``bronze.raw_employee``; options as for ``land_split``."""
+    return land_split(
         spark, path, "raw_employee", EMPLOYEE_FILE_COLUMNS, pattern, loaded_at, **options
     )
 
 
-def land_timesheets(
+def split_timesheets(
     spark: SparkSession, path: str, loaded_at: dt.datetime, pattern: str = "timesheet", **options
-) -> DataFrame:
-    """Timesheet files as ``bronze.raw_timesheet``; options as for ``land_files``."""
-    return land_files(
+) -> Landed:
+    """Timesheet files as ``bronze.raw_timesheet``; options as for ``land_split``."""
+    return land_split(
         spark, path, "raw_timesheet", TIMESHEET_FILE_COLUMNS, pattern, loaded_at, **options
     )
+
+
+def land_employees(*args, **options) -> DataFrame:
+    """The rows of ``split_employees``."""
+    return split_employees(*args, **options).rows
+
+
+def land_timesheets(*args, **options) -> DataFrame:
+    """The rows of ``split_timesheets``."""
+    return split_timesheets(*args, **options).rows

@@ -18,11 +18,12 @@ def write_counted(
     path: str,
     partition_by: tuple[str, ...] = (),
     storage: Mapping[str, str] | None = None,
+    mode: str = "overwrite",
 ) -> int:
-    """Overwrite a Parquet folder and return the row count seen while writing."""
+    """Write a Parquet folder and return the row count seen while writing."""
     observed = Observation()
     counted = df.observe(observed, F.count(F.lit(1)).alias("rows"))
-    writer = counted.write.mode("overwrite").options(**(storage or {}))
+    writer = counted.write.mode(mode).options(**(storage or {}))
     writer.partitionBy(*partition_by).parquet(path)
     return observed.get.get("rows", 0)
 
@@ -54,11 +55,48 @@ class Warehouse:
 
     def write(self, layer: str, table: str, df: DataFrame) -> int:
         """Replace a table as a whole; the return value is its row count."""
-        df = df.select(*TABLES[layer, table].names)
+        df = self._declared(layer, table, df)
         if table == "timesheet":
             return write_counted(clustered_timesheets(df), self.path(layer, table), ("punch_month",))
         return write_counted(df, self.path(layer, table))
 
+    def append(self, layer: str, table: str, df: DataFrame) -> int:
+        """Add rows to a table; the return value is their number."""
+        df = self._declared(layer, table, df)
+        return write_counted(df, self.path(layer, table), mode="append")
+
+    @staticmethod
+    def _declared(layer: str, table: str, df: DataFrame) -> DataFrame:
+        """The declared columns; other types than the declared ones could not be read back."""
+        schema = TABLES[layer, table]
+        df = df.select(*schema.names)
+        other = [
+            f"{have.name} is {have.dataType.simpleString()}, not {want.dataType.simpleString()}"
+            for have, want in zip(df.schema, schema, strict=True)
+            if have.dataType != want.dataType
+        ]
+        if other:
+            raise ValueError(f"{layer}.{table}: {'; '.join(other)}")
+        return df
+
+    def staged(self) -> Warehouse:
+        """Where a run builds tables before they are checked."""
+        return Warehouse(self.spark, self.path("staging", "next"))
+
+    def promote(self, layer: str, table: str) -> None:
+        """Put a staged table into the place of the stored one, by renaming its folder."""
+        jvm, conf = self.spark._jvm, self.spark._jsparkSession.sessionState().newHadoopConf()
+        source, target = (
+            jvm.org.apache.hadoop.fs.Path(w.path(layer, table)) for w in (self.staged(), self)
+        )
+        files = target.getFileSystem(conf)
+        if not files.exists(source):
+            return
+        files.delete(target, True)
+        files.mkdirs(target.getParent())
+        if not files.rename(source, target):
+            raise OSError(f"{source} could not be renamed to {target}")
+
     def read(self, layer: str, table: str) -> DataFrame:
         """A stored table; one that was never written reads as empty."""
         schema = TABLES[layer, table]
@@ -75,8 +113,8 @@ class Warehouse:
         """Replace a table by rows derived from itself.
 
         The new rows are first written next to the table, because a folder cannot
-        be overwritten while its old files are being read.
+        be overwritten while its old files are being read; then the folders change places.
         """
-        staged = self.path("staging", table)
-        write_counted(df, staged)
-        return self.write(layer, table, self.spark.read.parquet(staged))
+        rows = self.staged().write(layer, table, df)
+        self.promote(layer, table)
+        return rows

@@ -1,10 +1,16 @@
 import random
+from decimal import Decimal
 
 import pytest
-from conftest import NOW, day, rows
+from conftest import NOW, day, moment, rows
+from pyspark.sql import functions as F
 
+from muster.config import Config
 from muster.operators import changes, reads
+from muster.plans.changes import store_changes
+from muster.plans.refresh import ContractError
 from muster.schemas import TABLES
+from muster.sources.tables import Warehouse
 
 AS_OF = day("2026-01-02")
 
@@ -155,3 +161,83 @@ def test_timesheet_reads(staff, table):
     assert ids(reads.list_employee_timesheets(staff, shifts, "A", *period)) == [1]
     with pytest.raises(reads.NotFound):
         reads.list_employee_timesheets(staff, shifts, "Z")
+
+
+def test_values_that_do_not_fit_are_refused(spark, staff, table):
+    """Other types, too much text, nulls where a value is required, and keys without a row."""
+    department = table("silver", "department", {"id": 7, "code": "c", "name": "n"}, {"id": 8, "code": "d", "name": "m"})
+    batch = spark.createDataFrame(
+        [
+            (1, 1, ["zip", "scheduled_weekly_hour", "term_date"], 12345, 40.125, moment("2024-05-06 10:00"), "x", None, 8),
+            (2, 1, ["scheduled_weekly_hour"], None, 123456.789, None, None, None, None),
+            (3, 2, ["active_status", "city"], None, None, None, "y" * 101, None, None),
+            (4, 2, ["active_status"], None, None, None, None, "maybe", None),
+            (5, 3, ["department_id"], None, None, None, None, None, 99),
+            (6, 3, ["department_id", "active_status"], None, None, None, "z" * 200, "false", None),
+        ],
+        "change_seq long, id long, set_fields array<string>, zip int, scheduled_weekly_hour double, term_date timestamp_ntz, "
+        "city string, active_status string, department_id int",
+    )
+    applied = changes.apply_employee_updates(staff, batch, NOW, {"department": department})
+    assert applied.employee.schema == staff.schema
+    changed = {r.id: r for r in applied.employee.collect()}
+    first = changed[1]
+    assert (first.zip, first.scheduled_weekly_hour, first.term_date) == ("12345", Decimal("40.13"), day("2024-05-06"))
+    assert (changed[2].city, changed[2].active_status, changed[2].updated_at) == ("Y", False, None)
+    assert (changed[3].department_id, changed[3].active_status) == (None, False)
+    assert rows(applied.rejected, "change_seq", "id", "reason") == [
+        (2, 1, "scheduled_weekly_hour: INVALID_VALUE"),
+        (3, 2, "active_status: VALUE_REQUIRED; city: TEXT_TOO_LONG"),
+        (4, 2, "active_status: INVALID_VALUE"),
+        (5, 3, "department_id: UNKNOWN_REFERENCE"),
+    ]
+
+
+def test_inserts_that_do_not_fit_are_refused(spark, staff):
+    batch = spark.createDataFrame(
+        [(1, "D", "bad day", "x"), (2, "D", "2024-01-02", "late"), (3, "E" * 51, None, None), (4, None, "bad day", None), (5, "F", None, None)],
+        "change_seq long, client_employee_id string, hire_date string, first_name string",
+    )
+    applied = changes.apply_employee_inserts(staff, batch, NOW)
+    assert applied.employee.schema == staff.schema
+    assert rows(applied.employee.filter("id not in (1, 2, 3)"), "client_employee_id", "first_name", "hire_date") == [
+        ("D", "late", day("2024-01-02")),
+        ("F", None, None),
+    ]
+    assert rows(applied.rejected, "change_seq", "reason") == [
+        (1, "hire_date: INVALID_VALUE"),
+        (3, "client_employee_id: TEXT_TOO_LONG"),
+        (4, "EMPLOYEE_ID_MISSING"),
+    ]
+
+
+def test_stored_changes(spark, staff, tmp_path):
+    """Each batch replaces the stored table, refused rows add up, and a broken contract changes nothing."""
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    config = Config(as_of=AS_OF, run_at=NOW)
+    warehouse.write("silver", "employee", staff.withColumn("department_id", F.lit(None).cast("long")))
+    new = spark.createDataFrame(
+        [(1, "D", "2024-01-01"), (2, "A", None)], "change_seq long, client_employee_id string, hire_date string"
+    )
+    assert store_changes(warehouse, "insert", new, config) == {"employees": 4, "refused": 1}
+    patch = spark.createDataFrame(
+        [(1, 1, ["city", "zip"], "Q", 9), (2, 44, ["city"], "Q", 9)],
+        "change_seq long, id long, set_fields array<string>, city string, zip int",
+    )
+    assert store_changes(warehouse, "update", patch, config) == {"employees": 4, "refused": 1}
+    gone = spark.createDataFrame([(1, 3), (2, None)], "change_seq long, id long")
+    assert store_changes(warehouse, "terminate", gone, config) == {"employees": 4, "refused": 1}
+    stored = warehouse.read("silver", "employee")
+    assert rows(stored, "client_employee_id", "city", "zip", "active_status", "term_date") == [
+        ("A", "Q", "9", True, None), ("B", "Y", None, False, None), ("C", None, None, False, AS_OF),
+        ("D", None, None, True, None),
+    ]
+    assert rows(warehouse.read("bronze", "refused_change"), "operation", "change_seq", "id", "client_employee_id", "reason") == [
+        ("insert", 2, None, "A", "EMPLOYEE_EXISTS"),
+        ("terminate", 2, None, None, "EMPLOYEE_NOT_FOUND"),
+        ("update", 2, 44, None, "EMPLOYEE_NOT_FOUND"),
+    ]
+    warehouse.write("silver", "employee", staff)
+    with pytest.raises(ContractError, match="department_id: reference"):
+        store_changes(warehouse, "terminate", gone, config)
+    assert warehouse.read("silver", "employee").filter("id = 3").first().active_status

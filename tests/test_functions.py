@@ -80,6 +80,18 @@ def test_finite_columns(spark):
         ("9999-12-31", "9999-12-31 00:00:00"),
         ("0000-01-01", None),
         ("202505", None),
+        ("May 28, 2025", "2025-05-28 00:00:00"),
+        ("september 3rd 2025 1:05 pm", "2025-09-03 13:05:00"),
+        ("28-May-2025", "2025-05-28 00:00:00"),
+        ("28 Dec. 2025 10:53", "2025-12-28 10:53:00"),
+        ("28.05.2025", "2025-05-28 00:00:00"),
+        ("05.06.2025 12:10 AM", "2025-05-06 00:10:00"),
+        ("2025.05.28", "2025-05-28 00:00:00"),
+        ("05/28/25", "2025-05-28 00:00:00"),
+        ("28-5-75 08:00", "2075-05-28 08:00:00"),
+        ("5.28.76", "1976-05-28 00:00:00"),
+        ("Mayday 28, 2025", None),
+        ("31-Feb-2025", None),
         ("2024-13-40", None),
         ("31/02/2024", None),
         ("5/28/2025 13:05 PM", None),

@@ -1,10 +1,5 @@
-import os
-import subprocess
-import sys
-
 import pytest
 from conftest import NOW, rows
-from pyspark import cloudpickle
 
 from muster.schemas import EMPLOYEE_FILE_COLUMNS, TABLES, TIMESHEET_FILE_COLUMNS
 from muster.sources import landing
@@ -88,22 +83,73 @@ def test_no_file_gives_an_empty_table(spark, tmp_path):
         assert landed.schema.names == TABLES["bronze", "raw_employee"].names
 
 
-def test_header_reading_leaves_the_session_alone(spark, tmp_path):
-    write(tmp_path, "employee.csv", EMPLOYEE_FILE_COLUMNS, "|".join(["x"] * 34))
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("fs.test.setting", "kept")
-    assert landing._session_for_headers(spark).conf.get("fs.test.setting") == "kept"
-    headers = landing.file_headers(spark, str(tmp_path), "*employee*.csv", False)
-    assert headers.count() == 1
-    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+def test_malformed_lines_are_kept_apart(spark, tmp_path):
+    columns = ("client_employee_id", "pay_code", "hours_worked")
+    lines = [
+        "1|A|8",
+        "2|A|8|more",  # too many fields
+        "3|A",  # the last field is missing
+        '4|"a|b"|8',
+        '5|"a|b"|8|"x|y"',  # too many fields
+        '6|A|"two',  # a record in two lines
+        'lines"',
+        '7|5" pipe|8',
+        '8|"say ""hi|""|"|8',
+        '"9|A|8',  # opens and never closes
+        "10|A|" + "x" * 200_000,
+    ]
+    write(tmp_path, "timesheet_1.csv", columns, *lines)
+    write(tmp_path, "timesheet_2.csv", (*columns, "extra"), "11|A|8|fits", "12|A|8|does|not")
+    landed = landing.split_timesheets(spark, str(tmp_path), NOW)
+    assert rows(landed.rows, "client_employee_id", "pay_code") == [
+        ("1", "A"), ("10", "A"), ("11", "A"), ("3", "A"), ("4", "a|b"), ("7", '5" pipe'), ("8", 'say "hi|"|'),
+    ]
+    assert rows(landed.malformed, "source_file", "text", "reason") == [
+        ("timesheet_1.csv", '"9|A|8', "BROKEN_QUOTE"),
+        ("timesheet_1.csv", "2|A|8|more", "TOO_MANY_FIELDS"),
+        ("timesheet_1.csv", '5|"a|b"|8|"x|y"', "TOO_MANY_FIELDS"),
+        ("timesheet_1.csv", '6|A|"two', "BROKEN_QUOTE"),
+        ("timesheet_1.csv", 'lines"', "BROKEN_QUOTE"),
+        ("timesheet_2.csv", "12|A|8|does|not", "TOO_MANY_FIELDS"),
+    ]
+    assert landed.malformed.schema == TABLES["bronze", "malformed_line"]
+
 
+def test_malformed_records_with_line_breaks(spark, tmp_path):
+    columns = ("client_employee_id", "pay_code", "punch_in_comment")
+    write(tmp_path, "timesheet.csv", columns, '1|A|"two\nlines"', "2|A|x|more", "3|A")
+    write(tmp_path, "timesheet_2.csv", tuple(reversed(columns)), '"x\ny"|B|4')
+    landed = landing.split_timesheets(spark, str(tmp_path), NOW, multi_line=True)
+    assert rows(landed.rows, "client_employee_id", "pay_code", "punch_in_comment") == [
+        ("1", "A", "two\nlines"), ("3", "A", None), ("4", "B", "x\ny"),
+    ]
+    assert rows(landed.malformed, "text", "reason") == [("2|A|x|more", "TOO_MANY_FIELDS")]
 
-def test_executors_need_no_package():
-    """The function sent to them loads where the package cannot be imported."""
-    load = "import sys; from pyspark import cloudpickle; cloudpickle.loads(sys.stdin.buffer.read())"
-    function = cloudpickle.dumps(landing._first_line_reader())
-    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
-    subprocess.run([sys.executable, "-c", load], input=function, cwd="/", env=environment, check=True)
+
+def test_headers_of_split_files(spark, settings, tmp_path):
+    """A file of many splits gives one header, and it is not a row."""
+    settings(files__maxPartitionBytes="2000", files__openCostInBytes="0")
+    columns = TIMESHEET_FILE_COLUMNS
+    lines = [timesheet_line(columns, client_employee_id=str(n)) for n in range(500)]
+    write(tmp_path, "timesheet.csv", columns, *lines)
+    (tmp_path / "timesheet_2.csv").write_text("\n  \n" + "|".join(columns) + "\n")
+    headers = landing.file_headers(spark, str(tmp_path), "*timesheet*.csv", False)
+    assert {r.header for r in headers.collect()} == {"|".join(columns)}
+    assert headers.count() == 2
+    landed = landing.land_timesheets(spark, str(tmp_path), NOW)
+    assert landed.rdd.getNumPartitions() > 4
+    assert rows(landed, "client_employee_id") == sorted((str(n),) for n in range(500))
+
+
+def test_landing_runs_in_the_engine_and_parses_a_line_once(spark, tmp_path):
+    columns = ("client_employee_id", "pay_code", "hours_worked")
+    write(tmp_path, "timesheet_1.csv", columns, "1|A|8")
+    write(tmp_path, "timesheet_2.csv", tuple(reversed(columns)), "8|A|2")
+    landed = landing.split_timesheets(spark, str(tmp_path), NOW)
+    for df in (landed.rows, landed.malformed):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in text and "MapInArrow" not in text
+        assert text.count("from_csv(") <= 1
 
 
 def test_header_names():

@@ -1,14 +1,24 @@
 import json
 import re
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
 from conftest import NOW, day, rows
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from muster.config import Config
+from muster.operators import conform
 from muster.operators.reads import list_timesheets
 from muster.plans import feeds
-from muster.plans.refresh import ContractError, QualityError, refresh
+from muster.plans.refresh import (
+    ContractError,
+    LostValuesError,
+    MalformedError,
+    QualityError,
+    refresh,
+)
 from muster.schemas import EMPLOYEE_FILE_COLUMNS, GOLD_TABLES, TABLES, TIMESHEET_FILE_COLUMNS
 from muster.sources.export import export_gold
 from muster.sources.landing import rows_per_file
@@ -84,7 +94,7 @@ def test_refresh_twice(spark, source, tmp_path):
     target = str(tmp_path / "export")
     for _ in range(2):
         summary = refresh(spark, str(source), str(tmp_path / "wh"), CONFIG, export_path=target)
-        assert summary.extract == {"employees_extracted": 3, "timesheets_extracted": 12}
+        assert summary.extract == {"employees_extracted": 3, "timesheets_extracted": 12, "lines_malformed": 0}
         assert summary.transform == {
             "employees_transformed": 3,
             "timesheets_transformed": 11,
@@ -97,6 +107,9 @@ def test_refresh_twice(spark, source, tmp_path):
     for (layer, name), schema in TABLES.items():
         stored = warehouse.read(layer, name).drop("punch_month")
         assert [(f.name, f.dataType) for f in stored.schema] == [(f.name, f.dataType) for f in schema]
+        if name in ("refused_change", "malformed_line"):
+            assert stored.isEmpty()
+            continue
         exact = warehouse.spark.read.parquet(warehouse.path(layer, name))
         assert exact.count() == stored.count() > 0
     assert rows(rows_per_file(warehouse.read("bronze", "raw_timesheet"))) == [("timesheet_1.csv", 10), ("timesheet_2.csv", 2)]
@@ -138,8 +151,13 @@ def test_months_are_pruned(spark, settings, source, tmp_path):
 
 def test_broken_contract_stops_the_run(spark, source, tmp_path):
     write(source / "employee_2.csv", EMPLOYEE_FILE_COLUMNS, [employee(1), employee(9, scheduled_weekly_hour="1000")])
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    warehouse.write("silver", "employee", warehouse.read("silver", "employee"))
     with pytest.raises(ContractError) as error:
         refresh(spark, str(source), str(tmp_path / "wh"), CONFIG)
+    # Nothing took the place of the stored tables.
+    assert warehouse.read("silver", "employee").isEmpty()
+    assert warehouse.read("silver", "timesheet").isEmpty()
     assert "client_employee_id: unique x 1" in str(error.value)
     assert "scheduled_weekly_hour: fixed_point_5_2 x 1" in str(error.value)
     lenient = Config(as_of=CONFIG.as_of, run_at=NOW, fail_on_contract=False)
@@ -199,3 +217,53 @@ def test_replace_table_by_rows_of_itself(spark, source, tmp_path):
     staff = warehouse.read("silver", "employee").filter("active_status")
     assert warehouse.replace("silver", "employee", staff) == 2
     assert warehouse.read("silver", "employee").count() == 2
+
+
+def test_other_types_are_not_stored(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    wrong = warehouse.read("silver", "organization").withColumn("id", F.lit("x"))
+    with pytest.raises(ValueError, match="silver.organization: id is string, not bigint"):
+        warehouse.write("silver", "organization", wrong)
+
+
+def test_malformed_lines_stop_the_run_unless_told(spark, source, tmp_path):
+    with open(source / "timesheet_1.csv", "a") as file:
+        file.write("x|" * 20 + "\n")
+    with pytest.raises(MalformedError, match="1 malformed"):
+        refresh(spark, str(source), str(tmp_path / "wh"), CONFIG)
+    lenient = replace(CONFIG, fail_on_malformed=False)
+    assert refresh(spark, str(source), str(tmp_path / "wh"), lenient).extract["lines_malformed"] == 1
+    kept = Warehouse(spark, str(tmp_path / "wh")).read("bronze", "malformed_line")
+    assert rows(kept, "source_file", "text", "reason") == [("timesheet_1.csv", "x|" * 20, "TOO_MANY_FIELDS")]
+
+
+def test_lost_values_stop_the_run_beyond_a_limit(spark, source, tmp_path):
+    write(source / "employee_2.csv", EMPLOYEE_FILE_COLUMNS, [employee(n, hire_date="soon") for n in (8, 9)])
+    assert refresh(spark, str(source), str(tmp_path / "wh"), replace(CONFIG, max_lost_values=2))
+    with pytest.raises(LostValuesError, match="employee.hire_date: 2"):
+        refresh(spark, str(source), str(tmp_path / "wh"), replace(CONFIG, max_lost_values=1))
+
+
+def test_raw_shifts_are_shuffled_once(spark, settings, source, tmp_path):
+    """The stored split is the only plan that joins the raw shifts, and both sides read it."""
+    settings(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
+    refresh(spark, str(source), str(tmp_path / "wh"), CONFIG)
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    raw, staff = warehouse.read("bronze", "raw_timesheet"), warehouse.read("silver", "employee")
+    split = conform.split_timesheets(raw, staff)
+    text = split._jdf.queryExecution().executedPlan().toString()
+    assert text.count("raw_timesheet") == 1 and text.count("Join") == 1
+    stored = spark.read.parquet(warehouse.path("staging", "split_timesheet"))
+    for side in (conform.conform_split(stored, NOW, 5, Observation()), conform.rejected_split(stored, NOW)):
+        assert "Exchange" not in side._jdf.queryExecution().executedPlan().toString()
+
+
+def test_manager_branches_parse_nothing(spark, settings, source, tmp_path):
+    settings(autoBroadcastJoinThreshold="-1", adaptive__enabled="false", maxMetadataStringLength="10000")
+    refresh(spark, str(source), str(tmp_path / "wh"), CONFIG)
+    raw = Warehouse(spark, str(tmp_path / "wh")).read("bronze", "raw_employee")
+    typed = conform.conform_employees(raw, NOW, Observation())
+    text = typed._jdf.queryExecution().executedPlan().toString()
+    schemas = re.findall(r"ReadSchema: struct<(.*?)>", text)
+    assert len(schemas) == 3 and sum("hire_date" in s for s in schemas) == 1
+    assert text.count("CollectMetrics") == 1

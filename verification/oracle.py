@@ -356,6 +356,23 @@ last_set as (
   from orders group by o_custkey)"""
 
 
+_CHECKED_UPDATES = f"""with {_EMPLOYEE},
+written as (
+  select o_orderkey as change_seq, o_custkey as id, o_orderstatus,
+    case o_orderpriority when '1-URGENT' then 'scheduled_weekly_hour' when '2-HIGH' then 'department_id'
+      when '3-MEDIUM' then 'active_status' else 'zip' end as field,
+    case when o_orderpriority = '1-URGENT' then cast(round(o_totalprice) as bigint) end as hundredths
+  from orders),
+judged as (
+  select *, case
+    when field = 'scheduled_weekly_hour' and hundredths > 99999 then 'scheduled_weekly_hour: INVALID_VALUE'
+    when field = 'department_id' and change_seq % 40 not in (select n_nationkey from nation)
+      then 'department_id: UNKNOWN_REFERENCE'
+    when field = 'active_status' and o_orderstatus = 'P' then 'active_status: INVALID_VALUE'
+    when field = 'active_status' and o_orderstatus <> 'O' then 'active_status: VALUE_REQUIRED' end as reason
+  from written)"""
+
+
 def statements() -> dict[str, str]:
     """SQL per query key."""
     sql = {
@@ -524,9 +541,54 @@ from shifts"""
         for name, (source, measure) in measures.items()
     )
     sql["refresh_row_counts"] = _refresh_counts()
+    sql["parse_named_dates"] = """with dated as (select o_orderkey, cast(o_orderdate as date) as d from orders)
+select o_orderkey, case o_orderkey % 7 when 6 then null
+  when 3 then case when day(d) <= 12 then make_date(year(d), day(d), month(d)) else d end
+  else d end as value from dated"""
+    sql["refused_employee_changes"] = f"""{_CHECKED_UPDATES}
+select change_seq, id, reason from judged where reason is not null
+union all select change_seq, id, 'EMPLOYEE_NOT_FOUND' from judged
+where reason is null and id not in (select id from employee)"""
+    sql["stored_employee_changes"] = f"""{_CHECKED_UPDATES}, lasts as (
+  select id, max(case when field = 'zip' then change_seq end) as zip_seq,
+    max(case when field = 'department_id' then change_seq end) as department_seq,
+    max(case when field = 'active_status' then change_seq end) as status_seq,
+    max(case when field = 'scheduled_weekly_hour' then change_seq end) as weekly_seq
+  from judged where reason is null group by id)
+select client_employee_id, cast(zip_seq as varchar) as zip,
+  coalesce(department_seq % 40, department_id) as department_id,
+  case when status_seq is not null then true else active_status end as active_status,
+  coalesce(j.hundredths, cast(case when abs(years_of_experience) < 999
+    then round(years_of_experience * 100) end as bigint)) as weekly_hundredths
+from employee e left join lasts l on l.id = e.id left join judged j on j.change_seq = weekly_seq"""
+    sql["malformed_lines"] = """with kinds as (
+  select o_orderkey, case o_orderkey % 7 when 0 then 'TOO_MANY_FIELDS' when 1 then 'BROKEN_QUOTE'
+    when 2 then 'SHORT' else 'WHOLE' end as kind from orders)
+select kind, count(*) as lines, cast(sum(o_orderkey) as bigint) as checksum from kinds group by kind"""
+    known = "select n_nationkey from nation where n_regionkey < 3"
+    sql["contract_breaches"] = " union all ".join(
+        [
+            _rule("customer", "c_custkey", "not_null", "select count(*) from customer where c_custkey is null"),
+            _rule("customer", "name", "not_null", "select count(*) from customer where not c_acctbal > 0"),
+            _rule("customer", "c_custkey", "unique", _repeated("customer", "c_custkey")),
+            _rule("customer", "c_nationkey,c_mktsegment", "unique", _repeated("customer", "c_nationkey, c_mktsegment")),
+            _rule("customer", "c_nationkey", "reference",
+                  f"select count(*) from customer where c_nationkey not in ({known})"),
+            _rule("customer", "c_mktsegment", "max_length_8",
+                  "select count(*) from customer where length(c_mktsegment) > 8"),
+            _rule("customer", "name", "max_length_255",
+                  "select count(*) from customer where c_acctbal > 0 and length(c_name) > 255"),
+            _rule("customer", "balance", "fixed_point_5_2",
+                  "select count(*) from customer where abs(c_acctbal) >= 1000"),
+        ]
+    )
     return sql
 
 
+def _repeated(table: str, key: str) -> str:
+    return f"select count(*) from (select {key} from {table} group by {key} having count(*) > 1)"
+
+
 def _refresh_counts() -> str:
     """Table sizes of a refresh; sizes of gold tables follow from their keys."""
     sized = f"""{_SPLIT}, hired as (select * from silver_employee where hire_date is not null),

@@ -26,6 +26,7 @@ from muster.functions.text import (
 )
 from muster.operators import changes, conform, contracts, dimensions, quality, reads
 from muster.plans import feeds, gold, kpi, refresh
+from muster.plans.changes import store_changes
 from muster.schemas import CONTRACTS, GOLD_TABLES
 from muster.session import shared_folder
 from muster.sources import export, landing
@@ -220,6 +221,18 @@ def parse_date_(v: Views) -> DataFrame:
     return cleaned.select("o_orderkey", parse_date("text").alias("value"))
 
 
+@_query
+def parse_named_dates(v: Views) -> DataFrame:
+    """Order dates with named months, dots and two-digit years; some name no month."""
+    formats = ("MMMM d, yyyy", "dd-MMM-yyyy", "d MMM. yyyy HH:mm", "dd.MM.yyyy", "yyyy.MM.dd", "MM/dd/yy")
+    written = F.lit("Smarch 1, 1995")
+    for n, form in enumerate(formats):
+        written = F.when(F.col("o_orderkey") % 7 == n, F.date_format("o_orderdate", form)).otherwise(written)
+    return v.table("orders").select("o_orderkey", written.alias("text")).select(
+        "o_orderkey", parse_date("text").alias("value")
+    )
+
+
 @_query
 def parse_datetime_(v: Views) -> DataFrame:
     cleaned = clean_columns(v.raw_timesheet, ["punch_in_datetime"])
@@ -363,6 +376,27 @@ def contract_violations(v: Views) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@_query
+def contract_breaches(v: Views) -> DataFrame:
+    """Every kind of rule on customers, who break each of them."""
+    rule = contracts.Contract(
+        not_null=("c_custkey", "name"),
+        unique=(("c_custkey",), ("c_nationkey", "c_mktsegment")),
+        references=(("c_nationkey", "nation", "n_nationkey"),),
+        max_length=(("c_mktsegment", 8), ("name", 255)),
+        fixed_point=(("balance", 5, 2),),
+    )
+    customers = v.table("customer").select(
+        "c_custkey",
+        "c_nationkey",
+        "c_mktsegment",
+        F.when(F.col("c_acctbal") > 0, F.col("c_name")).alias("name"),
+        F.col("c_acctbal").cast("string").alias("balance"),
+    )
+    parents = {"nation": v.table("nation").filter("n_regionkey < 3")}
+    return contracts.contract_violations("customer", customers, rule, parents, customers)
+
+
 @_query
 def duplicate_line_numbers(v: Views) -> DataFrame:
     """The unique rule on a table that breaks it."""
@@ -508,9 +542,76 @@ def apply_employee_terminations(v: Views) -> DataFrame:
     return applied.employee.select("client_employee_id", "hire_date", "term_date", "active_status")
 
 
+def _checked_updates(v: Views) -> DataFrame:
+    """One change per order, in other types than the table's; many do not fit."""
+    sets = {
+        "1-URGENT": F.array(F.lit("scheduled_weekly_hour")),
+        "2-HIGH": F.array(F.lit("department_id")),
+        "3-MEDIUM": F.array(F.lit("active_status")),
+    }
+    status = F.when(F.col("o_orderstatus") == "O", "true").when(F.col("o_orderstatus") == "P", "perhaps")
+    return v.table("orders").select(
+        F.col("o_orderkey").alias("change_seq"),
+        F.col("o_custkey").alias("id"),
+        case("o_orderpriority", sets, F.array(F.lit("zip"))).alias("set_fields"),
+        (F.col("o_totalprice") / 100).alias("scheduled_weekly_hour"),
+        (F.col("o_orderkey") % 40).cast("int").alias("department_id"),
+        status.alias("active_status"),
+        F.col("o_orderkey").cast("int").alias("zip"),
+    )
+
+
+@_query
+def refused_employee_changes(v: Views) -> DataFrame:
+    """Changes whose values do not fit, with their reasons, and those of unknown employees."""
+    parents = {"department": v.department}
+    return changes.apply_employee_updates(v.employee, _checked_updates(v), RUN_AT, parents).rejected
+
+
+@_query
+def stored_employee_changes(v: Views) -> DataFrame:
+    """The same batch stored: what the table then holds of the columns it sets."""
+    warehouse = Warehouse(v.spark, shared_folder(v.spark, "changes"))
+    warehouse.write("silver", "employee", v.employee)
+    warehouse.write("silver", "department", v.department)
+    store_changes(warehouse, "update", _checked_updates(v), CONFIG)
+    return warehouse.read("silver", "employee").select(
+        "client_employee_id",
+        "zip",
+        "department_id",
+        "active_status",
+        (F.col("scheduled_weekly_hour") * 100).cast("long").alias("weekly_hundredths"),
+    )
+
+
 # Files and stored tables
 
 
+@_query
+def malformed_lines(v: Views) -> DataFrame:
+    """Rows, and lines that are none by reason: number and sum of the ids they begin with."""
+    key = F.col("o_orderkey")
+    line = (
+        F.when(key % 7 == 0, F.concat(key, F.lit("|A|8|more")))
+        .when(key % 7 == 1, F.concat(key, F.lit('|A|"open')))
+        .when(key % 7 == 2, F.concat(key, F.lit("|A")))
+        .otherwise(F.concat(key, F.lit('|"a|b"|8')))
+    )
+    path = shared_folder(v.spark, "malformed-files")
+    header = "client_employee_id|pay_code|hours_worked"
+    lines = v.table("orders").select(line.alias(header))
+    lines.write.options(sep="\uffff", quote="", header=True).csv(path)
+    landed = landing.split_timesheets(v.spark, path, RUN_AT, pattern="part")
+    first = F.split_part("text", F.lit("|"), F.lit(1))
+    kinds = landed.rows.select(
+        F.when(F.col("hours_worked").isNull(), "SHORT").otherwise("WHOLE").alias("kind"),
+        F.col("client_employee_id").alias("number"),
+    ).unionByName(landed.malformed.select(F.col("reason").alias("kind"), first.alias("number")))
+    return kinds.groupBy("kind").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(F.col("number").cast("long")).alias("checksum")
+    )
+
+
 @_query
 def land_employees(v: Views) -> DataFrame:
     path = shared_folder(v.spark, "employee-files")
