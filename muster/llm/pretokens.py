@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from itertools import islice
 
 import regex
+from tokenizers.pre_tokenizers import ByteLevel
 
 from muster.llm.workers import worker_held
 
@@ -16,16 +17,22 @@ CHUNK = 1 << 18
 STAND_IN = "\ue000"
 
 
-def _unassigned_letters() -> regex.Pattern:
-    """Code points that the regex module takes for letters or numbers and Unicode 15.1 doesn't have.
+def _unknown_letters() -> regex.Pattern:
+    """Code points that the regex module takes for letters or numbers, and the tokenizer libraries don't.
 
-    The tokenizer libraries treat them as other characters; tests/llm compares all code points.
+    Their Unicode tables are of different age. Only what Python's own table doesn't know is asked about.
     """
-    known = regex.compile(r"[\p{L}\p{N}]")
-    odd = [
-        c for c in range(0x110000)
-        if unicodedata.category(chr(c)) == "Cn" and known.match(chr(c))
-    ]
+    library = ByteLevel(add_prefix_space=False, use_regex=True)
+    odd = []
+    for kind, base in ((r"\p{L}", "a"), (r"\p{N}", "1")):
+        held = regex.compile(kind)
+        asked = [
+            c for c in map(chr, range(0x110000)) if unicodedata.category(c) == "Cn" and held.match(c)
+        ]
+        # What the library knows joins the letter or number before it; else a split ends between them.
+        ends = {end for _, (_, end) in library.pre_tokenize_str("".join(f"{base}{c}!" for c in asked))}
+        odd += [ord(c) for n, c in enumerate(asked) if 3 * n + 1 in ends]
+    odd.sort()
     ends = [a for a, b in zip(odd, [*odd[1:], -1], strict=True) if b != a + 1]
     starts = [b for a, b in zip([-2, *odd[:-1]], odd, strict=True) if b != a + 1]
     ranges = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends, strict=True))
@@ -59,7 +66,7 @@ def splitter(pattern: str) -> Callable[[str], Iterator[list[str]]]:
             text.encode("latin-1")
         except UnicodeEncodeError:
             # Stand-ins for letters that the libraries don't know.
-            plain, compiled = worker_held("unassigned", _unassigned_letters).sub(STAND_IN, text), whole
+            plain, compiled = worker_held("unknown letters", _unknown_letters).sub(STAND_IN, text), whole
         if plain == text and len(text) <= CHUNK:
             yield compiled.findall(text)
             return

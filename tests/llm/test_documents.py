@@ -206,6 +206,20 @@ def test_every_code_point_splits_as_in_the_library():
         assert [t for tokens in split(text) for t in tokens] == ends
 
 
+def test_every_letter_and_number_encodes_as_in_the_library():
+    import regex
+
+    from muster.llm.pretokens import splitter
+
+    ranks = byte_bpe.read_ranks(byte_bpe.VOCABULARY)
+    codec = byte_bpe.Codec(byte_bpe.serialise(ranks), sorted(ranks.values()))
+    split = splitter(token_counts.public_tokenizers.PATTERN)
+    points = regex.findall(r"[\p{L}\p{N}\s]", "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)])))
+    texts = ["".join(f"a{c}1{c} {c}!{c}" for c in points[i : i + 4000]) for i in range(0, len(points), 4000)]
+    for (_, n, _, _), text in zip(plain.byte_bpe(list(enumerate(texts))), texts, strict=True):
+        assert sum(map(len, codec.encode([t for tokens in split(text) for t in tokens]))) == n
+
+
 def test_cache_that_overflows_gives_the_same():
     from muster.llm.pretokens import Bounded
 
