@@ -132,30 +132,32 @@ def _with_clean_id(raw_timesheet: DataFrame, columns: tuple[str, ...]) -> DataFr
     )
 
 
-def split_timesheets(raw_timesheet: DataFrame, employee: DataFrame) -> DataFrame:
+def split_timesheets(raw_timesheet: DataFrame, ids: DataFrame) -> DataFrame:
     """Raw shifts with a clean id and ``known``: whether that is an employee's.
 
-    One join serves both sides of the split. Only the id is cleaned before it; rows
-    without id get keys that match nothing and are spread.
+    One join serves both sides of the split. ``ids`` is a stored table with each
+    ``client_employee_id`` once: read from storage, and not straight from the
+    aggregate that made it, it lets the engine split a hot employee. Only the id is
+    cleaned before the join; rows without id get keys that match nothing and are spread.
     """
     columns = (*TIMESHEET_FILE_COLUMNS, "source_file")
-    ids = _employee_ids(employee).distinct().withColumnRenamed("client_employee_id", "_known")
+    known = ids.select(F.col("client_employee_id").alias("_known"))
     return (
         _with_clean_id(raw_timesheet, columns)
         .withColumn("_key", spread_nulls(F.col("client_employee_id"), F.col("id")))
-        .join(ids, F.col("_key") == F.col("_known"), "left")
+        .join(known, F.col("_key") == F.col("_known"), "left")
         .withColumn("known", F.col("_known").isNotNull())
         .drop("_key", "_known")
     )
 
 
 def accepted_timesheets(raw_timesheet: DataFrame, employee: DataFrame) -> DataFrame:
-    """Cleaned text rows whose employee exists."""
-    return _accepted(split_timesheets(raw_timesheet, employee))
-
-
-def _accepted(split: DataFrame) -> DataFrame:
-    return clean_columns(split.filter("known").drop("known"), (*TIMESHEET_FILE_COLUMNS[1:], "source_file"))
+    """Cleaned text rows whose employee exists; only the id is cleaned before the split."""
+    columns = (*TIMESHEET_FILE_COLUMNS, "source_file")
+    known = _with_clean_id(raw_timesheet, columns).join(
+        _employee_ids(employee), "client_employee_id", "left_semi"
+    )
+    return clean_columns(known, columns[1:])
 
 
 def conform_timesheets(
@@ -166,19 +168,27 @@ def conform_timesheets(
     losses: Observation | None = None,
 ) -> DataFrame:
     """Typed, flagged shifts of known employees; rows are parsed after the split."""
-    return conform_split(split_timesheets(raw_timesheet, employee), now, grace_minutes, losses)
+    return _typed_timesheets(accepted_timesheets(raw_timesheet, employee), now, grace_minutes, losses)
 
 
 def conform_split(
     split: DataFrame, now: dt.datetime, grace_minutes: int = 5, losses: Observation | None = None
 ) -> DataFrame:
     """The known shifts of ``split_timesheets``, typed and flagged."""
+    known = split.filter("known").drop("known")
+    accepted = clean_columns(known, (*TIMESHEET_FILE_COLUMNS[1:], "source_file"))
+    return _typed_timesheets(accepted, now, grace_minutes, losses)
+
+
+def _typed_timesheets(
+    accepted: DataFrame, now: dt.datetime, grace_minutes: int, losses: Observation | None
+) -> DataFrame:
     parsers = {
         "punch_apply_date": parse_date("punch_apply_date"),
         "hours_worked": parse_decimal("hours_worked", 6, 2),
         **{c: parse_datetime(c) for c in _SHIFT_TIMES},
     }
-    typed = _parse(_accepted(split), parsers, losses, CONTRACTS["timesheet"].fixed_point)
+    typed = _parse(accepted, parsers, losses, CONTRACTS["timesheet"].fixed_point)
     flags = attendance_flags(*map(F.col, _SHIFT_TIMES), grace_minutes)
     return typed.withColumns({**flags, "created_at": timestamp(now)}).select(
         *TABLES["silver", "timesheet"].names
@@ -189,12 +199,23 @@ def rejected_timesheets(
     raw_timesheet: DataFrame, employee: DataFrame, now: dt.datetime
 ) -> DataFrame:
     """Dead letters: rows whose employee id is missing or unknown."""
-    return rejected_split(split_timesheets(raw_timesheet, employee), now)
+    kept = ("client_employee_id", "punch_apply_date", "hours_worked", "source_file")
+    ids = _employee_ids(employee).withColumnRenamed("client_employee_id", "_known")
+    unknown = (
+        _with_clean_id(raw_timesheet, kept)
+        .withColumn("_key", spread_nulls(F.col("client_employee_id"), F.col("id")))
+        .join(ids, F.col("_key") == F.col("_known"), "left_anti")
+    )
+    return _dead_letters(unknown, now)
 
 
 def rejected_split(split: DataFrame, now: dt.datetime) -> DataFrame:
     """The other shifts of ``split_timesheets``, as dead letters."""
+    return _dead_letters(split.filter("not known"), now)
+
+
+def _dead_letters(unknown: DataFrame, now: dt.datetime) -> DataFrame:
     kept = ("client_employee_id", "punch_apply_date", "hours_worked", "source_file")
-    return clean_columns(split.filter("not known").select("id", *kept), kept[1:]).select(
+    return clean_columns(unknown.select("id", *kept), kept[1:]).select(
         "id", *kept, F.lit(MISSING_EMPLOYEE).alias("reason"), timestamp(now).alias("rejected_at")
     )

@@ -98,10 +98,9 @@ def transform(
         "silver", "employee", conform_employees(raw_employee, config.run_at, losses["employee"])
     )
     employee = target.read("silver", "employee")
-    split_path = warehouse.path("staging", "split_timesheet")
-    split = split_timesheets(warehouse.read("bronze", "raw_timesheet"), employee)
-    write_counted(split, split_path)
-    split = warehouse.spark.read.schema(split.schema).parquet(split_path)
+    ids = _kept(warehouse, "employee_id", employee.select("client_employee_id").distinct())
+    raw_timesheet = warehouse.read("bronze", "raw_timesheet")
+    split = _kept(warehouse, "split_timesheet", split_timesheets(raw_timesheet, ids))
     timesheets = target.write(
         "silver",
         "timesheet",
@@ -123,6 +122,13 @@ def transform(
     }, overflowed
 
 
+def _kept(warehouse: Warehouse, name: str, df: DataFrame) -> DataFrame:
+    """``df`` stored among the staged tables until the next run."""
+    path = warehouse.path("staging", name)
+    write_counted(df, path)
+    return warehouse.spark.read.schema(df.schema).parquet(path)
+
+
 def _report_lost(table: str, lost: Mapping[str, int], config: Config) -> None:
     for column, n in lost.items():
         log.warning("%s.%s: %d values could not be parsed and are null", table, column, n)

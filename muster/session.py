@@ -21,30 +21,44 @@ _SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
-# On a cluster shuffles start from many partitions, so that one of them fits into
-# a task's memory at terabytes of shuffled rows, and AQE merges them for smaller
-# ones up to the advisory size, which is also the size of a rebalanced write. Larger
-# scan splits keep the task count of a full scan in bounds.
+# On a cluster AQE merges shuffle partitions up to the advisory size, which is also the
+# size of a rebalanced write. Larger scan splits keep the task count of a full scan in
+# bounds.
+_PARTITION_BYTES = 256 << 20
 _CLUSTER_SETTINGS = {
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(_PARTITION_BYTES),
+    "spark.sql.files.maxPartitionBytes": str(_PARTITION_BYTES),
 }
+# Merging only goes one way, so shuffles start from one partition per advisory size of
+# the input; more than the upper bound would cost the driver more than it saves a task.
+_FEWEST, _MOST = 1024, 400_000
+
+
+def initial_partitions(input_bytes: int) -> int:
+    """Shuffle partitions to start from, so that none exceeds the advisory size if all input is shuffled."""
+    return min(_MOST, max(_FEWEST, -(-input_bytes // _PARTITION_BYTES)))
 
 
 def build_session(
     app: str = "muster",
     master: str | None = None,
     shuffle_partitions: int | None = None,
+    input_bytes: int = 2 << 40,
     **extra: str,
 ) -> SparkSession:
-    """Session with the settings above; ``master`` only for local runs."""
+    """Session with the settings above; ``master`` only for local runs.
+
+    On a cluster ``input_bytes``, the size of what a job reads, sets how many partitions
+    its shuffles start from.
+    """
     builder = SparkSession.builder.appName(app)
     settings = dict(_SETTINGS)
     if master:
         builder = builder.master(master)
     else:
         settings.update(_CLUSTER_SETTINGS)
+        start = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+        settings[start] = str(initial_partitions(input_bytes))
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(extra)

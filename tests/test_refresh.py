@@ -246,11 +246,12 @@ def test_lost_values_stop_the_run_beyond_a_limit(spark, source, tmp_path):
 
 def test_raw_shifts_are_shuffled_once(spark, settings, source, tmp_path):
     """The stored split is the only plan that joins the raw shifts, and both sides read it."""
-    settings(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
+    settings(autoBroadcastJoinThreshold="-1", adaptive__enabled="false", maxMetadataStringLength="10000")
     refresh(spark, str(source), str(tmp_path / "wh"), CONFIG)
     warehouse = Warehouse(spark, str(tmp_path / "wh"))
-    raw, staff = warehouse.read("bronze", "raw_timesheet"), warehouse.read("silver", "employee")
-    split = conform.split_timesheets(raw, staff)
+    raw = warehouse.read("bronze", "raw_timesheet")
+    ids = spark.read.parquet(warehouse.path("staging", "employee_id"))
+    split = conform.split_timesheets(raw, ids)
     text = split._jdf.queryExecution().executedPlan().toString()
     assert text.count("raw_timesheet") == 1 and text.count("Join") == 1
     stored = spark.read.parquet(warehouse.path("staging", "split_timesheet"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from muster.operators import conform
 from muster.plans import kpi
 from muster.schemas import TABLES
+from muster.session import initial_partitions
 from verification.queries import registered
 
 FOLDER = "/root/testdata/sf0.001"
@@ -90,8 +91,10 @@ def test_hot_employee_is_split_in_the_join(spark, settings, shifts, staff):
     )
     raw = shifts("000001")("bronze", "raw_timesheet").repartition(8)
     observed = Observation()
+    ids = staff.select("client_employee_id")
     for accepted in (
         conform.accepted_timesheets(raw, staff),
+        conform.split_timesheets(raw, ids),
         conform.conform_timesheets(raw, staff, NOW, 5, observed),
     ):
         accepted.collect()
@@ -137,3 +140,10 @@ def test_aggregates_shrink_rows_before_they_are_shuffled(spark, settings, shifts
 def test_manager_lookup_spreads_employees_without_manager(spark, settings, staff):
     settings(autoBroadcastJoinThreshold="-1", adaptive__enabled="false", shuffle__partitions="16")
     assert shares(conform.resolve_managers(staff)) < 0.2
+
+
+def test_shuffles_start_from_the_input_size():
+    assert initial_partitions(1 << 30) == 1024
+    assert initial_partitions(50 << 40) == 204_800
+    assert initial_partitions(1 << 60) == 400_000
+    assert initial_partitions(2 << 40) == 8192
