@@ -23,7 +23,8 @@ class Config:
     ``as_of`` replaces the database clock: it closes the headcount calendar and
     the tenure of active employees, and it is the date of a soft delete. With
     ``max_lost_values`` the run stops when more values of one column could not be
-    parsed; without, they are counted in the log.
+    parsed; without, they are counted in the log. When two business keys share a
+    surrogate key, the contract names ``id: unique``, and another ``key_salt`` helps.
     """
 
     as_of: dt.date = field(default_factory=dt.date.today)
@@ -37,6 +38,7 @@ class Config:
     fail_on_contract: bool = True
     fail_on_malformed: bool = True
     max_lost_values: int | None = None
+    key_salt: int = 0
 
     @classmethod
     def from_settings(cls, settings: Mapping, **overrides) -> Config:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from muster.operators.conform import spread_nulls, timestamp
+from muster.operators.dimensions import surrogate_key
 from muster.schemas import CONTRACTS, TABLES
 
 EMPLOYEE_EXISTS = "EMPLOYEE_EXISTS"
@@ -89,6 +90,7 @@ def apply_employee_inserts(
     changes: DataFrame,
     now: dt.datetime,
     parents: Mapping[str, DataFrame] | None = None,
+    salt: int = 0,
 ) -> Applied:
     """Add employees whose id is new; of several valid rows with one id the first counts.
 
@@ -116,7 +118,7 @@ def apply_employee_inserts(
         .join(employee.select(key), key, "left_anti")
     )
     values = {
-        "id": F.xxhash64(key),
+        "id": surrogate_key(F.col(key), salt=salt),
         key: F.col(key),
         "active_status": F.col("row.active_status") if "active_status" in fields else F.lit(True),
         "created_at": timestamp(now),

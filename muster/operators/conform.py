@@ -18,7 +18,12 @@ from muster.functions.text import (
     parse_decimal,
     parse_double,
 )
-from muster.operators.dimensions import department_key, organization_key, with_dimension_codes
+from muster.operators.dimensions import (
+    department_key,
+    organization_key,
+    surrogate_key,
+    with_dimension_codes,
+)
 from muster.schemas import CONTRACTS, EMPLOYEE_FILE_COLUMNS, TABLES, TIMESHEET_FILE_COLUMNS
 
 MISSING_EMPLOYEE = "MISSING_EMPLOYEE_RECORD"
@@ -71,7 +76,10 @@ def _parse(
 
 
 def conform_employees(
-    raw_employee: DataFrame, now: dt.datetime, losses: Observation | None = None
+    raw_employee: DataFrame,
+    now: dt.datetime,
+    losses: Observation | None = None,
+    salt: int = 0,
 ) -> DataFrame:
     """Typed employees with dimension keys and resolved managers.
 
@@ -90,9 +98,11 @@ def conform_employees(
     }
     typed = _parse(cleaned, parsers, losses, CONTRACTS["employee"].fixed_point).withColumns(
         {
-            "id": F.xxhash64("client_employee_id"),
-            "organization_id": organization_key(F.col("organization_code")),
-            "department_id": department_key(F.col("organization_code"), F.col("department_code")),
+            "id": surrogate_key(F.col("client_employee_id"), salt=salt),
+            "organization_id": organization_key(F.col("organization_code"), salt),
+            "department_id": department_key(
+                F.col("organization_code"), F.col("department_code"), salt
+            ),
             "is_per_deim": parse_bool("is_per_deim"),
             "active_status": parse_bool("active_status"),
             "created_at": timestamp(now),

@@ -3,7 +3,8 @@
 A surrogate key is the 64-bit hash of the business key, so fact rows compute
 their foreign key in place: there is no lookup join and no numbering of a whole
 table in one task, and keys stay the same from run to run. The unique rule on
-``id`` in the table contract would expose two business keys with one hash.
+``id`` in the table contract exposes two business keys with one hash; a run with
+another ``salt`` then gives all keys anew.
 """
 
 from __future__ import annotations
@@ -14,13 +15,19 @@ from pyspark.sql import functions as F
 from muster.functions.text import clean_columns
 
 
-def organization_key(code: Column) -> Column:
-    return F.when(code.isNotNull(), F.xxhash64(code))
+def surrogate_key(*business_key: Column, salt: int = 0) -> Column:
+    """64-bit hash of a business key; each salt gives other hashes."""
+    return F.xxhash64(*([F.lit(salt)] if salt else []), *business_key)
 
 
-def department_key(organization_code: Column, code: Column) -> Column:
+def organization_key(code: Column, salt: int = 0) -> Column:
+    return F.when(code.isNotNull(), surrogate_key(code, salt=salt))
+
+
+def department_key(organization_code: Column, code: Column, salt: int = 0) -> Column:
     return F.when(
-        organization_code.isNotNull() & code.isNotNull(), F.xxhash64(organization_code, code)
+        organization_code.isNotNull() & code.isNotNull(),
+        surrogate_key(organization_code, code, salt=salt),
     )
 
 
@@ -51,18 +58,18 @@ def _first_name(name: str) -> Column:
     return F.min_by(F.col(name), F.struct("source_file", "client_employee_id", name))
 
 
-def organizations(raw_employee: DataFrame) -> DataFrame:
+def organizations(raw_employee: DataFrame, salt: int = 0) -> DataFrame:
     """One row per organization code; the first name wins."""
     return (
         _members(raw_employee)
         .filter(F.col("organization_code").isNotNull())
         .groupBy(F.col("organization_code").alias("code"))
         .agg(_first_name("organization_name").alias("name"))
-        .select(organization_key(F.col("code")).alias("id"), "code", "name")
+        .select(organization_key(F.col("code"), salt).alias("id"), "code", "name")
     )
 
 
-def departments(raw_employee: DataFrame) -> DataFrame:
+def departments(raw_employee: DataFrame, salt: int = 0) -> DataFrame:
     """One row per department code and organization; the first name wins."""
     return (
         _members(raw_employee)
@@ -70,9 +77,9 @@ def departments(raw_employee: DataFrame) -> DataFrame:
         .groupBy("organization_code", F.col("department_code").alias("code"))
         .agg(_first_name("department_name").alias("name"))
         .select(
-            department_key(F.col("organization_code"), F.col("code")).alias("id"),
+            department_key(F.col("organization_code"), F.col("code"), salt).alias("id"),
             "code",
             "name",
-            organization_key(F.col("organization_code")).alias("organization_id"),
+            organization_key(F.col("organization_code"), salt).alias("organization_id"),
         )
     )

@@ -20,7 +20,9 @@ INSERT, UPDATE, TERMINATE = "insert", "update", "terminate"
 
 def _operation(name: str, config: Config, parents: dict) -> Callable[[DataFrame, DataFrame], operators.Applied]:
     return {
-        INSERT: lambda staff, batch: operators.apply_employee_inserts(staff, batch, config.run_at, parents),
+        INSERT: lambda staff, batch: operators.apply_employee_inserts(
+            staff, batch, config.run_at, parents, config.key_salt
+        ),
         UPDATE: lambda staff, batch: operators.apply_employee_updates(staff, batch, config.run_at, parents),
         TERMINATE: lambda staff, batch: operators.apply_employee_terminations(
             staff, batch, config.as_of, config.run_at

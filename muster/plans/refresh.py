@@ -91,11 +91,13 @@ def transform(
     """
     target = target or warehouse
     raw_employee = warehouse.read("bronze", "raw_employee")
-    target.write("silver", "organization", organizations(raw_employee))
-    target.write("silver", "department", departments(raw_employee))
+    target.write("silver", "organization", organizations(raw_employee, config.key_salt))
+    target.write("silver", "department", departments(raw_employee, config.key_salt))
     losses = {"employee": Observation(), "timesheet": Observation()}
     employees = target.write(
-        "silver", "employee", conform_employees(raw_employee, config.run_at, losses["employee"])
+        "silver",
+        "employee",
+        conform_employees(raw_employee, config.run_at, losses["employee"], config.key_salt),
     )
     employee = target.read("silver", "employee")
     ids = _kept(warehouse, "employee_id", employee.select("client_employee_id").distinct())

@@ -213,3 +213,13 @@ def test_contract_rules_count_rows_and_keys(table):
         ("organization_id", "reference"): 2,
         ("manager_employee_id", "reference"): 1,
     }
+
+
+def test_another_salt_gives_other_keys_that_agree(raw_employee):
+    plain, salted = (conform.conform_employees(raw_employee, NOW, salt=s) for s in (0, 7))
+    assert not {r.id for r in plain.collect()} & {r.id for r in salted.collect()}
+    known = {r.id for r in dimensions.departments(raw_employee, 7).collect()}
+    used = {r.department_id for r in salted.collect() if r.department_id is not None}
+    assert used and used <= known
+    known = {r.id for r in dimensions.organizations(raw_employee, 7).collect()}
+    assert {r.organization_id for r in salted.collect() if r.organization_id is not None} <= known

@@ -285,22 +285,56 @@ def _rule(table: str, column: str, rule: str, count: str) -> str:
     )
 
 
-def _holds(table: str, rules: str) -> list[str]:
-    """Rules that hold by construction, as ``column:rule`` words."""
-    return [_rule(table, *entry.split(":"), "0") for entry in rules.split()]
+# Columns that the derived tables fill; the others are null in every row.
+_FILLED = {
+    "organization": "id code name",
+    "department": "id code name organization_id",
+    "employee": "id client_employee_id first_name last_name active_status organization_id department_id "
+    "manager_employee_id",
+    "timesheet": "id client_employee_id pay_code punch_apply_date",
+}
+_SOURCES = {"organization": "org", "department": "dep", "employee": "employee", "timesheet": "timesheet"}
+
+
+def _counted(table: str, rules: str) -> list[str]:
+    """Counts of row and key rules, given as ``column:rule`` words."""
+
+    def value(column: str) -> str:
+        return column if column in _FILLED[table].split() else "cast(null as varchar)"
+
+    rows, source = [], _SOURCES[table]
+    for column, rule in (entry.split(":") for entry in rules.split()):
+        if rule == "not_null":
+            count = f"select count(*) from {source} where {value(column)} is null"
+        elif rule == "unique":
+            keys = " and ".join(f"{value(k)} is not null" for k in column.split(","))
+            count = (
+                f"select count(*) from (select {column} from {source} where {keys} "
+                f"group by {column} having count(*) > 1)"
+            )
+        else:
+            limit = rule.removeprefix("max_length_")
+            count = f"select count(*) from {source} where length({value(column)}) > {limit}"
+        rows.append(_rule(table, column, rule, count))
+    return rows
+
+
+def _dangling(table: str, column: str, parent: str, key: str = "id") -> str:
+    known = f"select {key} from {_SOURCES[parent]}"
+    return _rule(table, column, "reference", f"select count(*) from {_SOURCES[table]} where {column} not in ({known})")
 
 
 def _contracts() -> str:
-    rows = _holds(
+    rows = _counted(
         "organization",
         "id:not_null code:not_null name:not_null code:max_length_50 name:max_length_255 id:unique code:unique",
     )
-    rows += _holds(
+    rows += _counted(
         "department",
         "id:not_null code:not_null name:not_null organization_id:not_null code:max_length_50 "
-        "name:max_length_255 id:unique code,organization_id:unique organization_id:reference",
+        "name:max_length_255 id:unique code,organization_id:unique",
     )
-    rows += _holds(
+    rows += _counted(
         "employee",
         "id:not_null client_employee_id:not_null active_status:not_null client_employee_id:max_length_50 "
         "first_name:max_length_100 middle_name:max_length_100 last_name:max_length_100 "
@@ -309,25 +343,29 @@ def _contracts() -> str:
         "work_email:max_length_255 city:max_length_100 state:max_length_100 zip:max_length_20 "
         "country:max_length_100 cell_phone:max_length_50 work_phone:max_length_50 "
         "manager_employee_id:max_length_50 manager_employee_name:max_length_255 id:unique "
-        "client_employee_id:unique organization_id:reference department_id:reference",
+        "client_employee_id:unique",
     )
-    rows += _holds(
+    rows += _counted(
         "timesheet",
         "id:not_null client_employee_id:not_null punch_apply_date:not_null "
         "client_employee_id:max_length_50 department_id:max_length_50 department_name:max_length_255 "
         "home_department_id:max_length_50 home_department_name:max_length_255 pay_code:max_length_100 "
-        "punch_in_comment:max_length_100 punch_out_comment:max_length_100 hours_worked:fixed_point_6_2",
+        "punch_in_comment:max_length_100 punch_out_comment:max_length_100",
     )
-    ids = "(select client_employee_id from employee)"
     rows += [
-        _rule("employee", "manager_employee_id", "reference",
-              f"select count(*) from employee where manager_employee_id not in {ids}"),
+        _dangling("department", "organization_id", "organization"),
+        _dangling("employee", "organization_id", "organization"),
+        _dangling("employee", "department_id", "department"),
+        _dangling("employee", "manager_employee_id", "employee", "client_employee_id"),
+        _dangling("timesheet", "client_employee_id", "employee", "client_employee_id"),
         _rule("employee", "scheduled_weekly_hour", "fixed_point_5_2",
               "select count(*) from people where abs(c_acctbal) >= 1000"),
-        _rule("timesheet", "client_employee_id", "reference",
-              f"select count(*) from timesheet where client_employee_id not in {ids}"),
+        _rule("timesheet", "hours_worked", "fixed_point_6_2",
+              "select count(*) from shifts where event_type <> 'signup' and abs(round(value, 2)) >= 10000"),
     ]
-    return f"with {_EMPLOYEE}, {_TIMESHEET} " + " union all ".join(rows)
+    tables = """org as (select r_regionkey as id, r_name as code, r_name as name from region),
+dep as (select n_nationkey as id, n_name as code, n_name as name, n_regionkey as organization_id from nation)"""
+    return f"with {_EMPLOYEE}, {_TIMESHEET}, {tables} " + " union all ".join(rows)
 
 
 _EMPLOYEE_ROW = (
