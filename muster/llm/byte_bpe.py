@@ -20,7 +20,7 @@ from muster.llm.workers import parts, worker_held
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 # Pre-tokens that a worker keeps, about 350 bytes each.
-CACHED = 600_000
+CACHED = 300_000
 BPE, NORMAL, UNKNOWN = 2, 1, 2
 
 
