@@ -22,7 +22,7 @@ from muster.llm.workers import parts, worker_held
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 MAX_TOKENS = 1024
 # Misses that a worker keeps, about 150 bytes each.
-CACHED = 800_000
+CACHED = 400_000
 
 
 def _special(model: dict) -> list[str]:
