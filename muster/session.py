@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -67,6 +70,17 @@ def build_session(
     return builder.getOrCreate()
 
 
+_MADE: list[str] = []
+
+
+@functools.cache
+def _local_scratch() -> str:
+    """Folder of a local process, which goes when the process ends."""
+    base = tempfile.mkdtemp(prefix="muster-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return base
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """New folder below the cluster's shared scratch space.
 
@@ -77,5 +91,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder shared by the executors")
-        base = tempfile.mkdtemp(prefix="muster-")
-    return f"{base.rstrip('/')}/muster-{purpose}-{uuid.uuid4().hex}"
+        base = _local_scratch()
+    _MADE.append(f"{base.rstrip('/')}/muster-{purpose}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the shared folders of this process; results that read them must be stored before."""
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        path.getFileSystem(conf).delete(path, True)

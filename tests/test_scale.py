@@ -1,5 +1,6 @@
 """Plans and skew: what must hold when tables are far larger than memory."""
 
+import os
 import re
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from muster.operators import conform
 from muster.plans import kpi
 from muster.schemas import TABLES
-from muster.session import initial_partitions
+from muster.session import initial_partitions, remove_scratch, shared_folder
 from verification.queries import registered
 
 FOLDER = "/root/testdata/sf0.001"
@@ -147,3 +148,11 @@ def test_shuffles_start_from_the_input_size():
     assert initial_partitions(50 << 40) == 204_800
     assert initial_partitions(1 << 60) == 400_000
     assert initial_partitions(2 << 40) == 8192
+
+
+def test_scratch_folders_can_be_removed(spark):
+    path = shared_folder(spark, "test")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    remove_scratch(spark)
+    assert not os.path.exists(path)

@@ -243,9 +243,10 @@ orphans as (
 rated as (select *, {_rate("rejected", "raw")} as rate from orphans)"""
 
 
-def _count_check(name: str, table: str, condition: str, limit: int = 0) -> str:
+def _count_check(name: str, table: str, condition: str, text: str, limit: int = 0) -> str:
     return f"""select '{name}' as "check", case when count(*) <= {limit} then 'PASS' else 'FAIL' end as status,
-  cast(count(*) as double) as observed, cast({limit} as double) as threshold
+  cast(count(*) as double) as observed, cast({limit} as double) as threshold,
+  count(*) || ' {text}' as details
 from {table} where {condition}"""
 
 
@@ -253,9 +254,12 @@ _ORPHAN = """select 'orphan_rate_check' as "check",
   case when rate < 99.9 then 'PASS' else 'FAIL' end as status, rate as observed, 99.9::double as threshold"""
 
 
+_ORPHAN_DETAILS = "rejected || ' of ' || raw || ' rows rejected' as details"
+
+
 def _quality() -> str:
     checks = [
-        _count_check(f"null_check_employee_{c}", "employee", f"{c} is null")
+        _count_check(f"null_check_employee_{c}", "employee", f"{c} is null", f"rows without {c} in employee")
         for c in ("client_employee_id", "hire_date", "first_name")
     ]
     for column, source in (
@@ -263,18 +267,23 @@ def _quality() -> str:
         ("punch_apply_date", "punch_apply_date"),
         ("hours_worked", "hundredths"),
     ):
-        checks.append(_count_check(f"null_check_timesheet_{column}", "accepted", f"{source} is null"))
+        text = f"rows without {column} in timesheet"
+        checks.append(_count_check(f"null_check_timesheet_{column}", "accepted", f"{source} is null", text))
     checks += [
         _count_check(
             "duplicate_check_employee_id",
             "(select client_employee_id, count(*) as n from employee group by client_employee_id)",
             "n > 1",
+            "employee ids occur more than once",
         ),
-        _count_check("date_logic_check_hire_date", "employee", "hire_date >= term_date"),
-        _count_check("hours_worked_check", "accepted", "hundredths < 0 or hundredths > 2400"),
-        _count_check("attendance_flag_check", "accepted", "is_late_arrival and is_early_departure", 2),
-        f"{_ORPHAN} from rated",
-    ]
+        _count_check("date_logic_check_hire_date", "employee", "hire_date >= term_date",
+                     "employees hired on or after their term date"),
+        _count_check("hours_worked_check", "accepted", "hundredths < 0 or hundredths > 2400",
+                     "shifts with hours outside 0 to 24"),
+        _count_check("attendance_flag_check", "accepted", "is_late_arrival and is_early_departure",
+                     "shifts both late and left early", 2),
+        f"{_ORPHAN}, {_ORPHAN_DETAILS} from rated",
+    ]
     return f"{_CHECKED} " + " union all ".join(checks)
 
 
@@ -504,8 +513,7 @@ select id, client_employee_id, cast(hours as varchar) as hours_worked, source_fi
             "select count(*) from (select 1 from l group by l_orderkey, l_linenumber having count(*) > 1)",
         ),
         "quality_checks": _quality(),
-        "orphan_rate": f"""{_CHECKED} {_ORPHAN},
-  rejected || ' of ' || raw || ' rows rejected' as details from rated""",
+        "orphan_rate": f"{_CHECKED} {_ORPHAN}, {_ORPHAN_DETAILS} from rated",
         "employees_list": f"with {_EMPLOYEE} {_EMPLOYEE_ROW} where active_status",
         "employees_of_department": f"with {_EMPLOYEE} {_EMPLOYEE_ROW} where department_id = 3",
         "employee_by_id": f"with {_EMPLOYEE} {_EMPLOYEE_ROW} where id = 2",

@@ -419,7 +419,7 @@ def _split(v: Views) -> tuple[DataFrame, DataFrame]:
 @_query
 def quality_checks(v: Views) -> DataFrame:
     accepted, rejected = _split(v)
-    return quality.quality_checks(v.employee, accepted, v.timesheet, rejected, CONFIG).drop("details")
+    return quality.quality_checks(v.employee, accepted, v.timesheet, rejected, CONFIG)
 
 
 @_query
