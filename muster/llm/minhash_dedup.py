@@ -279,7 +279,8 @@ def near_duplicates(
     """
     profiles = stored(_profiles(documents, words, bands, rows, text, key), "minhash-profiles")
     named = profiles.filter("n > 0 and doc is not null")
-    classes = named.groupBy("n", "s1", "s2").agg(F.min("doc").alias("rep"))
+    # Stored, so that the joins with it have an exchange on both sides and can split a hot class.
+    classes = stored(named.groupBy("n", "s1", "s2").agg(F.min("doc").alias("rep")), "minhash-classes")
     heads = (
         named.join(classes.withColumnRenamed("rep", "doc"), ["doc", "n", "s1", "s2"], "left_semi")
         .groupBy("doc")
