@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from muster.llm.tables import stored, table
-from muster.llm.workers import parts
 
 MIN_CHARS = 20
 MIN_DOCUMENTS = 3

@@ -53,7 +53,7 @@ def shard(documents: DataFrame, shards: int = SHARDS, partitions: int | None = N
     """
     spark = documents.sparkSession
     order = ["doc_id", "text_crc32", "size"]
-    count = partitions or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = partitions or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     slim = documents.select(
         F.col("doc_id"),
