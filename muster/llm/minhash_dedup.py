@@ -202,7 +202,7 @@ def _apart(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     centres = groups.groupBy("centre").agg(
         own.alias("own"), F.min("component").alias("low"), F.max("component").alias("high")
     )
-    mixed = centres.filter("low <> high").select("centre", "own")
+    mixed = stored(centres.filter("low <> high").select("centre", "own"), "minhash-mixed")
     placed = groups.join(mixed, "centre").withColumn("other", F.col("component") != F.col("own"))
     count = F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int")
     sizes = stored(placed.groupBy("centre", "other").agg(count.alias("blocks")), "minhash-sizes")
