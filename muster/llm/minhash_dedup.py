@@ -290,7 +290,7 @@ def near_duplicates(
     shared = heads.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key")
     members = stored(heads.join(shared, "key", "left_semi"), "minhash-buckets")
     ids = members.select("doc").distinct()
-    sets = stored(_sets(documents, ids, words, text, key), "minhash-sets").dropDuplicates(["doc"])
+    sets = stored(_sets(documents, ids, words, text, key).dropDuplicates(["doc"]), "minhash-sets")
 
     # A group is a centre, the smallest document of some buckets, and all that share those with it.
     centres = members.groupBy("key").agg(F.min("doc").alias("centre"))
@@ -303,7 +303,8 @@ def near_duplicates(
         .filter((F.col("doc") != F.col("centre")) & (100 * small >= percent * large))
         .select(F.col("centre").alias("a"), F.col("doc").alias("b"))
     )
-    links = stored(_linked(stars, sets, percent), "minhash-links")
+    # Stored, so that the join with the sets deals the pairs anew and can split a hot centre.
+    links = stored(_linked(stored(stars, "minhash-stars"), sets, percent), "minhash-links")
     labels = components(links).withColumnRenamed("component", "found")
     known = groups.join(labels, "doc", "left").select(
         "centre", "doc", "n", F.coalesce("found", "doc").alias("component")
