@@ -21,6 +21,8 @@ Q = 10
 SEGMENT = 96
 # Edits that a segment may have, in percent of its characters.
 EDIT_PERCENT = 8
+# Characters of an item that are found wherever they are quoted without an edit.
+QUOTE = 50
 # Shorter items are ordinary phrases and are not looked for.
 MIN_CHARS = 24
 # Characters of items in one broadcast; a larger benchmark is taken in blocks.
@@ -120,14 +122,34 @@ class Benchmark:
         entry = np.repeat(self.begin[known] - (np.cumsum(count) - count), count) + np.arange(len(x))
         return x, self.owner[entry], self.place[entry]
 
-    def regions(self, codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def quotes(self, hits: tuple[np.ndarray, ...], ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, item, place) of the runs of QUOTE or more characters that a text shares with an item."""
+        x, item, y = hits
+        needed = QUOTE - Q + 1
+        # Most places are in stretches of known q-grams that are too short for any run.
+        begin = np.flatnonzero(np.diff(x, prepend=-2) > 1)
+        last = np.append(begin[1:], len(x))[: len(begin)] - 1
+        kept = np.repeat(x[last] - x[begin] + 1 >= needed, last - begin + 1)
+        x, item, y = x[kept], item[kept], y[kept]
+        order = np.lexsort((x, x - y, item))
+        x, item, y = x[order], item[order], y[order]
+        # A run's q-grams are neighbours in the text, on one diagonal of one item.
+        joined = (np.diff(x) == 1) & (np.diff(y) == 1) & (np.diff(item) == 0)
+        begin = np.flatnonzero(np.concatenate([np.ones(min(1, len(x)), bool), ~joined]))
+        begin = begin[np.diff(begin, append=len(x)) >= needed]
+        text = np.searchsorted(ends, x[begin], "right")
+        return text, item[begin], x[begin] - np.concatenate([[0], ends])[text]
+
+    def regions(
+        self, hits: tuple[np.ndarray, ...], codes: np.ndarray, ends: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, segment, first diagonal) of the bands with as many shared q-grams as the lemma asks.
 
-        ``codes`` are texts one after the other, which end at ``ends``. A segment with at most e edits
+        ``codes`` are texts one after the other, which end at ``ends``, and ``hits`` theirs. A segment with at most e edits
         shares at least size - Q + 1 - Q * e q-grams with the text, all of them on diagonals within e of
         where it begins. Bands are two widths wide and start at each width, so one holds them all.
         """
-        x, item, y = self.hits(codes)
+        x, item, y = hits
         text = np.searchsorted(ends, x, "right")
         lane = (x - y + SEGMENT * len(codes)) // self.width
         lanes = int(lane.max(initial=0)) + 2
@@ -157,9 +179,11 @@ class Benchmark:
         diagonal = (found % lanes) * self.width - SEGMENT * len(codes)
         return found // lanes // owners, (found // lanes) % owners, diagonal
 
-    def aligned(self, codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def aligned(
+        self, hits: tuple[np.ndarray, ...], codes: np.ndarray, ends: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(text, segment, edits, place) of the regions whose best alignment keeps to the budget."""
-        text, segment, diagonal = self.regions(codes, ends)
+        text, segment, diagonal = self.regions(hits, codes, ends)
         begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         slack = int(self.edits.max(initial=0))
         band = 2 * self.width + 2 * slack
@@ -209,7 +233,9 @@ def with_matches(
     Texts are compared as lower-cased words with one space between them. An item is looked for in
     segments of 96 characters that overlap by half (a shorter item is one segment), each with up to 8 %
     of its characters edited; a match counts its ``segments``, and has the ``edits`` and the normalised
-    ``place`` of its best one. Whoever quotes 144 characters of an item so quotes a whole segment.
+    ``place`` of its best one. Besides, 50 or more characters of an item are found wherever they are
+    quoted without an edit; where such a quote holds no segment, the match has 0 ``segments``, 0
+    ``edits`` and the place where the first quote begins.
 
     Documents are read once and not shuffled. The items are broadcast in blocks of bounded size; a
     larger benchmark makes more blocks, which pass over each text one after the other.
@@ -244,7 +270,8 @@ def _found(texts: pa.Array, known: Benchmark, names: list, fields: list) -> pa.A
     plain = [normalise(t) for t in texts.to_pylist()]
     codes = code_points("\0".join([*plain, ""]))
     ends = np.cumsum([len(p) + 1 for p in plain]) if plain else np.zeros(0, np.int64)
-    text, segment, edits, place = known.aligned(codes, ends)
+    hits = known.hits(codes)
+    text, segment, edits, place = known.aligned(hits, codes, ends)
     best: list[dict] = [{} for _ in plain]
     seen = set()
     for t, s, e, p in zip(text.tolist(), segment.tolist(), edits.tolist(), place.tolist(), strict=True):
@@ -252,6 +279,8 @@ def _found(texts: pa.Array, known: Benchmark, names: list, fields: list) -> pa.A
         old = best[t].get(i, (0, e, p))
         best[t][i] = (old[0] + ((t, s) not in seen), *min(old[1:], (e, p)))
         seen.add((t, s))
+    for t, i, p in sorted(zip(*(c.tolist() for c in known.quotes(hits, ends)), strict=True)):
+        best[t].setdefault(i, (0, 0, p))
     rows = [[(names[i], *best_of) for i, best_of in sorted(b.items())] for b in best]
     flat = [r for row in rows for r in row]
     columns = list(zip(*flat, strict=True)) or [[] for _ in fields]

@@ -152,6 +152,28 @@ def test_items_with_edits(spark, documents):
     assert none.filter(F.size("matches") > 0).count() == 0
 
 
+def test_partial_verbatim_quotes_at_every_offset(spark, documents):
+    rng = random.Random(11)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(2, 7)))
+    items = [(n, " ".join(word("etaoinsh") for _ in range(n))[:n]) for n in (60, 110, 227, 384)]
+    quotes = [x[s : s + n] for _, x in items for n in (49, 50, 72, 96, 128) for s in range(len(x) - n + 1)]
+    around = lambda: " ".join(word("bcdfgjkl") for _ in range(9))
+    docs = [(i, f"{around()} {q.upper()}, {around()}") for i, q in enumerate(quotes)]
+    plains = [(k, plain.plain_words(x)) for k, x in items]
+    expected = set()
+    for i, t in docs:
+        t = plain.plain_words(t)
+        expected |= {(i, k) for k, x in plains if any(x[s : s + 50] in t for s in range(len(x) - 49))}
+    found = decontamination.with_matches(documents(docs), spark.createDataFrame(items, "item_id long, text string"))
+    rows = found.select("document.doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*").collect()
+    assert {(r.doc_id, r.item) for r in rows} == expected
+    texts = {i: plain.plain_words(t) for i, t in docs}
+    for r in rows:
+        if not r.segments:
+            assert r.edits == 0 and texts[r.doc_id][r.place : r.place + 50] in dict(plains)[r.item]
+    assert len(expected) > 1500 and len(docs) > len(expected)
+
+
 def test_registered_decontamination(spark, folder, given):
     items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text").collect()]
     found = queries.registered()["op7_decontamination"](spark, folder).collect()
