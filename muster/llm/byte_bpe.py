@@ -128,8 +128,7 @@ def _encoded(documents: DataFrame, vocabulary: str, text: str, with_ids: bool) -
         for batch in batches:
             rows = []
             for part in parts(batch):
-                for value, lists in _split(part.to_pylist(), split, cache, codec):
-                    rows.append(_digest(value, lists, split, cache, codec, with_ids))
+                rows += _digests(part.to_pylist(), split, cache, codec, with_ids)
             columns = zip(*rows, strict=True) if rows else [[] for _ in fields]
             yield pa.StructArray.from_arrays(
                 [pa.array(c, kind) for c, (_, kind) in zip(columns, fields, strict=True)],
@@ -140,21 +139,33 @@ def _encoded(documents: DataFrame, vocabulary: str, text: str, with_ids: bool) -
     return documents.select(F.struct("*").alias("document"), encoded(given).alias("bpe"))
 
 
-def _split(values: list[str], split, cache: Bounded, codec: Codec):
-    """Texts with their pre-tokens, those of the short ones learnt together; None for a long text."""
+def _digests(values: list[str], split, cache: Bounded, codec: Codec, with_ids: bool) -> list[tuple]:
+    """Digests of texts. The short ones are learnt together, and read before the next call of ``learn``.
+
+    That call may turn the cache over, and what it doesn't ask for is then no longer held.
+    """
     lists = [next(split(v), []) if len(v) <= CHUNK else None for v in values]
     cache.learn([found for found in lists if found is not None], codec.entries)
-    return zip(values, lists, strict=True)
+    rows = [None if found is None else _digest([found], cache, with_ids) for found in lists]
+    return [
+        _digest(_learnt(split(value), cache, codec), cache, with_ids) if row is None else row
+        for value, row in zip(values, rows, strict=True)
+    ]
+
+
+def _learnt(steps: Iterable[list[str]], cache: Bounded, codec: Codec) -> Iterator[list[str]]:
+    """The pre-tokens of a long text step by step, each learnt as it is asked for."""
+    for tokens in steps:
+        cache.learn([tokens], codec.entries)
+        yield tokens
 
 
-def _digest(value: str, found: list[str] | None, split, cache: Bounded, codec: Codec, with_ids: bool) -> tuple:
+def _digest(steps: Iterable[list[str]], cache: Bounded, with_ids: bool) -> tuple:
     """Joins what the cache holds step by step: digests of the ids and of the bytes that they decode to."""
     ids_sha, bytes_sha, total, all_ids = hashlib.sha256(), hashlib.sha256(), 0, []
-    for tokens in split(value) if found is None else [found]:
+    for tokens in steps:
         if not tokens:
             continue
-        if found is None:
-            cache.learn([tokens], codec.entries)
         entries = list(map(cache.__getitem__, tokens))
         text = b",".join([ids for ids, _ in entries])
         ids_sha.update(b"," + text if total else text)

@@ -237,3 +237,19 @@ def test_texts_longer_than_a_step(documents, monkeypatch):
     texts = [(1, "some words, and more of them. " * 40), (2, "a" * 300), (3, "x <|endoftext|>" * 30)]
     assert rows(of_tokens(documents(texts))) == pairs(plain.token_counts(texts))
     assert rows(of_ids(documents(texts))) == pairs(plain.byte_bpe(texts))
+
+
+def test_cache_that_turns_over_between_short_and_long_texts(spark, monkeypatch, tmp_path):
+    from muster.llm import pretokens
+
+    for module in (pretokens, byte_bpe):
+        monkeypatch.setattr(module, "CHUNK", 50)
+    monkeypatch.setattr(byte_bpe, "CACHED", 40)
+    # A file of its own name has a cache of its own in the workers.
+    own = tmp_path / "ranks.tiktoken"
+    own.write_bytes(open(byte_bpe.VOCABULARY, "rb").read())
+    long = " ".join(f"xq{j}zv" for j in range(60))
+    texts = [(1, "before it"), (2, long), (3, "brief words after"), (4, long[::-1]), (5, "and others")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    found = byte_bpe.encode_documents(df, str(own)).select("document.doc_id", "bpe.*")
+    assert rows(found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")) == pairs(plain.byte_bpe(texts))
