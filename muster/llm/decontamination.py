@@ -151,7 +151,9 @@ class Benchmark:
         """
         x, item, y = hits
         text = np.searchsorted(ends, x, "right")
-        lane = (x - y + SEGMENT * len(codes)) // self.width
+        # No place in an item is further back than the longest one's last; one width more is for lane - 1.
+        shift = (max(map(len, self.items), default=0) // self.width + 2) * self.width
+        lane = (x - y + shift) // self.width
         lanes = int(lane.max(initial=0)) + 2
 
         def busy(owner: np.ndarray, owners: int, needed: np.ndarray, band: np.ndarray, of: np.ndarray):
@@ -176,7 +178,7 @@ class Benchmark:
         row, segment = row[fits], segment[fits]
         owners = max(1, len(self.item))
         found, _ = busy(segment, owners, self.needed, bands[row], text[both[row]])
-        diagonal = (found % lanes) * self.width - SEGMENT * len(codes)
+        diagonal = (found % lanes) * self.width - shift
         return found // lanes // owners, (found // lanes) % owners, diagonal
 
     def aligned(

@@ -174,6 +174,19 @@ def test_partial_verbatim_quotes_at_every_offset(spark, documents):
     assert len(expected) > 1500 and len(docs) > len(expected)
 
 
+def test_item_much_longer_than_the_only_text(spark, documents):
+    rng = random.Random(5)
+    text = lambda n: " ".join("".join(rng.choice("etaoinsh") for _ in range(6)) for _ in range(n))
+    items = [(1, text(30)), (2, text(4200)), (3, text(30))]
+    docs = [(1, edited(items[1][1][-150:], 2, rng))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.with_matches(documents(docs), benchmark)
+    rows = found.select("document.doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*").collect()
+    held = [(2, items[1][1][-432:])]
+    assert {(r.doc_id, r.item): r.segments for r in rows} == plain.contaminated(docs, held)
+    assert rows
+
+
 def test_registered_decontamination(spark, folder, given):
     items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text").collect()]
     found = queries.registered()["op7_decontamination"](spark, folder).collect()
