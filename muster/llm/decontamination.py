@@ -23,8 +23,10 @@ SEGMENT = 96
 EDIT_PERCENT = 8
 # Characters of an item that are found wherever they are quoted without an edit.
 QUOTE = 50
-# Shorter items are ordinary phrases and are not looked for.
+# Shorter items are ordinary phrases, and are looked for only as whole lines or sentences.
 MIN_CHARS = 24
+# Where lines and sentences end.
+BREAK = regex.compile(r"[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]|[.!?…]+(?!\w)|[。！？]")
 # Characters of items in one broadcast; a larger benchmark is taken in blocks.
 BLOCK_CHARS = 8_000_000
 BITS = 22
@@ -72,9 +74,13 @@ class Benchmark:
         items = [code_points(normalise(t)) for t in texts]
         segments, grams, owners, places = [], [], [], []
         self.first: list[int] = []
+        # Items too short for segments, by what they read.
+        self.short: dict[str, list[int]] = {}
         for i, codes in enumerate(items):
             self.first.append(len(segments))
             if len(codes) < MIN_CHARS:
+                if len(codes):
+                    self.short.setdefault(normalise(texts[i]), []).append(i)
                 continue
             size = min(SEGMENT, len(codes))
             starts = sorted({*range(0, len(codes) - size + 1, SEGMENT // 2), len(codes) - size})
@@ -122,6 +128,19 @@ class Benchmark:
         entry = np.repeat(self.begin[known] - (np.cumsum(count) - count), count) + np.arange(len(x))
         return x, self.owner[entry], self.place[entry]
 
+    def alone(self, text: str) -> Iterator[tuple[int, int]]:
+        """(item, place) of the short items that are one or more whole lines or sentences of a text."""
+        pieces = [p for p in map(normalise, BREAK.split(text)) if p]
+        begin = 0
+        for n, piece in enumerate(pieces):
+            run, after = piece, n + 1
+            while len(run) < MIN_CHARS:
+                yield from ((i, begin) for i in self.short.get(run, ()))
+                if after == len(pieces):
+                    break
+                run, after = f"{run} {pieces[after]}", after + 1
+            begin += len(piece) + 1
+
     def quotes(self, hits: tuple[np.ndarray, ...], ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, item, place) of the runs of QUOTE or more characters that a text shares with an item."""
         x, item, y = hits
@@ -242,8 +261,10 @@ def with_matches(
     Documents are read once and not shuffled. The items are broadcast in blocks of bounded size; a
     larger benchmark makes more blocks, which pass over each text one after the other.
 
-    Null or empty document: no match. Null item, or one of fewer than 24 normalised characters: not
-    looked for. Repeated items: each is found. Empty tables: no rows, or no matches. Extra columns stay
+    An item of fewer than 24 normalised characters is found where it is, without edits, a whole text, line
+    or sentence, or several in a row; it counts as one segment.
+
+    Null or empty document: no match. Null item, or one without words: not looked for. Repeated items: each is found. Empty tables: no rows, or no matches. Extra columns stay
     inside ``document``, whatever their names.
     """
     kind = benchmark.schema[item].dataType
@@ -269,7 +290,8 @@ def with_matches(
 
 
 def _found(texts: pa.Array, known: Benchmark, names: list, fields: list) -> pa.Array:
-    plain = [normalise(t) for t in texts.to_pylist()]
+    given = texts.to_pylist()
+    plain = [normalise(t) for t in given]
     codes = code_points("\0".join([*plain, ""]))
     ends = np.cumsum([len(p) + 1 for p in plain]) if plain else np.zeros(0, np.int64)
     hits = known.hits(codes)
@@ -283,6 +305,9 @@ def _found(texts: pa.Array, known: Benchmark, names: list, fields: list) -> pa.A
         seen.add((t, s))
     for t, i, p in sorted(zip(*(c.tolist() for c in known.quotes(hits, ends)), strict=True)):
         best[t].setdefault(i, (0, 0, p))
+    for t, value in enumerate(given if known.short else []):
+        for i, p in known.alone(value):
+            best[t].setdefault(i, (1, 0, p))
     rows = [[(names[i], *best_of) for i, best_of in sorted(b.items())] for b in best]
     flat = [r for row in rows for r in row]
     columns = list(zip(*flat, strict=True)) or [[] for _ in fields]

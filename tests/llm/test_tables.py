@@ -187,6 +187,19 @@ def test_item_much_longer_than_the_only_text(spark, documents):
     assert rows
 
 
+def test_short_items_as_lines_and_sentences(spark, documents):
+    items = [(1, "What is pi?"), (2, "3.14!"), (3, "Why not? Ask me."), (4, "WHAT, is pi"), (5, "..."), (6, None)]
+    docs = [
+        (1, "what IS pi"), (2, "Some text. What is pi? It is 3.14. More."), (3, "a line\n  What is pi\r\nlast"),
+        (4, "Well, what is pi?"), (5, "It is 3.145. 3.14 is near."), (6, "Yes. Why not? Ask me! No."),
+        (7, "why not ask me"), (8, "..."), (9, None), (10, "What is pi? What is pi?\n3.14"),
+    ]
+    found = decontamination.with_matches(documents(docs), spark.createDataFrame(items, "item_id long, text string"))
+    rows = found.select("document.doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*").collect()
+    pi = {(d, k, 1, 0, p) for d, p in ((1, 0), (2, 10), (3, 7), (10, 0)) for k in (1, 4)}
+    assert set(map(tuple, rows)) == pi | {(6, 3, 1, 0, 4), (7, 3, 1, 0, 0), (10, 2, 1, 0, 22)}
+
+
 def test_registered_decontamination(spark, folder, given):
     items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text").collect()]
     found = queries.registered()["op7_decontamination"](spark, folder).collect()
