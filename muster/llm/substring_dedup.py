@@ -156,7 +156,8 @@ def repeated_spans(
 
     Anchors are counted with partial sums, occurrences then join the anchors that repeat, so an anchor
     that a third of all texts hold meets in no task that cannot be split. Windows are told apart by
-    128 bits, the anchor's hash and their own (for a path its digest), and by the source's coordinates.
+    the anchor's hash and their own (for a path its digest). All of these derive from one 64-bit hash a
+    word; what is removed is not compared with the text at the source's coordinates.
     """
     walked = _occurrences(documents, window, anchor, text, key)
     repeated = (
