@@ -1,4 +1,3 @@
-import datetime as dt
 import sys
 from pathlib import Path
 
@@ -9,8 +8,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from muster.schemas import TABLES  # noqa: E402
 from muster.session import build_session  # noqa: E402
 
-NOW = dt.datetime(2026, 1, 2, 3, 4, 5)
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -50,23 +47,3 @@ def table(spark):
         return spark.createDataFrame([[row.get(c) for c in schema.names] for row in rows], schema)
 
     return build
-
-
-def day(text):
-    return dt.date.fromisoformat(text)
-
-
-def moment(text):
-    return dt.datetime.fromisoformat(text)
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=lambda r: [(v is not None, str(v)) for v in r])
-
-
-def values(spark, texts, make):
-    """Function of a column name applied to a list of texts, in order."""
-    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
-    return [r.v for r in df.select("i", make("t").alias("v")).orderBy("i").collect()]

@@ -2,7 +2,7 @@ import random
 from decimal import Decimal
 
 import pytest
-from conftest import NOW, day, moment, rows
+from helpers import NOW, day, moment, rows
 from pyspark.sql import functions as F
 
 from muster.config import Config

@@ -1,7 +1,7 @@
 from decimal import Decimal
 
 import pytest
-from conftest import NOW, day, moment, rows
+from helpers import NOW, day, moment, rows
 
 from pyspark.sql import Observation
 

@@ -3,7 +3,7 @@ import random
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
-from conftest import moment, rows, values
+from helpers import moment, rows, values
 from pyspark.sql import functions as F
 
 from muster.functions import rounding, text

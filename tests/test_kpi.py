@@ -3,7 +3,7 @@ import random
 from collections import Counter
 
 import pytest
-from conftest import day, rows
+from helpers import day, rows
 
 from muster.operators.headcount import daily_headcount
 from muster.plans import kpi

@@ -1,5 +1,5 @@
 import pytest
-from conftest import NOW, rows
+from helpers import NOW, rows
 
 from muster.schemas import EMPLOYEE_FILE_COLUMNS, TABLES, TIMESHEET_FILE_COLUMNS
 from muster.sources import landing

@@ -1,7 +1,7 @@
 from decimal import Decimal as D
 
 import pytest
-from conftest import day
+from helpers import day
 
 from muster.config import Config
 from muster.operators.quality import orphan_check, quality_checks, timesheet_checks

@@ -4,7 +4,7 @@ from dataclasses import replace
 from pathlib import Path
 
 import pytest
-from conftest import NOW, day, rows
+from helpers import NOW, day, rows
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
