@@ -12,6 +12,7 @@ from muster.llm import (
     decontamination,
     line_dedup,
     minhash_dedup,
+    periodic_runs,
     quality_rules,
     sharding,
     substring_dedup,
@@ -32,6 +33,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sharding": sharding.op8_sharding,
         "op9_byte_bpe": byte_bpe.op9_byte_bpe,
         "op10_quality_rules": quality_rules.op10_quality_rules,
+        "op11_periodic_runs": periodic_runs.op11_periodic_runs,
     }
 
 

@@ -4,7 +4,9 @@ import base64
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import public_tokenizers
 import tiktoken
@@ -195,3 +197,43 @@ def contaminated(rows, items):
             if found:
                 out[i, k] = found
     return out
+
+
+def periodic_runs(words, min_words=24, exponent=3):
+    """(start, length, period) of all maximal runs with their smallest period."""
+    n, found = len(words), {}
+    for q in range(1, n // exponent + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j > i:
+                length = j - i + q
+                if length >= max(min_words, exponent * q):
+                    # A run of a multiple of its period has the same place and length.
+                    found.setdefault((i, length), q)
+            i = j + 1
+    return sorted(((s, length, q) for (s, length), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def op11(rows):
+    """doc_id -> the columns of the query."""
+    out = []
+    for i, t in rows:
+        w = WORD.findall(t or "")
+        h = 1 if i is None else zlib.crc32(str(i).encode())
+        g, n = h // 10, len(w)
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            w = [w[x] if x < a else w[a + (x - a) % p] for x in range(n)]
+        runs = periodic_runs(w)
+        gone = {x for s, length, q in runs for x in range(s + q, s + length)}
+        best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=(None,) * 3)
+        out.append(
+            (i, len(runs), *best, 1000 * best[1] // best[2] if runs else None,
+             sha("".join(f"{s},{length},{q}\n" for s, length, q in runs)),
+             sha(" ".join(x for j, x in enumerate(w) if j not in gone)))
+        )
+    return out
