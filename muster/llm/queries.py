@@ -18,6 +18,7 @@ from muster.llm import (
     substring_dedup,
     token_counts,
     url_filter,
+    warc,
 )
 
 
@@ -34,6 +35,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_byte_bpe": byte_bpe.op9_byte_bpe,
         "op10_quality_rules": quality_rules.op10_quality_rules,
         "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+        "op12_warc": warc.op12_warc,
     }
 
 
@@ -42,4 +44,5 @@ def statements() -> dict[str, str]:
         "op2_url_filter": url_filter.sql(),
         "op3_chat_formatting": chat.sql(),
         "op5_line_dedup": line_dedup.sql(),
+        "op12_warc": warc.sql(),
     }
