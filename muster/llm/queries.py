@@ -10,6 +10,7 @@ from muster.llm import (
     byte_bpe,
     chat,
     decontamination,
+    hard_negatives,
     line_dedup,
     minhash_dedup,
     periodic_runs,
@@ -36,6 +37,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_quality_rules": quality_rules.op10_quality_rules,
         "op11_periodic_runs": periodic_runs.op11_periodic_runs,
         "op12_warc": warc.op12_warc,
+        "op13_hard_negatives": hard_negatives.op13_hard_negatives,
     }
 
 
@@ -45,4 +47,5 @@ def statements() -> dict[str, str]:
         "op3_chat_formatting": chat.sql(),
         "op5_line_dedup": line_dedup.sql(),
         "op12_warc": warc.sql(),
+        "op13_hard_negatives": hard_negatives.sql(),
     }
