@@ -7,29 +7,22 @@ import datetime as dt
 import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from muster.functions.text import CSV_NULL_TOKENS, null_token
 from muster.operators.conform import timestamp
 from muster.schemas import EMPLOYEE_FILE_COLUMNS, TABLES, TIMESHEET_FILE_COLUMNS
+from muster.sources.lines import MAX_RECORD_LINES, OPEN, QUOTED, file_headers, records, stored, stored_lines
 
 log = logging.getLogger(__name__)
 
-# A character that no text holds; as separator it keeps a line in one piece.
-_NO_SEPARATOR = "\uffff"
 _FORMAT = {"sep": "|", "quote": '"', "escape": '"'}
 
 TOO_MANY_FIELDS = "TOO_MANY_FIELDS"
 BROKEN_QUOTE = "BROKEN_QUOTE"
-# A quoted field, or a separator inside quotes, is taken out before separators are counted. The
-# possessive loops neither go back nor nest, however long a field is.
-_QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'
-_OPEN = r'^(?:(?:"[^"]*+(?:""[^"]*+)*+"[^|]*+|[^"|][^|]*+|)\|)*+"[^"]*+(?:""[^"]*+)*+$'
 
 
 def name_glob(pattern: str, ignore_case: bool = False) -> str:
@@ -48,50 +41,12 @@ class Landed:
     malformed: DataFrame
 
 
-def file_headers(
-    spark: SparkSession, path: str, glob: str, recursive: bool, **storage: str
-) -> DataFrame:
-    """``path, header`` of every matching file: its first line that is not blank.
-
-    The files are read as lines with the session's split size, and a partial minimum per task passes
-    on one line per file, so neither a large file nor many small ones stand in one task's way.
-    """
-    lines = (
-        spark.read.options(pathGlobFilter=glob, recursiveFileLookup=recursive, **storage)
-        .text(path)
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("place"),
-            "value",
-        )
-    )
-    heads = lines.filter((F.col("block") == 0) & (F.length(F.trim("value")) > 0))
-    return heads.groupBy("path").agg(F.min_by("value", "place").alias("header"))
-
-
 def header_names(header: str) -> tuple[str, ...]:
     """Column names of a header line, trimmed and in lower case."""
     [cells] = csv.reader([header.lstrip("\ufeff")], delimiter="|")
     return tuple(cell.strip().lower() for cell in cells)
 
 
-def _lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """``line, path, file`` of all lines but headers and blank ones."""
-    whole = {"sep": _NO_SEPARATOR, "quote": "", "header": "true"}
-    return (
-        spark.read.schema("line string")
-        .options(**whole, **options)
-        .csv(path)
-        .select("line", F.col("_metadata.file_path").alias("path"), _file_name().alias("file"))
-    )
-
-
-def _file_name() -> Column:
-    """Listed names are URL-encoded, except that a plus sign stands for itself."""
-    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-
-
 def _with_layout(lines: DataFrame, headers: DataFrame, layouts: list[str]) -> DataFrame:
     """Adds the number of the header that a line's file has."""
     if len(layouts) == 1:
@@ -106,11 +61,11 @@ def malformed_reason(line: Column, width: Column) -> Column:
     A line with fewer fields is a record whose last fields are missing, unless a quote is open at its
     end or it closes one that an earlier line left open: then it is a part of a broken record.
     """
-    bare = F.regexp_replace(line, _QUOTED, "")
+    bare = F.regexp_replace(line, QUOTED, "")
     quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
     fields = F.length(bare) - F.length(F.replace(bare, F.lit("|"), F.lit(""))) + 1
     odd = quotes % 2 == 1
-    broken = odd & (line.rlike(_OPEN) | (fields < width))
+    broken = odd & (line.rlike(OPEN) | (fields < width))
     return (
         F.when(quotes == 0, F.when(_plain_fields(line) > width, TOO_MANY_FIELDS))
         .when(broken, BROKEN_QUOTE)
@@ -129,33 +84,27 @@ def _by_layout(values: Sequence) -> Column:
     return F.element_at(F.array(*values), F.col("layout") + 1)
 
 
-def _records(lines: DataFrame, widest: int) -> DataFrame:
-    """``record`` with the fields ``f0, f1, ...`` of each line."""
-    fields = ", ".join(f"f{i} string" for i in range(widest))
-    return lines.withColumn("record", F.from_csv("line", fields, {**_FORMAT, "mode": "PERMISSIVE"}))
+# The reader of records takes this character for the end of its text; it goes in as a pair of others.
+_END, _PAIR = "\uffff", (("\x01", "\x01\x02"), ("\uffff", "\x01\x03"))
 
 
-def _multi_line(
-    spark: SparkSession, path: str, headers: DataFrame, layouts: list[str], widest: int, **options: str
-) -> DataFrame:
-    """Records that may hold line breaks; ``line`` is set where a record has not its header's width.
+def _parsed(lines: DataFrame, widest: int) -> DataFrame:
+    """``record`` with the fields ``f0, f1, ...`` of each line."""
+    fields = [f"f{i}" for i in range(widest)]
+    paired, ends = F.col("line"), F.col("line").contains(_END)
+    for one, two in _PAIR:
+        paired = F.replace(paired, F.lit(one), F.lit(two))
+    text = F.when(ends, paired).otherwise(F.col("line"))
+    schema = ", ".join(f"{f} string" for f in fields)
+    lines = lines.withColumn("record", F.from_csv(text, schema, {**_FORMAT, "mode": "PERMISSIVE"}))
 
-    Such files cannot be split, and each layout is a pass over the files.
-    """
-    parts = []
-    for i, header in enumerate(layouts):
-        names = [f"f{k}" for k in range(len(header_names(header)))]
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, "line")])
-        read = (
-            spark.read.schema(schema)
-            .options(**_FORMAT, header=True, multiLine=True, columnNameOfCorruptRecord="line", **options)
-            .csv(path)
-            .select("*", F.col("_metadata.file_path").alias("path"), _file_name().alias("file"))
-        )
-        own = _with_layout(read, headers, layouts).filter(F.col("layout") == i)
-        empty = (F.lit(None).cast("string").alias(f"f{k}") for k in range(len(names), widest))
-        parts.append(own.select("line", "file", "layout", F.struct(*names, *empty).alias("record")))
-    return reduce(DataFrame.unionByName, parts)
+    def single(field: str) -> Column:
+        value = F.col(f"record.{field}")
+        for one, two in reversed(_PAIR):
+            value = F.replace(value, F.lit(two), F.lit(one))
+        return value.alias(field)
+
+    return lines.withColumn("record", F.when(ends, F.struct(*map(single, fields))).otherwise(F.col("record")))
 
 
 def land_split(
@@ -168,16 +117,17 @@ def land_split(
     recursive: bool = False,
     ignore_case: bool = False,
     null_tokens: Sequence[str] = CSV_NULL_TOKENS,
-    multi_line: bool = False,
+    max_record_lines: int = MAX_RECORD_LINES,
     storage: Mapping[str, str] | None = None,
 ) -> Landed:
     """All files below ``path`` whose name holds ``pattern``, as one text table, and what did not fit.
 
     ``path`` may be on any file system Spark can read, with ``storage`` holding the file system's own
-    settings. Columns are mapped by the header of each file; only the distinct headers come to the
-    driver, and lines find theirs by a join on the file. A line with more fields than its header, or
-    one that is a part of a record with a line break inside quotes (``multi_line`` off), goes to
-    ``malformed`` with its file, text and reason; every other line is a row. Without a matching file
+    settings. The files are read once, in splits, into a scratch table of lines (see ``lines``). Columns are
+    mapped by the header of each file; only the distinct headers come to the driver, and lines find
+    theirs by a join on the file. Quoted fields may hold line breaks. A record with more fields than
+    its header, or a line with a quote that nothing closes within ``max_record_lines`` lines, goes to
+    ``malformed`` with its file, text and reason; every other record is a row. Without a matching file
     both are empty.
     """
     glob, storage = name_glob(pattern, ignore_case), dict(storage or {})
@@ -186,7 +136,8 @@ def land_split(
         spark.createDataFrame([], TABLES["bronze", "malformed_line"]),
     )
     try:
-        headers = file_headers(spark, path, glob, recursive, **storage).cache()
+        lines = stored_lines(spark, path, glob, recursive, **storage)
+        headers = stored(file_headers(lines), "file-headers")
         layouts = sorted(r.header for r in headers.select("header").distinct().collect())
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
@@ -199,18 +150,9 @@ def land_split(
     names = [header_names(header) for header in layouts]
     widest = max(map(len, names))
     width = _by_layout([F.lit(len(n)) for n in names])
-    options = {"pathGlobFilter": glob, "recursiveFileLookup": str(recursive).lower(), **storage}
-    if multi_line:
-        parsed = _multi_line(spark, path, headers, layouts, widest, **options)
-        bare = F.regexp_replace("line", _QUOTED, "")
-        # The reader gives the text of a record only together with a field of it.
-        told = F.length(F.concat_ws("", "record.f0", "line")) > 0
-        reason = F.when(told & (_plain_fields(bare) > width), TOO_MANY_FIELDS)
-        good = parsed.filter(reason.isNull())
-    else:
-        parsed = _with_layout(_lines(spark, path, **options), headers, layouts)
-        reason = malformed_reason(F.col("line"), width)
-        good = _records(parsed.filter(reason.isNull()), widest)
+    parsed = _with_layout(records(lines, headers, max_record_lines), headers, layouts)
+    reason = malformed_reason(F.col("line"), width)
+    good = _parsed(parsed.filter(reason.isNull()), widest)
 
     def column(name: str) -> Column:
         places = [n.index(name) if name in n else None for n in names]

@@ -1,8 +1,11 @@
+import random
+
 import pytest
 from helpers import NOW, rows
 
 from muster.schemas import EMPLOYEE_FILE_COLUMNS, TABLES, TIMESHEET_FILE_COLUMNS
 from muster.sources import landing
+from muster.sources.lines import file_headers, records, stored_lines
 from muster.sources.locations import export_location, source_location
 from muster.sources.tables import Warehouse
 
@@ -59,11 +62,98 @@ def test_nulls_and_quotes(spark, tmp_path):
     assert rows(landed, *SHORT[:3])[-1] == ("[NULL]", "NULL", "NA")
 
 
-def test_line_breaks_inside_quotes_are_an_option(spark, tmp_path):
+def test_line_breaks_inside_quotes(spark, tmp_path):
     columns = TIMESHEET_FILE_COLUMNS
-    write(tmp_path, "timesheet.csv", columns, timesheet_line(columns, client_employee_id="1", punch_in_comment='"a\nb"'))
-    landed = landing.land_timesheets(spark, str(tmp_path), NOW, multi_line=True)
-    assert rows(landed, "client_employee_id", "punch_in_comment") == [("1", "a\nb")]
+    write(tmp_path, "timesheet.csv", columns, timesheet_line(columns, client_employee_id="1", punch_in_comment='"a\n\n|b"'))
+    landed = landing.split_timesheets(spark, str(tmp_path), NOW)
+    assert rows(landed.rows, "client_employee_id", "punch_in_comment") == [("1", "a\n\n|b")]
+    assert rows(landed.malformed) == []
+
+
+def plain_records(text):
+    """Records of a text, character by character; a quote that nothing closes opens nothing."""
+    records, start, at = [], 0, 0
+    lines_end = {i for i, c in enumerate(text) if c == "\n"}
+    while start < len(text):
+        at, closed = start, True
+        while True:  # a field
+            if text[at : at + 1] == '"':
+                at += 1
+                while at < len(text):
+                    if text[at] != '"':
+                        at += 1
+                    elif text[at + 1 : at + 2] == '"':
+                        at += 2
+                    else:
+                        break
+                closed = at < len(text)
+                at += 1
+            while closed and at < len(text) and text[at] not in "|\n":
+                at += 1
+            if not closed or at >= len(text) or text[at] == "\n":
+                break
+            at += 1
+        if not closed:
+            at = min((i for i in lines_end if i >= start), default=len(text))
+        records.append(text[start:at])
+        start = at + 1
+    return [r for r in records if r.strip(" ")]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_records_of_random_files(spark, settings, tmp_path, seed):
+    """Any mix of quotes, breaks and blank lines, cut into splits at any place."""
+    draw = random.Random(seed)
+    size = str([60, 150, 5000][seed])
+    settings(files__maxPartitionBytes=size, files__openCostInBytes="0", files__minPartitionNum="1")
+    expected = []
+    for n in range(4):
+        pieces = ["a", "b c", "|", "|", "\n", "\n", '""', '"', "é", " ", "\uffff", '|"x\ny\n\nz"|', '"p""q|\n"\n', "h|i\n"]
+        body = "".join(draw.choices(pieces, k=draw.randint(0, 120)))
+        if n % 2:
+            body = body.replace('"', "", 1) if body.count('"') % 2 else body
+        (tmp_path / f"timesheet_{n}.csv").write_text("\n \nh|i\n" + body, encoding="utf-8", newline="")
+        expected += [(f"timesheet_{n}.csv", r) for r in plain_records(body)]
+    lines = stored_lines(spark, str(tmp_path), "*timesheet*.csv", False)
+    found = records(lines, file_headers(lines))
+    assert rows(found, "file", "line") == sorted(expected)
+
+
+def test_long_record_is_a_broken_quote(spark, tmp_path):
+    body = 'h|i\n1|"a\nb\nc"\n2|"d\ne"\n3|"f\ng\nh\ni"\n4|j\n'
+    (tmp_path / "timesheet.csv").write_text(body)
+    lines = stored_lines(spark, str(tmp_path), "*timesheet*.csv", False)
+    found = records(lines, file_headers(lines), max_lines=3)
+    assert rows(found, "line") == [(x,) for x in ('1|"a\nb\nc"', '2|"d\ne"', '3|"f', "4|j", "g", "h", 'i"')]
+
+
+def test_repeated_header_lines_are_rows(spark, tmp_path):
+    columns = ("client_employee_id", "pay_code")
+    write(tmp_path, "timesheet.csv", columns, "1|A", "|".join(columns), "2|B", "|".join(columns))
+    landed = landing.land_timesheets(spark, str(tmp_path), NOW)
+    assert rows(landed, *columns) == [("1", "A"), ("2", "B"), columns, columns]
+
+
+def test_any_character_is_kept(spark, tmp_path):
+    columns = ("client_employee_id", "pay_code", "hours_worked")
+    write(tmp_path, "timesheet.csv", columns, "5|A\uffffB|8", "6|A\u0001\u2028B|8", "7|\u0001\u0003\uffff|")
+    landed = landing.land_timesheets(spark, str(tmp_path), NOW)
+    assert rows(landed, *columns) == [("5", "A\uffffB", "8"), ("6", "A\u0001\u2028B", "8"),
+        ("7", "\u0001\u0003\uffff", None),
+    ]
+
+
+def test_broken_records_of_a_large_file_are_the_work_of_many_tasks(spark, settings, tmp_path):
+    settings(files__maxPartitionBytes="30000", files__openCostInBytes="0")
+    columns = ("client_employee_id", "pay_code", "punch_in_comment")
+    body = [f'{n}|A|"two\nlines of {n}"' if n % 3 else f"{n}|A|one" for n in range(6000)]
+    write(tmp_path, "timesheet.csv", columns, *body)
+    lines = stored_lines(spark, str(tmp_path), "*timesheet*.csv", False)
+    assert lines.select("block").distinct().count() > 5
+    landed = landing.split_timesheets(spark, str(tmp_path), NOW)
+    found = rows(landed.rows, "client_employee_id", "punch_in_comment")
+    assert found == sorted((str(n), f"two\nlines of {n}" if n % 3 else "one") for n in range(6000))
+    assert landed.malformed.isEmpty()
 
 
 def test_lookup_below_a_prefix_in_any_case(spark, tmp_path):
@@ -102,14 +192,13 @@ def test_malformed_lines_are_kept_apart(spark, tmp_path):
     write(tmp_path, "timesheet_2.csv", (*columns, "extra"), "11|A|8|fits", "12|A|8|does|not")
     landed = landing.split_timesheets(spark, str(tmp_path), NOW)
     assert rows(landed.rows, "client_employee_id", "pay_code") == [
-        ("1", "A"), ("10", "A"), ("11", "A"), ("3", "A"), ("4", "a|b"), ("7", '5" pipe'), ("8", 'say "hi|"|'),
+        ("1", "A"), ("10", "A"), ("11", "A"), ("3", "A"), ("4", "a|b"), ("6", "A"), ("7", '5" pipe'),
+        ("8", 'say "hi|"|'),
     ]
     assert rows(landed.malformed, "source_file", "text", "reason") == [
         ("timesheet_1.csv", '"9|A|8', "BROKEN_QUOTE"),
         ("timesheet_1.csv", "2|A|8|more", "TOO_MANY_FIELDS"),
         ("timesheet_1.csv", '5|"a|b"|8|"x|y"', "TOO_MANY_FIELDS"),
-        ("timesheet_1.csv", '6|A|"two', "BROKEN_QUOTE"),
-        ("timesheet_1.csv", 'lines"', "BROKEN_QUOTE"),
         ("timesheet_2.csv", "12|A|8|does|not", "TOO_MANY_FIELDS"),
     ]
     assert landed.malformed.schema == TABLES["bronze", "malformed_line"]
@@ -119,7 +208,7 @@ def test_malformed_records_with_line_breaks(spark, tmp_path):
     columns = ("client_employee_id", "pay_code", "punch_in_comment")
     write(tmp_path, "timesheet.csv", columns, '1|A|"two\nlines"', "2|A|x|more", "3|A")
     write(tmp_path, "timesheet_2.csv", tuple(reversed(columns)), '"x\ny"|B|4')
-    landed = landing.split_timesheets(spark, str(tmp_path), NOW, multi_line=True)
+    landed = landing.split_timesheets(spark, str(tmp_path), NOW)
     assert rows(landed.rows, "client_employee_id", "pay_code", "punch_in_comment") == [
         ("1", "A", "two\nlines"), ("3", "A", None), ("4", "B", "x\ny"),
     ]
@@ -133,11 +222,10 @@ def test_headers_of_split_files(spark, settings, tmp_path):
     lines = [timesheet_line(columns, client_employee_id=str(n)) for n in range(500)]
     write(tmp_path, "timesheet.csv", columns, *lines)
     (tmp_path / "timesheet_2.csv").write_text("\n  \n" + "|".join(columns) + "\n")
-    headers = landing.file_headers(spark, str(tmp_path), "*timesheet*.csv", False)
+    headers = file_headers(stored_lines(spark, str(tmp_path), "*timesheet*.csv", False))
     assert {r.header for r in headers.collect()} == {"|".join(columns)}
     assert headers.count() == 2
     landed = landing.land_timesheets(spark, str(tmp_path), NOW)
-    assert landed.rdd.getNumPartitions() > 4
     assert rows(landed, "client_employee_id") == sorted((str(n),) for n in range(500))
 
 
