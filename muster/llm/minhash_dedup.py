@@ -18,8 +18,8 @@ WORDS = 5
 PERCENT = 80
 BANDS, ROWS = 32, 5
 SHIFT_BLOCK = 1 << 18
-# Shingles in a block of sets that are compared with another block in one step, and of them at once.
-BLOCK_SHINGLES = 100_000
+# Shingles and sets in a block that is compared with another block in one step, and shingles of them at once.
+BLOCK_SHINGLES, BLOCK_ROWS = 100_000, 2000
 COLUMNS = 4096
 
 
@@ -190,13 +190,34 @@ def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     return counts.astype(np.int64)
 
 
+def _forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (row, column) that join what all links of a grid join, and no more than they need."""
+    sides = near, np.ascontiguousarray(near.T)
+    seen = [np.zeros(n, bool) for n in near.shape]
+    found = []
+    for start in np.flatnonzero(near.any(axis=1)):
+        if seen[0][start]:
+            continue
+        seen[0][start] = True
+        todo = [(0, start)]
+        while todo:
+            side, at = todo.pop()
+            new = np.flatnonzero(sides[side][at] & ~seen[1 - side])
+            seen[1 - side][new] = True
+            ends = np.full(len(new), at), new
+            found.append(ends if side == 0 else ends[::-1])
+            todo += [(1 - side, k) for k in new.tolist()]
+    return tuple(np.concatenate([np.zeros(0, np.int64), *(f[k] for f in found)]) for k in (0, 1))
+
+
 def _apart(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): links between members of one group that no component joins, found block by block.
 
     ``groups`` has (centre, doc, n, component). The members in the centre's own component are linked
-    already; the others are compared with them and with each other. Blocks are dealt by hash, have
-    about ``BLOCK_SHINGLES`` shingles, and only pairs of blocks are joined, so a group of any size is
-    spread over many tasks and its pairs are never rows.
+    already; the others are compared with them and with each other. Blocks are dealt by hash, have about
+    ``BLOCK_SHINGLES`` shingles or ``BLOCK_ROWS`` sets at most, and only pairs of blocks are joined, so a group
+    of any size is spread over many tasks. Of a pair of blocks only a spanning forest of its links
+    leaves the task: fewer rows than the two blocks have members, not one per pair of members.
     """
     own = F.max(F.when(F.col("doc") == F.col("centre"), F.col("component")))
     centres = groups.groupBy("centre").agg(
@@ -204,7 +225,9 @@ def _apart(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
     mixed = stored(centres.filter("low <> high").select("centre", "own"), "minhash-mixed")
     placed = groups.join(mixed, "centre").withColumn("other", F.col("component") != F.col("own"))
-    count = F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int")
+    count = F.greatest(
+        F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)), F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_ROWS))
+    ).cast("int")
     sizes = stored(placed.groupBy("centre", "other").agg(count.alias("blocks")), "minhash-sizes")
     dealt = placed.join(sizes, ["centre", "other"]).withColumn(
         "block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
@@ -242,7 +265,7 @@ def _apart(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 (x, cx, nx, dx), (y, cy, ny, dy) = sides
                 common = _common(x, y)
                 near = 100 * common >= percent * (nx[:, None] + ny[None, :] - common)
-                i, j = np.nonzero(near & (cx[:, None] != cy[None, :]))
+                i, j = _forest(near & (cx[:, None] != cy[None, :]))
                 rows.append([{"a": a, "b": b} for a, b in zip(dx[i].tolist(), dy[j].tolist(), strict=True)])
             yield pa.array(rows, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))
 

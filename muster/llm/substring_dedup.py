@@ -15,6 +15,7 @@ graph; it leaves the text as one row, with a digest of all its words.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -70,13 +71,20 @@ class Paths:
         self.digest = mix(content ^ mix(shape))
 
 
-def _occurrences(documents: DataFrame, window: int, anchor: int, text: str, key: str) -> DataFrame:
+def _identified(documents: DataFrame, text: str, key: str) -> DataFrame:
+    """(document, doc, text): a row as a struct, and what tells it apart: its key and a digest of its text."""
+    value = F.coalesce(F.col(text), F.lit(""))
+    doc = F.struct(F.col(key).alias("key"), F.xxhash64(value).alias("text"))
+    return documents.select(F.struct("*").alias("document"), doc.alias("doc"), value.alias("text"))
+
+
+def _occurrences(rows: DataFrame, window: int, anchor: int) -> DataFrame:
     """(anchor, digest, doc, at) of every path."""
     schema = T.StructType(
         [
             T.StructField("anchor", T.LongType()),
             T.StructField("digest", T.LongType()),
-            T.StructField("doc", documents.schema[key].dataType),
+            T.StructField("doc", rows.schema["doc"].dataType),
             T.StructField("at", T.LongType()),
         ]
     )
@@ -94,17 +102,26 @@ def _occurrences(documents: DataFrame, window: int, anchor: int, text: str, key:
                     names=schema.names,
                 )
 
-    return documents.select(F.col(key).alias("doc"), F.col(text).alias("text")).mapInArrow(walk, schema)
+    return rows.select("doc", "text").mapInArrow(walk, schema)
 
 
-def _span(at: Column, window: int) -> tuple[Column, Column]:
-    """First word of a path and the word after its last."""
+def _place(at: Column) -> tuple[Column, Column]:
+    """First word of a path, and the number of its words less those of a window."""
     back, count = F.shiftright(at, 10) % FIELD, at % FIELD
-    start = F.shiftright(at, 20) - back
-    return start.cast("int").alias("start"), (start + count + (window - 1)).cast("int").alias("end")
+    return (F.shiftright(at, 20) - back).cast("int"), (count - 1).cast("int")
+
 
+def _path_spans(paths: DataFrame, window: int) -> DataFrame:
+    """Spans of the paths that have a ``source`` (doc, at) elsewhere."""
+    start, more = _place(F.col("at"))
+    begin = _place(F.col("source.at"))[0]
+    return paths.select(
+        "doc", start.alias("start"), (start + more + window).alias("end"),
+        F.col("source.doc").alias("source"), begin.alias("begin"),
+    )
 
-def _opened(documents: DataFrame, heads: DataFrame, window: int, text: str, key: str) -> DataFrame:
+
+def _opened(rows: DataFrame, heads: DataFrame, window: int) -> DataFrame:
     """(anchor, gram, doc, start) of every window of the paths in ``heads``, read from the texts."""
 
     @F.arrow_udf("array<struct<anchor:long, gram:long, start:int>>")
@@ -122,9 +139,6 @@ def _opened(documents: DataFrame, heads: DataFrame, window: int, text: str, key:
                 begin = (at >> 20) - (at >> 10) % FIELD
                 path = np.repeat(np.arange(len(at)), count)
                 start = begin[path] + np.arange(len(path)) - np.repeat(np.cumsum(count) - count, count)
-                # A repeated key with another text may be shorter than the path's own.
-                fits = start + window <= words.counts[of[path]]
-                path, start = path[fits], start[fits]
                 grams = words.spans(words.first[of[path]] + start, window, OTHER_BASE)
                 sizes = np.bincount(of[path], minlength=len(part))
                 struct = pa.StructArray.from_arrays(
@@ -140,26 +154,23 @@ def _opened(documents: DataFrame, heads: DataFrame, window: int, text: str, key:
             yield pa.concat_arrays(found)
 
     listed = heads.groupBy("doc").agg(F.collect_list(F.struct("anchor", "at")).alias("paths"))
-    rows = documents.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    met = rows.join(listed, F.col("_key").eqNullSafe(F.col("doc")))
-    opened = met.select("doc", F.explode(windows(F.coalesce("_text", F.lit("")), "paths")).alias("w"))
+    met = rows.select("doc", "text").join(listed, "doc")
+    opened = met.select("doc", F.explode(windows("text", "paths")).alias("w"))
     return opened.select("w.anchor", "w.gram", "doc", "w.start")
 
 
-def repeated_spans(
-    documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, text: str = "text", key: str = "doc_id"
-) -> DataFrame:
-    """(doc, start, end): spans of words covered by windows that start earlier elsewhere.
+def repeated_spans(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
+    """(doc, start, end, source, begin): spans of words covered by windows that start earlier elsewhere.
 
-    Earlier is a smaller document, or the same document and a smaller word. Every such window is in a
-    span, and every span is made of such windows; spans may overlap.
+    ``rows`` have (doc, text). Earlier is a smaller document, or the same document and a smaller word;
+    ``begin`` is the word of ``source`` where the same words start. Every such window is in a span, and
+    every span is made of such windows; spans may overlap.
 
     Anchors are counted with partial sums, occurrences then join the anchors that repeat, so an anchor
     that a third of all texts hold meets in no task that cannot be split. Windows are told apart by
-    the anchor's hash and their own (for a path its digest). All of these derive from one 64-bit hash a
-    word; what is removed is not compared with the text at the source's coordinates.
+    their anchor and their own hash (for a path its digest), made of separate halves of the words' digests.
     """
-    walked = _occurrences(documents, window, anchor, text, key)
+    walked = _occurrences(rows, window, anchor)
     repeated = (
         walked.groupBy("anchor")
         .agg(
@@ -175,29 +186,103 @@ def repeated_spans(
     # not while one side comes straight from the aggregate.
     repeated = stored(repeated, "path-anchors")
     here = F.struct("doc", "at")
-    met = walked.join(repeated, "anchor").filter(~(F.col("straight") & here.eqNullSafe(F.col("source"))))
-    met = stored(met.select("anchor", "digest", "doc", "at", "straight"), "paths")
-    straight = met.filter("straight").select("doc", *_span(F.col("at"), window))
+    met = walked.join(repeated, "anchor").filter(~(F.col("straight") & (here == F.col("source"))))
+    source = F.when(F.col("straight"), F.col("source")).alias("source")
+    met = stored(met.select("anchor", "digest", "doc", "at", source), "paths")
+    straight = _path_spans(met.filter("source is not null"), window)
 
-    branching = met.filter("not straight").drop("straight")
+    branching = met.filter("source is null").drop("source")
     heads = branching.groupBy("anchor", "digest").agg(F.min(here).alias("source"))
     heads = stored(heads, "path-heads")
-    copies = (
-        branching.join(heads, ["anchor", "digest"])
-        .filter(~here.eqNullSafe(F.col("source")))
-        .select("doc", *_span(F.col("at"), window))
-    )
-    opened = stored(
-        _opened(documents, heads.select("anchor", "source.doc", "source.at"), window, text, key), "path-windows"
-    )
+    copies = branching.join(heads, ["anchor", "digest"]).filter(here != F.col("source"))
+    opened = stored(_opened(rows, heads.select("anchor", "source.doc", "source.at"), window), "path-windows")
     there = F.struct("doc", "start")
     sources = (
         opened.groupBy("anchor", "gram").agg(F.min(there).alias("source"), F.max(there).alias("other"))
-    ).filter(~F.col("source").eqNullSafe(F.col("other")))
+    ).filter(F.col("source") != F.col("other"))
     sources = stored(sources, "path-sources").select("anchor", "gram", "source")
-    later = opened.join(sources, ["anchor", "gram"]).filter(~there.eqNullSafe(F.col("source")))
-    single = later.select("doc", "start", (F.col("start") + window).alias("end"))
-    return straight.union(copies).union(single)
+    later = opened.join(sources, ["anchor", "gram"]).filter(there != F.col("source"))
+    single = later.select(
+        "doc", "start", (F.col("start") + window).alias("end"),
+        F.col("source.doc").alias("source"), F.col("source.start").alias("begin"),
+    )
+    return straight.unionByName(_path_spans(copies, window)).unionByName(single)
+
+
+def _joined(starts: np.ndarray, ends: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Overlapping spans of one group as one: starts, ends, and a span of each."""
+    order = np.lexsort((starts, groups))
+    starts, ends, groups = starts[order], ends[order], groups[order]
+    # A group's ends lie above all of the groups before.
+    room = int(ends.max()) + 1
+    reach = np.maximum.accumulate(ends + groups * room) - groups * room
+    new = np.ones(len(starts), bool)
+    new[1:] = (groups[1:] != groups[:-1]) | (starts[1:] > reach[:-1])
+    first = np.flatnonzero(new)
+    return starts[first], reach[np.append(first[1:], len(starts)) - 1], order[first]
+
+
+def _long_spans(spans: DataFrame) -> DataFrame:
+    """Spans that continue each other in a document and in its source, as one each."""
+    source = spans.schema["source"].dataType
+    key, text = (source[f].dataType.simpleString() for f in ("key", "text"))
+    out = f"array<struct<start:int, end:int, source:struct<key:{key}, text:{text}>, begin:int>>"
+
+    @F.arrow_udf(out)
+    def joined(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for lists in batches:
+            rows, sizes = [], [0]
+            for found in lists:
+                spans = found.values
+                start, end, origin, begin = (spans.field(f) for f in ("start", "end", "source", "begin"))
+                s, e, b = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in (start, end, begin))
+                names: dict[tuple, int] = {}
+                shift = (s - b).tolist()
+                ids = zip(origin.field("key").to_pylist(), origin.field("text").to_pylist(), shift, strict=True)
+                groups = np.array([names.setdefault(x, len(names)) for x in ids], np.int64)
+                s, e, one = _joined(s, e, groups)
+                columns = (
+                    pa.array(s, pa.int32()), pa.array(e, pa.int32()), origin.take(pa.array(one)),
+                    pa.array(s - np.array(shift)[one], pa.int32()),
+                )
+                rows.append(pa.StructArray.from_arrays(columns, names=["start", "end", "source", "begin"]))
+                sizes.append(len(s))
+            if rows:
+                offsets = pa.array(np.cumsum(sizes).astype(np.int32))
+                yield pa.ListArray.from_arrays(offsets, pa.concat_arrays(rows))
+            else:
+                yield lists
+
+    listed = spans.groupBy("doc").agg(F.collect_set(F.struct("start", "end", "source", "begin")).alias("spans"))
+    return listed.select("doc", F.explode(joined("spans")).alias("s")).select("doc", "s.*")
+
+
+def span_digest(words: list[bytes], start: int, end: int) -> bytes | None:
+    """Digest of some words as they are; null if the text has not so many."""
+    return blake2b(b" ".join(words[start:end]), digest_size=16).digest() if end <= len(words) else None
+
+
+def _source_digests(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """(source, begin, length, digest) of the words at each span's source, read from its text."""
+
+    @F.arrow_udf("array<struct<begin:int, length:int, digest:binary>>")
+    def read(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        kind = pa.struct([("begin", pa.int32()), ("length", pa.int32()), ("digest", pa.binary())])
+        for texts, lists in batches:
+            out = []
+            for text, wanted in zip(texts, lists.to_pylist(), strict=True):
+                words = text.as_py().encode().split()
+                for w in wanted:
+                    w["digest"] = span_digest(words, w["begin"], w["begin"] + w["length"])
+                out.append(wanted)
+            yield pa.array(out, pa.list_(kind))
+
+    length = (F.col("end") - F.col("start")).alias("length")
+    wanted = spans.select("source", "begin", length).distinct()
+    listed = wanted.groupBy("source").agg(F.collect_list(F.struct("begin", "length")).alias("wanted"))
+    met = rows.select(F.col("doc").alias("source"), "text").join(listed, "source")
+    found = met.select("source", F.explode(read("text", "wanted")).alias("d")).select("source", "d.*")
+    return found.dropDuplicates(["source", "begin", "length"])
 
 
 def remove_repeats(
@@ -209,45 +294,51 @@ def remove_repeats(
     of ``window`` words that starts earlier too is removed; windows are judged on the input. Kept words
     are joined by one space.
 
-    A document's list of spans is at most as long as the document; texts are joined with it by key.
+    Spans that continue each other are joined, and each long one is compared with the words at its
+    source's coordinates before it goes: both texts are read, and the 128-bit digests of their words must be
+    equal. A document's list of spans is at most as long as the document; texts are joined with it by
+    key and a digest of the text.
 
-    Null, empty or short text: nothing is removed. Rows without key come before all others. Repeated
-    rows of a key are the same document: none starts earlier than its copy, and they are cut alike.
-    Empty table: no rows. Extra columns stay inside ``document``, whatever their names.
+    Null, empty or short text: nothing is removed. Very long texts are read whole, by one worker each. Rows
+    without key come before all others. Rows of one key with different texts are documents of their own,
+    in the order of a digest of the text, and so are rows without key. Rows equal in key and text are the
+    same document: none starts earlier than its copy, and they are cut alike. Empty table: no rows. Extra
+    columns stay inside ``document``, whatever their names.
     """
     if not 0 < anchor < window < FIELD:
         raise ValueError("an anchor is shorter than a window")
-    spans = repeated_spans(documents, window, anchor, text, key)
-    listed = spans.groupBy("doc").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    rows = _identified(documents, text, key)
+    spans = stored(_long_spans(repeated_spans(rows, window, anchor)), "long-spans")
+    digests = stored(_source_digests(rows, spans), "source-digests")
+    place = (F.col("end") - F.col("start")).alias("length")
+    checked = spans.select("doc", "start", "source", "begin", place).join(digests, ["source", "begin", "length"])
+    listed = checked.groupBy("doc").agg(F.collect_set(F.struct("start", "length", "digest")).alias("spans"))
 
     @F.arrow_udf("n_words long, n_removed long, kept string")
     def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, lists in batches:
-            rows = []
-            for value, found in zip(texts.to_pylist(), lists, strict=True):
-                words = value.encode().split()
+            out = []
+            for value, found in zip(texts, lists.to_pylist(), strict=True):
+                words = value.as_py().encode().split()
                 kept = words
-                if found.is_valid:
-                    spans = found.values
+                if found:
                     change = np.zeros(len(words) + 1, np.int64)
-                    for field, step in ((0, 1), (1, -1)):
-                        ends = spans.field(field).to_numpy(zero_copy_only=False)
-                        np.add.at(change, np.minimum(ends, len(words)), step)
-                    stays = np.cumsum(change[:-1]) == 0
-                    kept = [words[i] for i in np.flatnonzero(stays)]
-                rows.append((len(words), len(words) - len(kept), b" ".join(kept).decode()))
-            columns = list(zip(*rows, strict=True)) or [[], [], []]
+                    for span in found:
+                        start, end = span["start"], span["start"] + span["length"]
+                        if (digest := span_digest(words, start, end)) and digest == span["digest"]:
+                            change[start] += 1
+                            change[end] -= 1
+                    kept = [words[i] for i in np.flatnonzero(np.cumsum(change[:-1]) == 0)]
+                out.append((len(words), len(words) - len(kept), b" ".join(kept).decode()))
+            columns = list(zip(*out, strict=True)) or [[], [], []]
             kinds = (pa.int64(), pa.int64(), pa.string())
             yield pa.StructArray.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                 names=["n_words", "n_removed", "kept"],
             )
 
-    rows = documents.select(
-        F.struct("*").alias("document"), F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text")
-    )
-    joined = rows.join(listed, F.col("_key").eqNullSafe(F.col("doc")), "left")
-    return joined.select("document", cut("_text", "spans").alias("words"))
+    joined = rows.join(listed, "doc", "left")
+    return joined.select("document", cut("text", "spans").alias("words"))
 
 
 def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:

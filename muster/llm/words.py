@@ -1,16 +1,24 @@
-"""Word and shingle hashes of a batch of texts, with numpy and without a Python step per word.
+"""Word and shingle hashes of a batch of texts.
 
-A word is a run of bytes other than ASCII white space. Hashes are polynomials modulo 2**64 over bytes,
-mixed, then polynomials over mixed word hashes, mixed again.
+A word is a run of bytes other than ASCII white space. It has a cryptographic digest of 128 bits, so no
+words are made alike by their letters; hashes of a few words are polynomials over one half of their
+digests, mixed.
 """
 
 from __future__ import annotations
 
+from array import array
+from hashlib import blake2b
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 
-BYTE_BASE, WORD_BASE, OTHER_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
-BLOCK = 1 << 20
+from muster.llm.workers import worker_held
+
+WORD_BASE, OTHER_BASE = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
+# Bytes of the words that a worker remembers, and the longest of them.
+LIMIT, LONG = 48 << 20, 256
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -37,53 +45,45 @@ def _sums(values: np.ndarray, powers: np.ndarray) -> np.ndarray:
     return out
 
 
-def _table(lower: bool) -> np.ndarray:
-    """What each byte counts as; 0 for white space."""
-    codes = np.arange(1, 257, dtype=np.uint64)
-    codes[[0x20, *range(0x09, 0x0E)]] = 0
-    if lower:
-        codes[ord("A") : ord("Z") + 1] += 32
-    return codes
+class Digests(dict):
+    """Numbers of words, whose digests are rows of two arrays: 64 bits each of one BLAKE2 digest.
+
+    A worker holds it up to about ``LIMIT`` bytes; then it starts anew. Results don't depend on its state.
+    """
+
+    def __init__(self):
+        super().__init__()
+        self.first, self.second, self.size = array("Q"), array("Q"), 0
 
+    def __missing__(self, word: bytes) -> int:
+        number = len(self.first)
+        both = blake2b(word, digest_size=16).digest()
+        self.first.append(int.from_bytes(both[:8], "little"))
+        self.second.append(int.from_bytes(both[8:], "little"))
+        self.size += 16
+        if len(word) <= LONG:
+            self[word] = number
+            self.size += len(word) + 150
+        return number
 
-def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all texts, and where each text begins and the last ends. Null counts as empty."""
-    texts = texts.cast(pa.large_string()).fill_null("")
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    if not len(offsets):
-        offsets = np.zeros(1, np.int64)
-    raw = texts.buffers()[2]
-    data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
-    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+    def of(self, lists: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        if self.size > LIMIT:
+            self.__init__()
+            self.clear()
+        count = sum(map(len, lists))
+        numbers = np.fromiter(map(self.__getitem__, chain.from_iterable(lists)), np.int64, count)
+        return tuple(np.frombuffer(a, np.uint64)[numbers] if count else np.zeros(0, np.uint64) for a in (self.first, self.second))
 
 
 class Words:
-    """Words of a batch of texts: hash, and the index of the first word of each text."""
+    """Words of a batch of texts: digests, and the index of the first word of each text."""
 
     def __init__(self, texts: pa.Array, lower: bool):
-        data, offsets = flat(texts)
-        codes = _table(lower)
-        solid = codes.astype(bool)[data]
-        n = len(data)
-        first = np.zeros(n + 1, bool)
-        first[offsets] = True
-        head, tail = solid.copy(), solid.copy()
-        head[1:] &= ~solid[:-1] | first[1:n]
-        tail[:-1] &= ~solid[1:] | first[1:n]
-        self.starts, self.ends = np.flatnonzero(head), np.flatnonzero(tail) + 1
-        self.first = np.searchsorted(self.starts, offsets)
-        self.hash = np.empty(len(self.starts), np.uint64)
-        # Blocks of whole words bound what is held at eight bytes a character.
-        at = 0
-        while at < len(self.starts):
-            base = self.starts[at]
-            to = max(at + 1, int(np.searchsorted(self.ends, base + BLOCK, "right")))
-            block = codes[data[base : self.ends[to - 1]]]
-            powers, inverses = _powers(BYTE_BASE, len(block))
-            sums = _sums(block, powers)
-            s, e = self.starts[at:to] - base, self.ends[at:to] - base
-            self.hash[at:to] = mix((sums[e] - sums[s]) * inverses[s] + (e - s).astype(np.uint64))
-            at = to
+        lists = [
+            (t.encode().lower() if lower else t.encode()).split() if t else [] for t in texts.to_pylist()
+        ]
+        self.hash, self.other = worker_held("word digests", Digests).of(lists)
+        self.first = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)]).astype(np.int64)
         self._grams: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     @property
@@ -91,10 +91,10 @@ class Words:
         return np.diff(self.first)
 
     def spans(self, start: np.ndarray, length: np.ndarray | int, base: int = WORD_BASE) -> np.ndarray:
-        """Hash of ``length`` words from each ``start``."""
+        """Hash of ``length`` words from each ``start``; with ``OTHER_BASE`` from the other half of the digests."""
         if base not in self._grams:
             powers, inverses = _powers(base, len(self.hash) + 1)
-            self._grams[base] = _sums(self.hash, powers), inverses
+            self._grams[base] = _sums(self.other if base == OTHER_BASE else self.hash, powers), inverses
         sums, inverses = self._grams[base]
         size = np.asarray(length).astype(np.uint64)
         return mix((sums[start + length] - sums[start]) * inverses[start] + size)

@@ -10,6 +10,7 @@ from fractions import Fraction
 
 import public_tokenizers
 import tiktoken
+import xxhash
 from tokenizers import Tokenizer
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -21,19 +22,26 @@ def sha(data):
 
 
 def substring_dedup(rows, window=20):
-    """doc_id -> (n_words, n_removed, sha of the kept words); rows of one doc_id are the same document."""
-    words = [(i, WORD.findall(t or "")) for i, t in rows]
+    """(doc_id, n_words, n_removed, sha of the kept words) of each row.
+
+    A document is a key and a text; those of one key come in the order of a digest of the text.
+    """
+    words = [(i, t or "", WORD.findall(t or "")) for i, t in rows]
+
+    def document(i, t):
+        digest = xxhash.xxh64_intdigest(t.encode(), 42)
+        return (i is not None, i or 0, digest - (1 << 64) if digest >> 63 else digest)
+
     least = {}
-    for i, w in words:
+    for i, t, w in words:
         for s in range(len(w) - window + 1):
-            k = tuple(w[s : s + window])
-            here = (-1 if i is None else i, s)
+            k, here = tuple(w[s : s + window]), (document(i, t), s)
             least[k] = min(least.get(k, here), here)
     out = []
-    for i, w in words:
+    for i, t, w in words:
         gone = set()
         for s in range(len(w) - window + 1):
-            if least[tuple(w[s : s + window])] != (-1 if i is None else i, s):
+            if least[tuple(w[s : s + window])] != (document(i, t), s):
                 gone.update(range(s, s + window))
         kept = [x for j, x in enumerate(w) if j not in gone]
         out.append((i, len(w), len(gone), sha(" ".join(kept))))

@@ -1,7 +1,9 @@
 """Corpus operators on the smallest documents and on edge cases, against brute force."""
 
+import random
 import zlib
 
+import numpy as np
 import plain
 import pytest
 from pyspark.sql import functions as F
@@ -253,3 +255,76 @@ def test_cache_that_turns_over_between_short_and_long_texts(spark, monkeypatch,
     df = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
     found = byte_bpe.encode_documents(df, str(own)).select("document.doc_id", "bpe.*")
     assert rows(found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")) == pairs(plain.byte_bpe(texts))
+
+
+def _thue_morse(n, a, b):
+    return "".join(b if bin(i).count("1") % 2 else a for i in range(n))
+
+
+RUN = " ".join(f"x{i}" for i in range(20))
+UNIQUE = " ".join(f"only{i}" for i in range(60))
+
+
+@pytest.mark.parametrize("key", [None, 7])
+def test_rows_of_one_key_are_cut_by_their_own_spans(documents, key):
+    given = [(key, f"{RUN} mid {RUN}"), (key, UNIQUE), (key, UNIQUE), (9, f"{UNIQUE} end")]
+    found = {r.document.text: r.words for r in substring_dedup.remove_repeats(documents(given)).collect()}
+    assert found[UNIQUE].n_removed == 0
+    assert found[f"{RUN} mid {RUN}"].n_removed == 20
+    assert found[f"{UNIQUE} end"].kept == "end"
+    assert rows(of_substrings(documents(given))) == pairs(plain.substring_dedup(given))
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_long_words_are_told_apart(documents, n):
+    """Words and texts that polynomials modulo a power of two take for equal."""
+    one, two = _thue_morse(n, "a", "b"), _thue_morse(n, "b", "a")
+    nineteen = " ".join(f"w{i}" for i in range(19))
+    given = [(1, f"{nineteen} {one}"), (2, f"{nineteen} {two}"), (3, one), (4, two), (5, f"{nineteen} {one}")]
+    assert rows(of_substrings(documents(given))) == pairs(plain.substring_dedup(given))
+    found = {r.doc: r for r in minhash_dedup.near_duplicates(documents(given), words=2).collect()}
+    assert [found[i].component for i in range(1, 6)] == [1, 1, 3, 4, 1]
+
+
+def test_spans_with_overlaps_and_many_sources(documents):
+    draw = random.Random(5)
+    passages = [" ".join(f"p{k}w{draw.randint(0, 3)}" for _ in range(draw.randint(15, 60))) for k in range(6)]
+    given = [
+        (i, " ".join(draw.choice(passages) if draw.random() < 0.6 else f"u{i}" for _ in range(6))) for i in range(40)
+    ]
+    given += [(40, "same word " * 500), (41, "word same " * 700), (41, "word same " * 650)]
+    assert rows(of_substrings(documents(given))) == pairs(plain.substring_dedup(given))
+
+
+def test_near_copies_apart_from_their_centre_link_as_a_forest(spark, documents, monkeypatch):
+    """A family whose members are close to each other and none to the smallest document."""
+    monkeypatch.setattr(minhash_dedup, "BLOCK_ROWS", 30)
+    base = [f"b{j}" for j in range(100)]
+    given = [(0, " ".join(base[:70] + [f"c{j}" for j in range(30)]))]
+    for i in range(1, 90):
+        w = list(base)
+        w[10 + i % 80] = f"own{i}"
+        given.append((i, " ".join(w)))
+    seen = []
+    real = minhash_dedup.components
+    monkeypatch.setattr(minhash_dedup, "components", lambda edges, *a: real(seen.append(edges) or edges, *a))
+    assert rows(of_groups(2)(documents(given))) == pairs(grouped(2)(given))
+    assert seen[-1].count() < 10 * len(given)
+
+
+@pytest.mark.parametrize("density", [0.02, 0.2])
+def test_forest_spans_what_the_links_span(density):
+    draw = np.random.default_rng(1)
+    near = draw.random((40, 50)) < density
+    one, two = minhash_dedup._forest(near)
+    assert near[one, two].all() and len(one) < 90
+
+    def groups(edges):
+        found = {k: {k} for k in range(90)}
+        for a, b in edges:
+            both = found[a] | found[40 + b]
+            for k in both:
+                found[k] = both
+        return {frozenset(g) for g in found.values()}
+
+    assert groups(zip(one.tolist(), two.tolist())) == groups(np.argwhere(near).tolist())
