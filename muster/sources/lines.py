@@ -24,15 +24,18 @@ _INNER = r'[^"]*+(?:""[^"]*+)*+'
 QUOTED = rf'"{_INNER}"'
 _FIELD = rf'(?:{QUOTED}[^|]*+|[^"|][^|]*+|)\|'
 OPEN = rf'^(?:{_FIELD})*+"{_INNER}$'
-# The same for a line that begins inside quotes: nothing closes them, or a later field opens some.
-_STAYS = rf'^{_INNER}(?:"[^|]*+\|(?:{_FIELD})*+"{_INNER})?+$'
+# The same for a line that begins inside quotes. There a separator or the end of the line follows the quote
+# that closes; a quote in any other place shows that what seemed to be open was not.
+_STAYS = rf'^{_INNER}(?:"\|(?:{_FIELD})*+"{_INNER})?+$'
+_STRAY = rf'^{_INNER}"[^|]'
 
 # What a line does to being inside quotes.
 KEEPS, ENDS_OUTSIDE, ENDS_INSIDE, TURNS = range(4)
 
 
 def _step(line: Column) -> Column:
-    from_outside, from_inside = line.rlike(OPEN), line.rlike(_STAYS)
+    from_outside = line.rlike(OPEN)
+    from_inside = F.when(line.rlike(_STRAY), from_outside).otherwise(line.rlike(_STAYS))
     return (
         F.when(~line.contains('"') | (~from_outside & from_inside), KEEPS)
         .when(from_outside & from_inside, ENDS_INSIDE)
@@ -55,9 +58,10 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def stored_lines(spark: SparkSession, path: str, glob: str, recursive: bool, **storage: str) -> DataFrame:
-    """``path, file, block, place, line, step`` of every line of the matching files, as a stored table.
+    """``path, file, block, place, line, step, fresh`` of every line of the matching files, as a stored table.
 
-    ``block`` is where the line's split begins, ``place`` rises within it. Later steps read this table and
+    ``block`` is where the line's split begins, ``place`` rises within it; a ``fresh`` line begins a record
+    even where quotes seemed to be open. Later steps read this table and
     not the files, so they all see the same splits, and only the columns that they need.
     """
     lines = (
@@ -70,6 +74,7 @@ def stored_lines(spark: SparkSession, path: str, glob: str, recursive: bool, **s
             F.monotonically_increasing_id().alias("place"),
             F.col("value").alias("line"),
             _step(F.col("value")).alias("step"),
+            F.col("value").rlike(_STRAY).alias("fresh"),
         )
     )
     return stored(lines, "lines")
@@ -115,7 +120,7 @@ def _open_blocks(lines: DataFrame) -> DataFrame:
     keep the state are not looked at, and only files in which some line can open a quote.
     """
     opening = lines.filter(F.col("step").isin(ENDS_INSIDE, TURNS)).select("path").distinct()
-    marks = lines.filter(F.col("step") != KEEPS).select("path", "block", "place", "step")
+    marks = lines.filter(F.col("step") != KEEPS).select("path", "block", "place", "step", "fresh")
     scanned = _scanned(marks.join(opening, "path", "left_semi"), ["path", "block"], ["place"])
     # The step of a whole split: what its last mark has come to.
     whole = (
@@ -128,7 +133,7 @@ def _open_blocks(lines: DataFrame) -> DataFrame:
     openers = []
     for before in (0, 1):
         inside = F.coalesce(F.lag(_after(F.lit(before))).over(order), F.lit(before))
-        openers.append(F.when((inside == 0) & (_after(F.lit(before)) == 1), F.col("place")))
+        openers.append(F.when((F.col("fresh") | (inside == 0)) & (_after(F.lit(before)) == 1), F.col("place")))
     scanned = scanned.select("*", *(o.alias(f"opener{n}") for n, o in enumerate(openers)))
     ends = scanned.groupBy("path", "block").agg(
         F.max_by(whole, "place").alias("step"), F.max("opener0").alias("opener0"), F.max("opener1").alias("opener1")
@@ -153,7 +158,7 @@ def records(lines: DataFrame, headers: DataFrame, max_lines: int = MAX_RECORD_LI
     """``path, file, line`` of all records but headers; ``line`` of a record with line breaks is all of it.
 
     Blank lines outside quotes are left out. A quote that nothing closes, or not within ``max_lines``
-    lines, opens nothing: its lines are records by themselves.
+    lines, or that meets a stray one first, opens nothing: its lines are records by themselves.
 
     Splits that no broken record touches are read as they are; the lines of the others are dealt by split
     and put in order, so a file of any size is the work of many tasks, and a record of ``max_lines`` lines
@@ -174,7 +179,8 @@ def records(lines: DataFrame, headers: DataFrame, max_lines: int = MAX_RECORD_LI
     order = Window.partitionBy("path", "block").orderBy("place")
     inner = lines.join(touched, ["path", "block"])
     inner = _scanned(inner, ["path", "block"], ["place"]).withColumn("after", _after(F.col("before")))
-    inner = inner.withColumn("inside", F.coalesce(F.lag("after").over(order), F.col("before")))
+    inside = F.coalesce(F.lag("after").over(order), F.col("before"))
+    inner = inner.withColumn("inside", F.when(F.col("fresh"), 0).otherwise(inside))
     opener = F.when((F.col("inside") == 0) & (F.col("after") == 1), F.struct("block", F.col("place").alias("opener")))
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     span = F.coalesce(F.last(opener, ignorenulls=True).over(so_far), F.col("since"))

@@ -71,14 +71,18 @@ def test_line_breaks_inside_quotes(spark, tmp_path):
 
 
 def plain_records(text):
-    """Records of a text, character by character; a quote that nothing closes opens nothing."""
+    """Records of a text, character by character.
+
+    A quote that nothing closes opens nothing, nor does one that is open at the end of its line and then
+    meets a quote that no separator or line end follows.
+    """
     records, start, at = [], 0, 0
     lines_end = {i for i, c in enumerate(text) if c == "\n"}
     while start < len(text):
         at, closed = start, True
         while True:  # a field
             if text[at : at + 1] == '"':
-                at += 1
+                at, begin = at + 1, at
                 while at < len(text):
                     if text[at] != '"':
                         at += 1
@@ -87,6 +91,8 @@ def plain_records(text):
                     else:
                         break
                 closed = at < len(text)
+                if closed and "\n" in text[begin:at]:
+                    closed = text[at + 1 : at + 2] in ("|", "\n", "")
                 at += 1
             while closed and at < len(text) and text[at] not in "|\n":
                 at += 1
