@@ -1,66 +1,119 @@
-"""Counts of rows or keys that break a table's declared rules."""
+"""Counts of rows or keys that break the declared rules of tables.
+
+All rules of all tables are one aggregation. A row gives an entry for each rule that it breaks by itself,
+and for each key it has in a unique or reference rule; a table that others refer to gives its keys to
+those rules, too. Entries of one rule and key are summed, and say whether the key is repeated, or has no
+parent. So each table is scanned once and there is one shuffle, whatever the number of rules.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from muster.functions.text import clean_columns, overflows
 from muster.schemas import Contract
 
+_REPORT = "rule_id int, table_name string, column_name string, rule string, counted long"
+_ROW, _UNIQUE, _REFERENCE = "row", "unique", "reference"
 
-_REPORT = "table_name string, column_name string, rule string, violations long"
 
+@dataclass
+class _Rules:
+    """The rules of some tables, and what entries each table gives."""
 
-def _report(table: str, counts: DataFrame) -> DataFrame:
-    """One row per count of a one-row frame whose columns are named ``column|rule``."""
-    entries = counts.unpivot([], list(counts.columns), "entry", "violations")
-    return entries.selectExpr(
-        f"'{table}' as table_name",
-        "split_part(entry, '|', 1) as column_name",
-        "split_part(entry, '|', 2) as rule",
-        "violations",
-    )
+    rules: list[tuple[str, str, str]] = field(default_factory=list)
+    kinds: list[str] = field(default_factory=list)
+    counted: dict[int, int] = field(default_factory=dict)
+    entries: dict[str, list[Column]] = field(default_factory=dict)
 
+    def add(self, table: str, column: str, rule: str, kind: str) -> int:
+        self.rules.append((table, column, rule))
+        self.kinds.append(kind)
+        return len(self.rules) - 1
 
-def _row_rules(table: str, df: DataFrame, conditions: Mapping[str, str]) -> DataFrame:
-    """All row-level rules of a table in one aggregate pass."""
-    counts = (F.expr(f"count_if({bad})").alias(name) for name, bad in conditions.items())
-    return _report(table, df.agg(*counts))
+    def entry(self, source: str, rule: int, when: Column, key: Column, parent: bool = False) -> None:
+        values = F.struct(
+            F.lit(rule).alias("rule_id"), key.alias("key"), F.lit(0 if parent else 1).alias("rows"),
+            F.lit(parent).alias("parent"),
+        )
+        self.entries.setdefault(source, []).append(F.when(when, values))
 
 
-def _unique_rule(table: str, df: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    """Number of keys that occur more than once; a null never equals another."""
-    repeated = df.dropna(subset=list(key)).groupBy(*key).count().filter("count > 1")
-    return _report(table, repeated.agg(F.count(F.lit(1)).alias(f"{','.join(key)}|unique")))
+def _key(columns: tuple[str, ...]) -> Column:
+    """One text per key; of several columns each is preceded by its length, so that no two keys are alike."""
+    texts = [F.col(c).cast("string") for c in columns]
+    if len(texts) == 1:
+        return texts[0]
+    return F.concat(*(p for t in texts for p in (F.length(t).cast("string"), F.lit(":"), t)))
 
 
-def _reference_rule(
-    table: str, df: DataFrame, column: str, parent: DataFrame, parent_column: str
+def table_violations(
+    tables: Mapping[str, DataFrame],
+    contracts: Mapping[str, Contract],
+    raw: Mapping[str, DataFrame] | None = None,
+    overflowed: Mapping[str, Mapping[str, int]] | None = None,
 ) -> DataFrame:
-    """Number of rows whose non-null key has no parent.
+    """``table_name, column_name, rule, violations``: one row per rule of ``contracts``, 0 where it holds.
 
-    Rows are counted per key before the join, so a hot key joins as one row.
+    ``tables`` has the tables of the contracts, and those that reference rules name; a rule whose parent is
+    not among them is left out. Row and reference rules count rows, unique rules keys that occur more
+    than once; a null is no key. A value that does not fit its column is null once typed, so
+    fixed-point rules need ``raw``, the text rows behind a table, or ``overflowed``, the numbers per column
+    that were counted while they were typed.
     """
-    keys = df.select(F.col(column).alias("_key")).dropna().groupBy("_key").count()
-    parents = parent.select(F.col(parent_column).alias("_key"))
-    orphans = keys.join(parents, "_key", "left_anti")
-    return _report(table, orphans.agg(F.expr(f"coalesce(sum(count), 0) as `{column}|reference`")))
-
-
-def _overflow_rules(
-    table: str, raw: DataFrame, fixed_point: tuple[tuple[str, int, int], ...]
-) -> DataFrame:
-    """Texts that hold a number their decimal column has no room for."""
-    texts = clean_columns(raw, [column for column, _, _ in fixed_point])
-    counts = (
-        F.count_if(overflows(column, p, s)).alias(f"{column}|fixed_point_{p}_{s}")
-        for column, p, s in fixed_point
+    spark = next(iter(tables.values())).sparkSession
+    found, none = _Rules(), F.lit(None).cast("string")
+    sources = dict(tables)
+    for table, contract in contracts.items():
+        for c in contract.not_null:
+            found.entry(table, found.add(table, c, "not_null", _ROW), F.col(c).isNull(), none)
+        for c, n in contract.max_length:
+            found.entry(table, found.add(table, c, f"max_length_{n}", _ROW), F.char_length(c) > n, none)
+        for columns in contract.unique:
+            key = _key(columns)
+            found.entry(table, found.add(table, ",".join(columns), _UNIQUE, _UNIQUE), key.isNotNull(), key)
+        for column, parent, parent_column in contract.references:
+            if parent not in tables:
+                continue
+            rule = found.add(table, column, _REFERENCE, _REFERENCE)
+            found.entry(table, rule, F.col(column).isNotNull(), _key((column,)))
+            found.entry(parent, rule, F.col(parent_column).isNotNull(), _key((parent_column,)), parent=True)
+        for column, p, s in contract.fixed_point:
+            if table in (overflowed or {}):
+                rule = found.add(table, column, f"fixed_point_{p}_{s}", _ROW)
+                found.counted[rule] = overflowed[table].get(column, 0)
+            elif table in (raw or {}):
+                rule = found.add(table, column, f"fixed_point_{p}_{s}", _ROW)
+                sources[f"raw {table}"] = clean_columns(raw[table], [c for c, _, _ in contract.fixed_point])
+                found.entry(f"raw {table}", rule, overflows(column, p, s), none)
+    parts = [
+        sources[source].select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+        for source, entries in found.entries.items()
+    ]
+    listed = [(n, *rule, found.counted.get(n, 0)) for n, rule in enumerate(found.rules)]
+    report = spark.createDataFrame(listed, _REPORT)
+    if parts:
+        merged = parts[0]
+        for part in parts[1:]:
+            merged = merged.unionAll(part)
+        keys = merged.groupBy("rule_id", "key").agg(F.sum("rows").alias("rows"), F.max("parent").alias("parent"))
+        of = {kind: [n for n, k in enumerate(found.kinds) if k == kind] for kind in found.kinds}
+        broken = (
+            F.when(F.col("rule_id").isin(of.get(_UNIQUE, [])), (F.col("rows") > 1).cast("long"))
+            .when(F.col("rule_id").isin(of.get(_REFERENCE, [])) & F.col("parent"), 0)
+            .otherwise(F.col("rows"))
+        )
+        sums = keys.groupBy("rule_id").agg(F.sum(broken).alias("broken"))
+        report = report.join(sums, "rule_id", "left")
+    else:
+        report = report.withColumn("broken", F.lit(0))
+    return report.select(
+        "table_name", "column_name", "rule", (F.col("counted") + F.coalesce("broken", F.lit(0))).alias("violations")
     )
-    return _report(table, texts.agg(*counts))
 
 
 def contract_violations(
@@ -71,26 +124,10 @@ def contract_violations(
     raw: DataFrame | None = None,
     overflowed: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """``table_name, column_name, rule, violations``: one row per rule, 0 where it holds.
-
-    Reference rules need ``parents``. A value that does not fit its column is null
-    once typed, so fixed-point rules need ``raw``, the text rows behind ``df``, or
-    ``overflowed``, the numbers per column that were counted while they were typed.
-    """
-    conditions = {f"{c}|not_null": f"{c} is null" for c in contract.not_null}
-    conditions |= {f"{c}|max_length_{n}": f"char_length({c}) > {n}" for c, n in contract.max_length}
-    parts = [_row_rules(table, df, conditions)] if conditions else []
-    parts += [_unique_rule(table, df, key) for key in contract.unique]
-    if parents is not None:
-        parts += [
-            _reference_rule(table, df, column, parents[parent], parent_column)
-            for column, parent, parent_column in contract.references
-        ]
-    if overflowed is not None and contract.fixed_point:
-        counted = [
-            (table, c, f"fixed_point_{p}_{s}", overflowed.get(c, 0)) for c, p, s in contract.fixed_point
-        ]
-        parts.append(df.sparkSession.createDataFrame(counted, _REPORT))
-    elif raw is not None and contract.fixed_point:
-        parts.append(_overflow_rules(table, raw, contract.fixed_point))
-    return reduce(DataFrame.unionByName, parts)
+    """``table_violations`` of one table; reference rules need ``parents``."""
+    return table_violations(
+        {**(parents or {}), table: df},
+        {table: contract},
+        None if raw is None else {table: raw},
+        None if overflowed is None else {table: overflowed},
+    )

@@ -9,7 +9,6 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
-from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
@@ -21,13 +20,14 @@ from muster.operators.conform import (
     rejected_split,
     split_timesheets,
 )
-from muster.operators.contracts import contract_violations
+from muster.operators.contracts import table_violations
 from muster.operators.dimensions import departments, organizations
 from muster.operators.quality import quality_checks
 from muster.plans.gold import gold_table
-from muster.schemas import BRONZE_CONTRACTS, CONTRACTS, GOLD_CONTRACTS, GOLD_TABLES, TABLES
+from muster.schemas import BRONZE_CONTRACTS, CONTRACTS, GOLD_CONTRACTS, GOLD_TABLES
 from muster.sources import landing as files
 from muster.sources.export import export_gold, write_report
+from muster.session import scratch
 from muster.sources.tables import Warehouse, write_counted
 
 log = logging.getLogger(__name__)
@@ -65,13 +65,14 @@ def extract(warehouse: Warehouse, source_path: str, config: Config, **landing) -
     spark = warehouse.spark
     employees = files.split_employees(spark, source_path, config.run_at, **landing)
     shifts = files.split_timesheets(spark, source_path, config.run_at, **landing)
-    counts = {
-        "employees_extracted": warehouse.write("bronze", "raw_employee", employees.rows),
-        "timesheets_extracted": warehouse.write("bronze", "raw_timesheet", shifts.rows),
-        "lines_malformed": warehouse.write(
-            "bronze", "malformed_line", employees.malformed.unionByName(shifts.malformed)
-        ),
-    }
+    with warehouse.transaction() as inner:
+        counts = {
+            "employees_extracted": inner.write("bronze", "raw_employee", employees.rows),
+            "timesheets_extracted": inner.write("bronze", "raw_timesheet", shifts.rows),
+            "lines_malformed": inner.write(
+                "bronze", "malformed_line", employees.malformed.unionByName(shifts.malformed)
+            ),
+        }
     if counts["lines_malformed"]:
         found = f"{counts['lines_malformed']} malformed lines, kept in bronze.malformed_line"
         if config.fail_on_malformed:
@@ -80,35 +81,32 @@ def extract(warehouse: Warehouse, source_path: str, config: Config, **landing) -
     return counts
 
 
-def transform(
-    warehouse: Warehouse, config: Config, target: Warehouse | None = None
-) -> tuple[dict[str, int], dict[str, dict[str, int]]]:
-    """Build the silver tables and the dead letters from bronze, in ``target``.
+def transform(warehouse: Warehouse, config: Config) -> tuple[dict[str, int], dict[str, dict[str, int]]]:
+    """Build the silver tables and the dead letters from bronze.
 
     The shifts meet the employees once; the split is stored, and both of its sides
     are read from there. Returns the row counts, and per table the numbers that
     were too large for their columns.
     """
-    target = target or warehouse
     raw_employee = warehouse.read("bronze", "raw_employee")
-    target.write("silver", "organization", organizations(raw_employee, config.key_salt))
-    target.write("silver", "department", departments(raw_employee, config.key_salt))
+    warehouse.write("silver", "organization", organizations(raw_employee, config.key_salt))
+    warehouse.write("silver", "department", departments(raw_employee, config.key_salt))
     losses = {"employee": Observation(), "timesheet": Observation()}
-    employees = target.write(
+    employees = warehouse.write(
         "silver",
         "employee",
         conform_employees(raw_employee, config.run_at, losses["employee"], config.key_salt),
     )
-    employee = target.read("silver", "employee")
+    employee = warehouse.read("silver", "employee")
     ids = _kept(warehouse, "employee_id", employee.select("client_employee_id").distinct())
     raw_timesheet = warehouse.read("bronze", "raw_timesheet")
     split = _kept(warehouse, "split_timesheet", split_timesheets(raw_timesheet, ids))
-    timesheets = target.write(
+    timesheets = warehouse.write(
         "silver",
         "timesheet",
         conform_split(split, config.run_at, config.grace_minutes, losses["timesheet"]),
     )
-    rejected = target.write("bronze", "rejected_timesheet", rejected_split(split, config.run_at))
+    rejected = warehouse.write("bronze", "rejected_timesheet", rejected_split(split, config.run_at))
     overflowed = {}
     for table, written in (("employee", employees), ("timesheet", timesheets)):
         # Without rows the engine may drop the observed step, and nothing was lost.
@@ -148,25 +146,16 @@ def silver_violations(
     ``overflowed`` comes from ``transform``. The split has just joined the shifts to
     their employees, so that reference is not checked again.
     """
+    contracts = CONTRACTS | {"timesheet": replace(CONTRACTS["timesheet"], references=())} | BRONZE_CONTRACTS
     tables = {table: warehouse.read("silver", table) for table in CONTRACTS}
-    parts = []
-    for table, contract in CONTRACTS.items():
-        if table == "timesheet":
-            contract = replace(contract, references=())
-        counted = (overflowed or {}).get(table, {})
-        parts.append(contract_violations(table, tables[table], contract, tables, overflowed=counted))
-    for table, contract in BRONZE_CONTRACTS.items():
-        parts.append(contract_violations(table, warehouse.read("bronze", table), contract))
-    return reduce(DataFrame.unionByName, parts)
+    tables |= {table: warehouse.read("bronze", table) for table in BRONZE_CONTRACTS}
+    counted = {table: (overflowed or {}).get(table, {}) for table in CONTRACTS}
+    return table_violations(tables, contracts, overflowed=counted)
 
 
 def gold_violations(warehouse: Warehouse) -> DataFrame:
     """Contract rows of all gold tables."""
-    parts = (
-        contract_violations(table, warehouse.read("gold", table), contract)
-        for table, contract in GOLD_CONTRACTS.items()
-    )
-    return reduce(DataFrame.unionByName, parts)
+    return table_violations({table: warehouse.read("gold", table) for table in GOLD_CONTRACTS}, GOLD_CONTRACTS)
 
 
 def enforce(violations: DataFrame) -> None:
@@ -196,14 +185,11 @@ def quality(warehouse: Warehouse, config: Config) -> list[dict]:
     return [r.asDict() for r in rows]
 
 
-def postprocess(
-    warehouse: Warehouse, config: Config, target: Warehouse | None = None
-) -> dict[str, int]:
-    """Write the gold tables, in ``target``."""
+def postprocess(warehouse: Warehouse, config: Config) -> dict[str, int]:
+    """Write the gold tables."""
     silver = [warehouse.read("silver", table) for table in ("employee", "department", "timesheet")]
     return {
-        table: (target or warehouse).write("gold", table, gold_table(table, *silver, config))
-        for table in GOLD_TABLES
+        table: warehouse.write("gold", table, gold_table(table, *silver, config)) for table in GOLD_TABLES
     }
 
 
@@ -218,25 +204,23 @@ def refresh(
 ) -> Summary:
     """Run all stages in order; ``landing`` holds options of ``land_split``.
 
-    Silver and gold tables are built beside the stored ones and checked there; only
-    tables that keep their contract take the place of the old ones.
+    Bronze tables are published when the files are landed. Silver and gold tables are published
+    together at the end, if they keep their contracts; until then readers see the old ones. Folders that
+    the last two snapshots do not have are deleted, and the run's scratch tables go.
     """
     config = config or Config()
     warehouse = Warehouse(spark, warehouse_path)
-    extracted = extract(warehouse, source_path, config, **landing)
-    staged = warehouse.staged()
-    transformed, overflowed = transform(warehouse, config, staged)
-    if config.fail_on_contract:
-        enforce(silver_violations(staged, overflowed))
-    for layer, table in TABLES:
-        if layer == "silver" or (layer, table) == ("bronze", "rejected_timesheet"):
-            warehouse.promote(layer, table)
-    checks = quality(warehouse, config)
-    loaded = postprocess(warehouse, config, staged)
-    if config.fail_on_contract:
-        enforce(gold_violations(staged))
-    for table in GOLD_TABLES:
-        warehouse.promote("gold", table)
+    with scratch(spark):
+        extracted = extract(warehouse, source_path, config, **landing)
+        with warehouse.transaction() as run:
+            transformed, overflowed = transform(run, config)
+            if config.fail_on_contract:
+                enforce(silver_violations(run, overflowed))
+            checks = quality(run, config)
+            loaded = postprocess(run, config)
+            if config.fail_on_contract:
+                enforce(gold_violations(run))
+    warehouse.expire()
     exported = None
     if export_path is None:
         log.warning("no export path given, export skipped")

@@ -58,6 +58,10 @@ TABLES: dict[tuple[str, str], T.StructType] = {
         operation="string", change_seq="long", id="long", client_employee_id="string",
         reason="string", refused_at="ts",
     ),
+    ("bronze", "change_batch"): _table(
+        batch_id="string", operation="string", version="long", changed="long", refused="long",
+        stored_at="ts",
+    ),
     ("bronze", "malformed_line"): _table(
         source_file="string", text="string", reason="string", loaded_at="ts",
     ),
@@ -113,6 +117,11 @@ TABLES: dict[tuple[str, str], T.StructType] = {
     ),
 }
 
+# Versions of single employees that batches of changes have made since the table was written.
+TABLES["silver", "employee_change"] = T.StructType(
+    [T.StructField("version", T.LongType()), *TABLES["silver", "employee"].fields]
+)
+
 GOLD_TABLES = tuple(table for layer, table in TABLES if layer == "gold")
 
 
@@ -164,6 +173,7 @@ CONTRACTS: dict[str, Contract] = {
     ),
     "timesheet": Contract(
         not_null=("id", "client_employee_id", "punch_apply_date"),
+        unique=(("id",),),
         references=(("client_employee_id", "employee", "client_employee_id"),),
         max_length=(
             ("client_employee_id", 50), ("department_id", 50), ("department_name", 255),

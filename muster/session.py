@@ -7,6 +7,8 @@ import functools
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -96,9 +98,20 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return _MADE[-1]
 
 
-def remove_scratch(spark: SparkSession) -> None:
-    """Delete the shared folders of this process; results that read them must be stored before."""
+def remove_scratch(spark: SparkSession, first: int = 0) -> None:
+    """Delete the shared folders of this process, from the ``first`` on; results that read them must be
+    stored before."""
     conf = spark._jsparkSession.sessionState().newHadoopConf()
-    while _MADE:
+    while len(_MADE) > first:
         path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
         path.getFileSystem(conf).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Shared folders that are made inside go at its end, also if it fails."""
+    first = len(_MADE)
+    try:
+        yield
+    finally:
+        remove_scratch(spark, first)

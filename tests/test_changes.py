@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from muster.config import Config
 from muster.operators import changes, reads
-from muster.plans.changes import store_changes
+from muster.plans.changes import compact_employees, store_changes
 from muster.plans.refresh import ContractError
 from muster.schemas import TABLES
 from muster.sources.tables import Warehouse
@@ -212,22 +212,35 @@ def test_inserts_that_do_not_fit_are_refused(spark, staff):
 
 
 def test_stored_changes(spark, staff, tmp_path):
-    """Each batch replaces the stored table, refused rows add up, and a broken contract changes nothing."""
+    """Each batch is logged once, refused rows add up, and a broken contract changes nothing."""
     warehouse = Warehouse(spark, str(tmp_path / "wh"))
     config = Config(as_of=AS_OF, run_at=NOW)
     warehouse.write("silver", "employee", staff.withColumn("department_id", F.lit(None).cast("long")))
     new = spark.createDataFrame(
         [(1, "D", "2024-01-01"), (2, "A", None)], "change_seq long, client_employee_id string, hire_date string"
     )
-    assert store_changes(warehouse, "insert", new, config) == {"employees": 4, "refused": 1}
+    assert store_changes(warehouse, "insert", new, config) == {"changed": 2, "refused": 1}
     patch = spark.createDataFrame(
         [(1, 1, ["city", "zip"], "Q", 9), (2, 44, ["city"], "Q", 9)],
         "change_seq long, id long, set_fields array<string>, city string, zip int",
     )
-    assert store_changes(warehouse, "update", patch, config) == {"employees": 4, "refused": 1}
+    assert store_changes(warehouse, "update", patch, config) == {"changed": 1, "refused": 1}
     gone = spark.createDataFrame([(1, 3), (2, None)], "change_seq long, id long")
-    assert store_changes(warehouse, "terminate", gone, config) == {"employees": 4, "refused": 1}
+    assert store_changes(warehouse, "terminate", gone, config) == {"changed": 1, "refused": 1}
+    before = warehouse.tables()
+    for operation, batch in (("insert", new), ("update", patch.orderBy(F.desc("id"))), ("terminate", gone)):
+        assert store_changes(warehouse, operation, batch, config) == {"changed": 0, "refused": 0}
+    assert warehouse.tables() == before
+    assert rows(warehouse.read("bronze", "change_batch"), "operation", "version", "changed", "refused") == [
+        ("insert", 1, 2, 1), ("terminate", 3, 1, 1), ("update", 2, 1, 1),
+    ]
+    logged = warehouse.read("silver", "employee")
+    expected = repr(rows(logged))
+    assert warehouse.read("silver", "employee_change").count() == 4
+    assert compact_employees(warehouse) == 4
+    assert warehouse.read("silver", "employee_change").isEmpty()
     stored = warehouse.read("silver", "employee")
+    assert repr(rows(stored)) == expected
     assert rows(stored, "client_employee_id", "city", "zip", "active_status", "term_date") == [
         ("A", "Q", "9", True, None), ("B", "Y", None, False, None), ("C", None, None, False, AS_OF),
         ("D", None, None, True, None),
@@ -238,6 +251,18 @@ def test_stored_changes(spark, staff, tmp_path):
         ("update", 2, 44, None, "EMPLOYEE_NOT_FOUND"),
     ]
     warehouse.write("silver", "employee", staff)
+    before = warehouse.tables()
     with pytest.raises(ContractError, match="department_id: reference"):
-        store_changes(warehouse, "terminate", gone, config)
-    assert warehouse.read("silver", "employee").filter("id = 3").first().active_status
+        store_changes(warehouse, "terminate", spark.createDataFrame([(1, 1)], "change_seq long, id long"), config)
+    assert warehouse.tables() == before
+    assert warehouse.read("silver", "employee").filter("id = 1").first().active_status
+
+
+def test_last_version_counts(spark, staff, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    config = Config(as_of=AS_OF, run_at=NOW, fail_on_contract=False)
+    warehouse.write("silver", "employee", staff)
+    for n in range(9, 12):
+        patch = spark.createDataFrame([(1, 1 + n % 2, ["city"], f"C{n}")], "change_seq long, id long, set_fields array<string>, city string")
+        store_changes(warehouse, "update", patch, config)
+    assert rows(warehouse.read("silver", "employee"), "id", "city") == [(1, "C10"), (2, "C11"), (3, None)]

@@ -359,7 +359,7 @@ def _contracts() -> str:
         "id:not_null client_employee_id:not_null punch_apply_date:not_null "
         "client_employee_id:max_length_50 department_id:max_length_50 department_name:max_length_255 "
         "home_department_id:max_length_50 home_department_name:max_length_255 pay_code:max_length_100 "
-        "punch_in_comment:max_length_100 punch_out_comment:max_length_100",
+        "punch_in_comment:max_length_100 punch_out_comment:max_length_100 id:unique",
     )
     rows += [
         _dangling("department", "organization_id", "organization"),
@@ -609,7 +609,7 @@ select client_employee_id, cast(zip_seq as varchar) as zip,
 from employee e left join lasts l on l.id = e.id left join judged j on j.change_seq = weekly_seq"""
     sql["malformed_lines"] = """with kinds as (
   select o_orderkey, case o_orderkey % 7 when 0 then 'TOO_MANY_FIELDS' when 1 then 'BROKEN_QUOTE'
-    when 2 then 'SHORT' else 'WHOLE' end as kind from orders)
+    when 2 then 'SHORT' when 3 then 'BREAKS' when 4 then 'ANY_CHARACTER' else 'WHOLE' end as kind from orders)
 select kind, count(*) as lines, cast(sum(o_orderkey) as bigint) as checksum from kinds group by kind"""
     known = "select n_nationkey from nation where n_regionkey < 3"
     sql["contract_breaches"] = " union all ".join(

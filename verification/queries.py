@@ -369,11 +369,7 @@ def contract_violations(v: Views) -> DataFrame:
         "timesheet": v.timesheet,
     }
     raw = {"employee": v.raw_employee, "timesheet": v.raw_timesheet}
-    parts = (
-        contracts.contract_violations(name, df, CONTRACTS[name], tables, raw.get(name))
-        for name, df in tables.items()
-    )
-    return reduce(DataFrame.unionByName, parts)
+    return contracts.table_violations(tables, CONTRACTS, raw)
 
 
 @_query
@@ -574,7 +570,8 @@ def stored_employee_changes(v: Views) -> DataFrame:
     warehouse = Warehouse(v.spark, shared_folder(v.spark, "changes"))
     warehouse.write("silver", "employee", v.employee)
     warehouse.write("silver", "department", v.department)
-    store_changes(warehouse, "update", _checked_updates(v), CONFIG)
+    for _ in range(2):  # The same batch again changes nothing.
+        store_changes(warehouse, "update", _checked_updates(v), CONFIG)
     return warehouse.read("silver", "employee").select(
         "client_employee_id",
         "zip",
@@ -595,16 +592,22 @@ def malformed_lines(v: Views) -> DataFrame:
         F.when(key % 7 == 0, F.concat(key, F.lit("|A|8|more")))
         .when(key % 7 == 1, F.concat(key, F.lit('|A|"open')))
         .when(key % 7 == 2, F.concat(key, F.lit("|A")))
+        .when(key % 7 == 3, F.concat(key, F.lit('|"two\n\nbreaks|'), key, F.lit('\n|""in it"|8')))
+        .when(key % 7 == 4, F.concat(key, F.lit("|any\uffff\x01|8")))
         .otherwise(F.concat(key, F.lit('|"a|b"|8')))
     )
     path = shared_folder(v.spark, "malformed-files")
     header = "client_employee_id|pay_code|hours_worked"
-    lines = v.table("orders").select(line.alias(header))
-    lines.write.options(sep="\uffff", quote="", header=True).csv(path)
+    lines = v.table("orders").select(F.explode(F.split(line, "\n")).alias(header))
+    lines.write.options(sep="\x02", quote="", header=True).csv(path)
     landed = landing.split_timesheets(v.spark, path, RUN_AT, pattern="part")
     first = F.split_part("text", F.lit("|"), F.lit(1))
     kinds = landed.rows.select(
-        F.when(F.col("hours_worked").isNull(), "SHORT").otherwise("WHOLE").alias("kind"),
+        F.when(F.col("hours_worked").isNull(), "SHORT")
+        .when(F.col("pay_code") == F.concat(F.lit("two\n\nbreaks|"), "client_employee_id", F.lit('\n|"in it')), "BREAKS")
+        .when(F.col("pay_code") == "any\uffff\x01", "ANY_CHARACTER")
+        .when(F.col("pay_code") == "a|b", "WHOLE")
+        .alias("kind"),
         F.col("client_employee_id").alias("number"),
     ).unionByName(landed.malformed.select(F.col("reason").alias("kind"), first.alias("number")))
     return kinds.groupBy("kind").agg(
