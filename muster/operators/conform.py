@@ -161,15 +161,6 @@ def split_timesheets(raw_timesheet: DataFrame, ids: DataFrame) -> DataFrame:
     )
 
 
-def accepted_timesheets(raw_timesheet: DataFrame, employee: DataFrame) -> DataFrame:
-    """Cleaned text rows whose employee exists; only the id is cleaned before the split."""
-    columns = (*TIMESHEET_FILE_COLUMNS, "source_file")
-    known = _with_clean_id(raw_timesheet, columns).join(
-        _employee_ids(employee), "client_employee_id", "left_semi"
-    )
-    return clean_columns(known, columns[1:])
-
-
 def conform_timesheets(
     raw_timesheet: DataFrame,
     employee: DataFrame,
@@ -177,17 +168,21 @@ def conform_timesheets(
     grace_minutes: int = 5,
     losses: Observation | None = None,
 ) -> DataFrame:
-    """Typed, flagged shifts of known employees; rows are parsed after the split."""
-    return _typed_timesheets(accepted_timesheets(raw_timesheet, employee), now, grace_minutes, losses)
+    """Typed, flagged shifts of known employees; ``employee`` has each id once."""
+    return conform_split(split_timesheets(raw_timesheet, _employee_ids(employee)), now, grace_minutes, losses)
+
+
+def accepted_split(split: DataFrame) -> DataFrame:
+    """The known shifts of ``split_timesheets`` as cleaned text; rows are cleaned after the split."""
+    known = split.filter("known").drop("known")
+    return clean_columns(known, (*TIMESHEET_FILE_COLUMNS[1:], "source_file"))
 
 
 def conform_split(
     split: DataFrame, now: dt.datetime, grace_minutes: int = 5, losses: Observation | None = None
 ) -> DataFrame:
     """The known shifts of ``split_timesheets``, typed and flagged."""
-    known = split.filter("known").drop("known")
-    accepted = clean_columns(known, (*TIMESHEET_FILE_COLUMNS[1:], "source_file"))
-    return _typed_timesheets(accepted, now, grace_minutes, losses)
+    return _typed_timesheets(accepted_split(split), now, grace_minutes, losses)
 
 
 def _typed_timesheets(
@@ -205,18 +200,9 @@ def _typed_timesheets(
     )
 
 
-def rejected_timesheets(
-    raw_timesheet: DataFrame, employee: DataFrame, now: dt.datetime
-) -> DataFrame:
-    """Dead letters: rows whose employee id is missing or unknown."""
-    kept = ("client_employee_id", "punch_apply_date", "hours_worked", "source_file")
-    ids = _employee_ids(employee).withColumnRenamed("client_employee_id", "_known")
-    unknown = (
-        _with_clean_id(raw_timesheet, kept)
-        .withColumn("_key", spread_nulls(F.col("client_employee_id"), F.col("id")))
-        .join(ids, F.col("_key") == F.col("_known"), "left_anti")
-    )
-    return _dead_letters(unknown, now)
+def rejected_timesheets(raw_timesheet: DataFrame, employee: DataFrame, now: dt.datetime) -> DataFrame:
+    """Dead letters: rows whose employee id is missing or unknown; ``employee`` has each id once."""
+    return rejected_split(split_timesheets(raw_timesheet, _employee_ids(employee)), now)
 
 
 def rejected_split(split: DataFrame, now: dt.datetime) -> DataFrame:

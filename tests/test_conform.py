@@ -155,7 +155,7 @@ def test_dead_letters(raw_timesheet, raw_employee):
         (4, None, "8", "MISSING_EMPLOYEE_RECORD"),
         (5, None, "8", "MISSING_EMPLOYEE_RECORD"),
     ]
-    accepted = conform.accepted_timesheets(raw_timesheet, staff)
+    accepted = conform.conform_timesheets(raw_timesheet, staff, NOW)
     assert accepted.count() + df.count() == raw_timesheet.count()
 
 
@@ -181,7 +181,7 @@ def test_contracts(table, raw_timesheet, raw_employee):
         "employee": {},
         "timesheet": {("punch_apply_date", "not_null"): 1},
     }
-    raw = {"employee": raw_employee, "timesheet": conform.accepted_timesheets(raw_timesheet, staff)}
+    raw = {"employee": raw_employee, "timesheet": conform.accepted_split(conform.split_timesheets(raw_timesheet, staff.select("client_employee_id")))}
     for name, column in (("employee", "scheduled_weekly_hour"), ("timesheet", "hours_worked")):
         rules = broken(contract_violations(name, tables[name], CONTRACTS[name], tables, raw[name]))
         assert [v for (c, rule), v in rules.items() if c == column and rule.startswith("fixed")] == [1]

@@ -94,7 +94,7 @@ def test_hot_employee_is_split_in_the_join(spark, settings, shifts, staff):
     observed = Observation()
     ids = staff.select("client_employee_id")
     for accepted in (
-        conform.accepted_timesheets(raw, staff),
+        conform.accepted_split(conform.split_timesheets(raw, ids)),
         conform.split_timesheets(raw, ids),
         conform.conform_timesheets(raw, staff, NOW, 5, observed),
     ):
@@ -114,7 +114,7 @@ def test_missing_ids_are_spread(spark, settings, shifts, staff):
     raw = shifts(None)("bronze", "raw_timesheet")
     rejected = conform.rejected_timesheets(raw, staff, NOW)
     assert shares(rejected) < 0.15
-    assert rejected.count() + conform.accepted_timesheets(raw, staff).count() == raw.count()
+    assert rejected.count() + conform.conform_timesheets(raw, staff, NOW).count() == raw.count()
 
 
 def test_hot_employee_reaches_the_window_as_one_row_per_day(spark, settings, shifts, staff):

@@ -656,7 +656,20 @@ spans as (select min(hire_date) as lo, date '2002-01-01' as hi from hired)"""
           from known where accepted and hours is not null""",
         "gold.kpi_early_attrition": "select count(distinct coalesce(department_name, '?')) from hired",
     }
+    counts |= {"bronze.malformed_line": "0"}
+    counts |= {t.replace("gold.", "export."): count for t, count in counts.items() if t.startswith("gold.")}
+    hours = "select sum(cast(round(hours * 100) as bigint)) from known where accepted and hours is not null"
+    late = _flags("planned_start", "planned_end", "punch_in", "punch_out")
+    attendance = f"""select count(*) * 1000 + count(*) filter (where is_late_arrival)
+      from (select {late} from known where accepted)"""
+    sums = {
+        "silver.employee": "select sum(date_diff('day', date '1970-01-01', cast(hire_date as date))) from silver_employee",
+        "silver.timesheet": hours,
+        "gold.kpi_attendance": attendance, "export.kpi_attendance": attendance,
+        "gold.kpi_rolling_hours": hours, "export.kpi_rolling_hours": hours,
+    }
     return f"{sized} " + " union all ".join(
-        f"select '{table}' as table_name, cast(({count}) as bigint) as rows"
+        f"""select '{table}' as table_name, cast(({count}) as bigint) as rows,
+  cast(({sums.get(table, 'null')}) as bigint) as checksum"""
         for table, count in counts.items()
     )

@@ -27,7 +27,7 @@ from muster.functions.text import (
 from muster.operators import changes, conform, contracts, dimensions, quality, reads
 from muster.plans import feeds, gold, kpi, refresh
 from muster.plans.changes import store_changes
-from muster.schemas import CONTRACTS, GOLD_TABLES
+from muster.schemas import CONTRACTS, GOLD_TABLES, TABLES
 from muster.session import shared_folder
 from muster.sources import export, landing
 from muster.sources.tables import Warehouse
@@ -592,19 +592,20 @@ def malformed_lines(v: Views) -> DataFrame:
         F.when(key % 7 == 0, F.concat(key, F.lit("|A|8|more")))
         .when(key % 7 == 1, F.concat(key, F.lit('|A|"open')))
         .when(key % 7 == 2, F.concat(key, F.lit("|A")))
-        .when(key % 7 == 3, F.concat(key, F.lit('|"two\n\nbreaks|'), key, F.lit('\n|""in it"|8')))
+        .when(key % 7 == 3, F.concat(key, F.lit('|"two\n \nbreaks|'), key, F.lit('\n|""in it"|8')))
         .when(key % 7 == 4, F.concat(key, F.lit("|any\uffff\x01|8")))
         .otherwise(F.concat(key, F.lit('|"a|b"|8')))
     )
     path = shared_folder(v.spark, "malformed-files")
     header = "client_employee_id|pay_code|hours_worked"
     lines = v.table("orders").select(F.explode(F.split(line, "\n")).alias(header))
-    lines.write.options(sep="\x02", quote="", header=True).csv(path)
+    whole = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines.write.options(sep="\x02", quote="", header=True, **whole).csv(path)
     landed = landing.split_timesheets(v.spark, path, RUN_AT, pattern="part")
     first = F.split_part("text", F.lit("|"), F.lit(1))
     kinds = landed.rows.select(
         F.when(F.col("hours_worked").isNull(), "SHORT")
-        .when(F.col("pay_code") == F.concat(F.lit("two\n\nbreaks|"), "client_employee_id", F.lit('\n|"in it')), "BREAKS")
+        .when(F.col("pay_code") == F.concat(F.lit("two\n \nbreaks|"), "client_employee_id", F.lit('\n|"in it')), "BREAKS")
         .when(F.col("pay_code") == "any\uffff\x01", "ANY_CHARACTER")
         .when(F.col("pay_code") == "a|b", "WHOLE")
         .alias("kind"),
@@ -677,28 +678,29 @@ def warehouse_roundtrip(v: Views) -> DataFrame:
 
 @_query
 def refresh_row_counts(v: Views) -> DataFrame:
-    """All stages from files to gold; rows of every stored table."""
-    source = shared_folder(v.spark, "refresh-files")
-    v.write_employee_file(f"{source}/employee")
-    v.write_timesheet_files(f"{source}/timesheet")
-    warehouse = Warehouse(v.spark, shared_folder(v.spark, "refresh"))
-    employees = landing.land_employees(v.spark, f"{source}/employee", RUN_AT, pattern="part")
-    shifts = landing.land_timesheets(
-        v.spark, f"{source}/timesheet", RUN_AT, pattern="part", recursive=True
-    )
-    warehouse.write("bronze", "raw_employee", employees)
-    warehouse.write("bronze", "raw_timesheet", shifts)
-    refresh.transform(warehouse, CONFIG)
-    refresh.postprocess(warehouse, CONFIG)
-    tables = [
-        ("bronze", "raw_employee"), ("bronze", "raw_timesheet"), ("bronze", "rejected_timesheet"),
-        ("silver", "organization"), ("silver", "department"), ("silver", "employee"),
-        ("silver", "timesheet"), *(("gold", table) for table in GOLD_TABLES),
-    ]
+    """The job from files to the export: rows of every table it stores, and what some of them sum up to."""
+    source, target = shared_folder(v.spark, "refresh-files"), shared_folder(v.spark, "refresh-export")
+    root = shared_folder(v.spark, "refresh")
+    v.write_source_files(source)
+    refresh.refresh(v.spark, source, root, CONFIG, export_path=target)
+    warehouse = Warehouse(v.spark, root)
+    sums = {
+        "silver.employee": F.sum(F.date_diff("hire_date", F.lit("1970-01-01"))),
+        "silver.timesheet": F.sum(F.col("hours_worked") * 100),
+        "gold.kpi_attendance": F.sum(F.col("total_shifts") * 1000 + F.col("late_arrival_count")),
+        "gold.kpi_rolling_hours": F.sum(F.col("hours_worked") * 100),
+    }
+    stored = {
+        f"{layer}.{table}": warehouse.read(layer, table)
+        for layer, table in TABLES
+        if table not in ("refused_change", "change_batch", "employee_change")
+    }
+    exported = {f"export.{t}": v.spark.read.parquet(f"{target}/warehouse/{t}.parquet") for t in GOLD_TABLES}
     parts = (
-        warehouse.read(layer, table).agg(
-            F.lit(f"{layer}.{table}").alias("table_name"), F.count(F.lit(1)).alias("rows")
+        df.agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"),
+            sums.get(name.replace("export.", "gold."), F.lit(None)).cast("long").alias("checksum"),
         )
-        for layer, table in tables
-    )
+        for name, df in {**stored, **exported}.items()
+    )
     return reduce(DataFrame.unionByName, parts)

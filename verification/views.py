@@ -274,6 +274,18 @@ class Views:
             rows.filter(~planned).select(*reversed(TIMESHEET_FILE_COLUMNS)), f"{path}/unplanned"
         )
 
+    def write_source_files(self, path: str) -> None:
+        """All files in one folder, named as a refresh looks for them."""
+        self.write_employee_file(f"{path}/parts/employee")
+        self.write_timesheet_files(f"{path}/parts/timesheet")
+        jvm = self.spark._jvm
+        name = jvm.org.apache.hadoop.fs.Path
+        files = name(path).getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        for kind, parts in (("employee", "employee"), ("timesheet", "timesheet/planned"), ("timesheet", "timesheet/unplanned")):
+            for found in files.globStatus(name(f"{path}/parts/{parts}/part*.csv")):
+                part = found.getPath()
+                files.rename(part, name(f"{path}/{kind}_{parts.split('/')[-1]}_{part.getName()}"))
+
     @staticmethod
     def _write_csv(df: DataFrame, path: str) -> None:
         df.write.options(
