@@ -170,7 +170,7 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     that a third of all texts hold meets in no task that cannot be split. Windows are told apart by
     their anchor and their own hash (for a path its digest), made of separate halves of the words' digests.
     """
-    walked = _occurrences(rows, window, anchor)
+    walked = stored(_occurrences(rows, window, anchor), "path-occurrences")
     repeated = (
         walked.groupBy("anchor")
         .agg(

@@ -79,9 +79,8 @@ class Words:
     """Words of a batch of texts: digests, and the index of the first word of each text."""
 
     def __init__(self, texts: pa.Array, lower: bool):
-        lists = [
-            (t.encode().lower() if lower else t.encode()).split() if t else [] for t in texts.to_pylist()
-        ]
+        values = texts.cast(pa.large_binary()).to_pylist()
+        lists = [(t.lower() if lower else t).split() if t else [] for t in values]
         self.hash, self.other = worker_held("word digests", Digests).of(lists)
         self.first = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)]).astype(np.int64)
         self._grams: dict[int, tuple[np.ndarray, np.ndarray]] = {}
