@@ -21,6 +21,8 @@ SHIFT_BLOCK = 1 << 18
 # Shingles and sets in a block that is compared with another block in one step, and shingles of them at once.
 BLOCK_SHINGLES, BLOCK_ROWS = 100_000, 2000
 COLUMNS = 4096
+# Where the keys begin that the stage gives to rows whose id does not tell them apart.
+OWN = 1 << 62
 
 
 def _permute(x: np.ndarray, first: int, second: int) -> np.ndarray:
@@ -353,7 +355,25 @@ def op4_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pipeline stage: one document of each group, the one with the smallest id, unchanged."""
-    gone = near_duplicates(docs).filter("not kept").select(F.col("doc").alias("_gone")).distinct()
-    rows = docs.select(F.struct("*").alias("document"), F.col("doc_id").alias("_key"))
-    return rows.join(gone, F.col("_key") == F.col("_gone"), "left_anti").select("document.*")
+    """Pipeline stage: one document of each group, the one with the smallest id, unchanged.
+
+    Rows without id, and rows that share one, are told apart by a digest of id and text, and come after
+    all other ids: of rows equal in both one stays, and rows of one id with different texts are documents of
+    their own. Null, empty or blank texts are linked with nothing. Very long texts are compared
+    whole. Empty table: no rows. Extra columns stay as they are, whatever their names.
+    """
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null")
+    shared = stored(ids.select(F.col("doc_id").alias("_shared")), "minhash-shared-ids")
+    rows = docs.select(F.struct("*").alias("document"), "doc_id", "text")
+    unsure = F.col("doc_id").isNull()
+    if not shared.isEmpty():
+        rows = rows.join(shared, F.col("doc_id") == F.col("_shared"), "left")
+        unsure = unsure | F.col("_shared").isNotNull()
+    own = F.lit(OWN) + F.shiftrightunsigned(F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), 2)
+    rows = rows.select("document", "text", F.when(unsure, own).otherwise(F.col("doc_id").cast("long")).alias("_row"))
+    gone = near_duplicates(rows, key="_row").filter("not kept").select(F.col("doc").alias("_row")).distinct()
+    left = rows.join(gone, "_row", "left_anti").select("_row", "document")
+    if not (shared.isEmpty() and docs.filter("doc_id is null").isEmpty()):
+        own = F.col("_row") >= OWN
+        left = left.filter(~own).unionAll(left.filter(own).dropDuplicates(["_row"]))
+    return left.select("document.*")

@@ -184,5 +184,12 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pipeline stage: the documents that are kept, unchanged."""
-    return with_quality(docs).filter("kept").select("document.*")
+    """Pipeline stage: the documents that are kept, unchanged.
+
+    Documents and their statistics are stored, so that these are computed once for the fit and the verdict.
+    Null, empty and short texts fail the base rules and go. Repeated rows are judged alike; very long texts
+    are judged whole. Empty table: no rows. Extra columns stay as they are, whatever their names.
+    """
+    rows = docs.select(F.struct("*").alias("document"), F.col("text").alias("_text"))
+    judged = with_statistics(rows, "_text").drop("_text").withColumn("votes", votes())
+    return _verdicts(stored(judged, "quality-documents")).filter("kept").select("document.*")

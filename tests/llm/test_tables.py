@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from muster.llm import chat, decontamination, queries, url_filter
+from muster.llm import chat, decontamination, minhash_dedup, queries, url_filter
 from verification.compare import connect, rows_of_spark, rows_of_sql
 
 
@@ -235,3 +235,14 @@ def test_stages_on_edge_cases(spark, documents, edges, folder):
             assert out.count() <= part.count()
             if name != corpus_pipeline.STAGES[-1][0]:
                 assert out.columns == docs.columns
+
+
+def test_one_row_of_a_group_stays_whatever_its_id(spark, documents, folder):
+    """Repeated rows, rows without id and rows of one id with different texts."""
+    one, two, three = (" ".join(f"{c}{j}" for j in range(50)) for c in "abc")
+    given = [(1, one), (1, one), (None, one), (None, one), (None, one + " more"), (2, two), (2, three), (None, two), (None, None)]
+    out = minhash_dedup.stage(spark, documents(given), folder).collect()
+    assert sorted(r.text or "" for r in out if r.text != one + " more") in (["", one, two, three], ["", two, three])
+    assert len(out) == 4
+    out = minhash_dedup.stage(spark, documents([(7, one), (5, one), (None, one), (6, two)]), folder).collect()
+    assert sorted(r.doc_id for r in out) == [5, 6]
