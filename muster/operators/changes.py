@@ -91,9 +91,12 @@ def apply_employee_inserts(
     now: dt.datetime,
     parents: Mapping[str, DataFrame] | None = None,
     salt: int = 0,
+    ids: DataFrame | None = None,
 ) -> Applied:
     """Add employees whose id is new; of several valid rows with one id the first counts.
 
+    ``ids`` has (id, client_employee_id) of all; without it ids are hashes.
+
     ``hire_date`` must be a column of the batch, though its values may be null.
     ``active_status`` defaults to true. Other absent columns become null. Values are
     cast to the declared types; a row whose values do not fit is refused, not the batch.
@@ -118,13 +121,14 @@ def apply_employee_inserts(
         .join(employee.select(key), key, "left_anti")
     )
     values = {
-        "id": surrogate_key(F.col(key), salt=salt),
+        "id": surrogate_key(F.col(key), salt=salt) if ids is None else F.col("_id"),
         key: F.col(key),
         "active_status": F.col("row.active_status") if "active_status" in fields else F.lit(True),
         "created_at": timestamp(now),
         "updated_at": timestamp(now),
     } | {c: F.col(f"row.{c}") for c in fields if c not in (key, "active_status")}
-    added = firsts.select(
+    new = firsts if ids is None else firsts.join(ids.select(key, F.col("id").alias("_id")), key)
+    added = new.select(
         *(values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in _SCHEMA.fields)
     )
     invalid = typed.filter("reason is not null").select("change_seq", key, "reason")

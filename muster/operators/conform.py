@@ -18,6 +18,7 @@ from muster.functions.text import (
     parse_decimal,
     parse_double,
 )
+from muster.operators.numbering import Keys
 from muster.operators.dimensions import (
     department_key,
     organization_key,
@@ -80,9 +81,12 @@ def conform_employees(
     now: dt.datetime,
     losses: Observation | None = None,
     salt: int = 0,
+    keys: Keys | None = None,
 ) -> DataFrame:
     """Typed employees with dimension keys and resolved managers.
 
+    Ids are looked up in ``keys``; without it they are hashes.
+
     Managers are resolved on the cleaned text, so the two small branches of that
     join read the id columns only and nothing is parsed or counted twice.
     """
@@ -98,20 +102,40 @@ def conform_employees(
     }
     typed = _parse(cleaned, parsers, losses, CONTRACTS["employee"].fixed_point).withColumns(
         {
-            "id": surrogate_key(F.col("client_employee_id"), salt=salt),
-            "organization_id": organization_key(F.col("organization_code"), salt),
-            "department_id": department_key(
-                F.col("organization_code"), F.col("department_code"), salt
-            ),
             "is_per_deim": parse_bool("is_per_deim"),
             "active_status": parse_bool("active_status"),
             "created_at": timestamp(now),
             "updated_at": timestamp(now),
         }
     )
+    if keys is None:
+        typed = typed.withColumns(
+            {
+                "id": surrogate_key(F.col("client_employee_id"), salt=salt),
+                "organization_id": organization_key(F.col("organization_code"), salt),
+                "department_id": department_key(F.col("organization_code"), F.col("department_code"), salt),
+            }
+        )
+    else:
+        typed = _with_ids(typed, keys)
     return typed.select(*TABLES["silver", "employee"].names)
 
 
+def _with_ids(typed: DataFrame, keys: Keys) -> DataFrame:
+    """Ids of a row, its organization and its department; rows without a key meet nothing, and are spread."""
+    looked_up = {
+        "organization_id": (keys.organization, {"code": "organization_code"}),
+        "department_id": (keys.department, {"organization_code": "organization_code", "code": "department_code"}),
+        "id": (keys.employee, {"client_employee_id": "client_employee_id"}),
+    }
+    for name, (ids, columns) in looked_up.items():
+        other = ids.select(F.col("id").alias("_id"), *(F.col(c).alias(f"_{c}") for c in columns))
+        spread = F.xxhash64("client_employee_id", "first_name", "last_name")
+        met = [spread_nulls(F.col(mine), spread) == F.col(f"_{c}") for c, mine in columns.items()]
+        typed = typed.join(other, met, "left").withColumn(name, F.col("_id")).drop(*other.columns)
+    return typed
+
+
 def resolve_managers(employee: DataFrame) -> DataFrame:
     """Keep a manager id only where it is the id of an existing employee.
 

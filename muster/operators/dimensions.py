@@ -1,10 +1,9 @@
 """Organization and department dimensions.
 
-A surrogate key is the 64-bit hash of the business key, so fact rows compute
-their foreign key in place: there is no lookup join and no numbering of a whole
-table in one task, and keys stay the same from run to run. The unique rule on
-``id`` in the table contract exposes two business keys with one hash; a run with
-another ``salt`` then gives all keys anew.
+The job looks up the ids of business keys in stored tables (see ``numbering``). Without such tables an id
+is a 64-bit hash of the business key: it needs no lookup and stays the same from run to run. The
+unique rule on ``id`` in the table contract exposes two business keys with one hash; another ``salt`` then
+gives all keys anew.
 """
 
 from __future__ import annotations
@@ -58,28 +57,44 @@ def _first_name(name: str) -> Column:
     return F.min_by(F.col(name), F.struct("source_file", "client_employee_id", name))
 
 
-def organizations(raw_employee: DataFrame, salt: int = 0) -> DataFrame:
-    """One row per organization code; the first name wins."""
-    return (
+def organizations(raw_employee: DataFrame, salt: int = 0, ids: DataFrame | None = None) -> DataFrame:
+    """One row per organization code; the first name wins. ``ids`` has (id, code) of each."""
+    found = (
         _members(raw_employee)
         .filter(F.col("organization_code").isNotNull())
         .groupBy(F.col("organization_code").alias("code"))
         .agg(_first_name("organization_name").alias("name"))
-        .select(organization_key(F.col("code"), salt).alias("id"), "code", "name")
     )
+    if ids is not None:
+        return found.join(ids, "code").select("id", "code", "name")
+    return found.select(organization_key(F.col("code"), salt).alias("id"), "code", "name")
 
 
-def departments(raw_employee: DataFrame, salt: int = 0) -> DataFrame:
-    """One row per department code and organization; the first name wins."""
-    return (
+def departments(
+    raw_employee: DataFrame,
+    salt: int = 0,
+    ids: DataFrame | None = None,
+    organization_ids: DataFrame | None = None,
+) -> DataFrame:
+    """One row per department code and organization; the first name wins.
+
+    ``ids`` has (id, organization_code, code) of each, ``organization_ids`` (id, code).
+    """
+    found = (
         _members(raw_employee)
         .filter(F.col("department_code").isNotNull())
         .groupBy("organization_code", F.col("department_code").alias("code"))
         .agg(_first_name("department_name").alias("name"))
-        .select(
-            department_key(F.col("organization_code"), F.col("code"), salt).alias("id"),
-            "code",
-            "name",
-            organization_key(F.col("organization_code"), salt).alias("organization_id"),
+    )
+    if ids is not None:
+        organization = organization_ids.select(
+            F.col("code").alias("organization_code"), F.col("id").alias("organization_id")
         )
+        joined = found.join(ids, ["organization_code", "code"]).join(organization, "organization_code")
+        return joined.select("id", "code", "name", "organization_id")
+    return found.select(
+        department_key(F.col("organization_code"), F.col("code"), salt).alias("id"),
+        "code",
+        "name",
+        organization_key(F.col("organization_code"), salt).alias("organization_id"),
     )

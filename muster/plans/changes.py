@@ -11,6 +11,7 @@ from muster.config import Config
 from muster.operators import changes as operators
 from muster.operators.conform import timestamp
 from muster.operators.contracts import table_violations
+from muster.operators.numbering import new_ids
 from muster.plans.refresh import enforce
 from muster.schemas import CONTRACTS, TABLES
 from muster.sources.tables import Warehouse
@@ -21,7 +22,7 @@ INSERT, UPDATE, TERMINATE = "insert", "update", "terminate"
 def _operation(name: str, config: Config, parents: dict) -> Callable[[DataFrame, DataFrame], operators.Applied]:
     return {
         INSERT: lambda staff, batch: operators.apply_employee_inserts(
-            staff, batch, config.run_at, parents, config.key_salt
+            staff, batch, config.run_at, parents, ids=parents["employee_key"]
         ),
         UPDATE: lambda staff, batch: operators.apply_employee_updates(staff, batch, config.run_at, parents),
         TERMINATE: lambda staff, batch: operators.apply_employee_terminations(
@@ -57,6 +58,11 @@ def store_changes(
         version = (ledger.agg(F.max("version")).first()[0] or 0) + 1
         before = run.read("silver", "employee")
         parents = {t: run.read("silver", t) for t in ("organization", "department")} | {"employee": before}
+        if operation == INSERT:
+            fresh = batch.select(F.col("client_employee_id").cast("string")).dropna().distinct()
+            known = run.read("silver", "employee_key").unionByName(before.select("id", "client_employee_id"))
+            run.append("silver", "employee_key", new_ids(known, fresh))
+        parents["employee_key"] = run.read("silver", "employee_key")
         key = "client_employee_id" if operation == INSERT else "id"
         named = before.join(batch.select(key).distinct(), key, "left_semi").select(before.columns)
         applied = _operation(operation, config, parents)(named, batch)
@@ -86,6 +92,7 @@ def _violations(run: Warehouse, version: int, parents: dict[str, DataFrame]) ->
     for more in near[1:]:
         rows = rows.unionAll(more)
     tables = {**parents, "employee": after, "changed employee": rows.distinct()}
+    del tables["employee_key"]
     return table_violations(tables, {"changed employee": CONTRACTS["employee"]})
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
@@ -22,6 +23,7 @@ from muster.operators.conform import (
 )
 from muster.operators.contracts import table_violations
 from muster.operators.dimensions import departments, organizations
+from muster.operators.numbering import Keys, assign_ids, business_keys
 from muster.operators.quality import quality_checks
 from muster.plans.gold import gold_table
 from muster.schemas import BRONZE_CONTRACTS, CONTRACTS, GOLD_CONTRACTS, GOLD_TABLES
@@ -89,13 +91,20 @@ def transform(warehouse: Warehouse, config: Config) -> tuple[dict[str, int], dic
     were too large for their columns.
     """
     raw_employee = warehouse.read("bronze", "raw_employee")
-    warehouse.write("silver", "organization", organizations(raw_employee, config.key_salt))
-    warehouse.write("silver", "department", departments(raw_employee, config.key_salt))
+    named = business_keys(raw_employee)
+    assign_ids(partial(warehouse.read, "silver"), partial(warehouse.append, "silver"), named)
+    keys = Keys(*(warehouse.read("silver", table) for table in named))
+    warehouse.write("silver", "organization", organizations(raw_employee, ids=keys.organization))
+    warehouse.write(
+        "silver",
+        "department",
+        departments(raw_employee, ids=keys.department, organization_ids=keys.organization),
+    )
     losses = {"employee": Observation(), "timesheet": Observation()}
     employees = warehouse.write(
         "silver",
         "employee",
-        conform_employees(raw_employee, config.run_at, losses["employee"], config.key_salt),
+        conform_employees(raw_employee, config.run_at, losses["employee"], keys=keys),
     )
     employee = warehouse.read("silver", "employee")
     ids = _kept(warehouse, "employee_id", employee.select("client_employee_id").distinct())

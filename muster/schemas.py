@@ -117,6 +117,13 @@ TABLES: dict[tuple[str, str], T.StructType] = {
     ),
 }
 
+# The ids that business keys have been given.
+TABLES |= {
+    ("silver", "organization_key"): _table(id="long", code="string"),
+    ("silver", "department_key"): _table(id="long", organization_code="string", code="string"),
+    ("silver", "employee_key"): _table(id="long", client_employee_id="string"),
+}
+
 # Versions of single employees that batches of changes have made since the table was written.
 TABLES["silver", "employee_change"] = T.StructType(
     [T.StructField("version", T.LongType()), *TABLES["silver", "employee"].fields]

@@ -485,6 +485,16 @@ select c_custkey, as_double, case when abs(h) < 100000 then cast(h as double) /
 from events""",
         "attendance_flags": f"""with {_SHIFTS}
 select event_id, {_flags("planned_start", "planned_end", "punch_in", "punch_out")} from shifts""",
+        "dense_keys": f"""with {_RAW_EMPLOYEE}, keys as (
+  select 'organization_key' as table_name, organization_code as one, '' as two, min(c_custkey) as seen
+  from coded where organization_code is not null group by organization_code
+  union all
+  select 'department_key', organization_code, department_code, min(c_custkey) from coded
+  where organization_code is not null and department_code is not null group by organization_code, department_code
+  union all
+  select 'employee_key', client_employee_id, '', min(c_custkey) from coded group by client_employee_id)
+select table_name, case when two = '' then one else one || '|' || two end as business_key,
+  row_number() over (partition by table_name order by seen >= 100, one, two) as id from keys""",
         "dim_organization": f"with {_RAW_EMPLOYEE} select code, name from organization",
         "dim_department": f"with {_RAW_EMPLOYEE} select organization_code, code, name from department",
         "silver_employee": f"{_SILVER_EMPLOYEE} select * from silver_employee",

@@ -24,7 +24,7 @@ from muster.functions.text import (
     parse_double,
     strip,
 )
-from muster.operators import changes, conform, contracts, dimensions, quality, reads
+from muster.operators import changes, conform, contracts, dimensions, numbering, quality, reads
 from muster.plans import feeds, gold, kpi, refresh
 from muster.plans.changes import store_changes
 from muster.schemas import CONTRACTS, GOLD_TABLES, TABLES
@@ -299,13 +299,39 @@ def dim_organization(v: Views) -> DataFrame:
     return dimensions.organizations(v.raw_employee).select("code", "name")
 
 
+def _keys(v: Views) -> numbering.Keys:
+    """Ids of all business keys, as in a warehouse that is new."""
+    found = (
+        numbering.new_ids(v.spark.createDataFrame([], TABLES["silver", table]), rows)
+        for table, rows in numbering.business_keys(v.raw_employee).items()
+    )
+    return numbering.Keys(*found)
+
+
+@_query
+def dense_keys(v: Views) -> DataFrame:
+    """Ids of the business keys of two loads: the second, all employees, goes on where the first ends."""
+    first = numbering.business_keys(v.raw_employee.filter("id < 100"))
+    second = numbering.business_keys(v.raw_employee)
+    parts = []
+    for table, rows in second.items():
+        known = numbering.new_ids(v.spark.createDataFrame([], TABLES["silver", table]), first[table])
+        known = known.unionByName(numbering.new_ids(known, rows))
+        keys = F.concat_ws("|", *rows.columns)
+        parts.append(known.select(F.lit(table).alias("table_name"), keys.alias("business_key"), "id"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @_query
 def dim_department(v: Views) -> DataFrame:
     """Departments with the organization their key leads to."""
-    organization = dimensions.organizations(v.raw_employee).select(
+    keys = _keys(v)
+    organization = dimensions.organizations(v.raw_employee, ids=keys.organization).select(
         F.col("id").alias("organization_id"), F.col("code").alias("organization_code")
     )
-    departments = dimensions.departments(v.raw_employee)
+    departments = dimensions.departments(
+        v.raw_employee, ids=keys.department, organization_ids=keys.organization
+    )
     return departments.join(organization, "organization_id", "left").select(
         "organization_code", "code", "name"
     )
@@ -314,11 +340,14 @@ def dim_department(v: Views) -> DataFrame:
 @_query
 def silver_employee(v: Views) -> DataFrame:
     """Conformed employees with the dimension names their keys lead to."""
-    employee = conform.conform_employees(v.raw_employee, RUN_AT)
-    organization = dimensions.organizations(v.raw_employee).select(
+    keys = _keys(v)
+    employee = conform.conform_employees(v.raw_employee, RUN_AT, keys=keys)
+    organization = dimensions.organizations(v.raw_employee, ids=keys.organization).select(
         F.col("id").alias("organization_id"), F.col("name").alias("organization_name")
     )
-    department = dimensions.departments(v.raw_employee).select(
+    department = dimensions.departments(
+        v.raw_employee, ids=keys.department, organization_ids=keys.organization
+    ).select(
         F.col("id").alias("department_id"), F.col("name").alias("department_name")
     )
     return (
