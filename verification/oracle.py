@@ -530,6 +530,18 @@ select id, client_employee_id, cast(hours as varchar) as hours_worked, source_fi
         "timesheet_by_id": f"with {_TIMESHEET} {_TIMESHEET_ROW} where id = 42",
         "timesheets_filter": f"""with {_TIMESHEET} {_TIMESHEET_ROW}
 where punch_apply_date between date '2024-01-08' and date '2024-01-21'""",
+        "timesheet_pages": f"""with {_TIMESHEET}, placed as (
+  select id, row_number() over (order by punch_apply_date, id) - 1 as n from timesheet
+  where punch_apply_date between date '2024-01-08' and date '2024-01-21')
+select cast(n // 500 + 1 as integer) as page, cast(n % 500 + 1 as integer) as place, id from placed""",
+        "active_in_months": f"""with {_EMPLOYEE}, months as (
+  select cast(b as date) as lo, last_day(cast(b as date)) as hi
+  from range(date '1992-01-01', date '2002-01-01', interval 1 month) m(b)
+), active as (
+  select client_employee_id, hire_date, least(coalesce(term_date - 1, date '2002-01-01'), date '2002-01-01') as last
+  from employee)
+select lo as begin, hi as end, client_employee_id, greatest(lo, hire_date) as first_day, least(hi, last) as last_day
+from months join active on hire_date <= hi and lo <= last and hire_date <= last""",
         "timesheets_of_employee": f"""with {_TIMESHEET} {_TIMESHEET_ROW}
 where client_employee_id = '2' and punch_apply_date >= date '2024-01-08'""",
         "apply_employee_inserts": f"""{_INSERTS}

@@ -24,7 +24,7 @@ from muster.functions.text import (
     parse_double,
     strip,
 )
-from muster.operators import changes, conform, contracts, dimensions, numbering, quality, reads
+from muster.operators import changes, conform, contracts, dimensions, intervals, numbering, quality, reads
 from muster.plans import feeds, gold, kpi, refresh
 from muster.plans.changes import store_changes
 from muster.schemas import CONTRACTS, GOLD_TABLES, TABLES
@@ -497,6 +497,27 @@ def timesheets_of_employee(v: Views) -> DataFrame:
     return _timesheet_row(listing.items)
 
 
+@_query
+def timesheet_pages(v: Views) -> DataFrame:
+    """All shifts of a period, page by page: each row with its page and place."""
+    shifts = reads.list_timesheets(v.timesheet, None, *PERIOD).items
+    parts = []
+    for number, page in enumerate(reads.timesheet_pages(shifts, 500), 1):
+        rows = [(number, place, r.id) for place, r in enumerate(page.items, 1)]
+        parts.append(v.spark.createDataFrame(rows, "page int, place int, id long"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@_query
+def active_in_months(v: Views) -> DataFrame:
+    """Who was active in which month of the calendar, and on which days of it."""
+    months = v.spark.range(120).select(
+        F.add_months(F.lit("1992-01-01").cast("date"), F.col("id").cast("int")).alias("begin")
+    )
+    periods = months.select("begin", F.last_day("begin").alias("end"))
+    return intervals.active_in_periods(v.employee, periods, AS_OF)
+
+
 # Changes
 
 
