@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from muster.llm.tables import table
+from muster.llm.tables import stored, table
 from muster.llm.words import mix
-from muster.llm.workers import parts
+from muster.llm.workers import parts, worker_held
 
 Q = 10
-# Items are looked for in segments of so many characters, each new one halfway through the last.
-SEGMENT = 96
+# Items are looked for in segments of so many characters, one every few characters: a quote of
+# SEGMENT + STRIDE - 1 characters holds a whole segment, wherever it begins.
+SEGMENT, STRIDE = 64, 12
 # Edits that a segment may have, in percent of its characters.
 EDIT_PERCENT = 8
 # Characters of an item that are found wherever they are quoted without an edit.
@@ -83,7 +84,7 @@ class Benchmark:
                     self.short.setdefault(normalise(texts[i]), []).append(i)
                 continue
             size = min(SEGMENT, len(codes))
-            starts = sorted({*range(0, len(codes) - size + 1, SEGMENT // 2), len(codes) - size})
+            starts = sorted({*range(0, len(codes) - size + 1, STRIDE), len(codes) - size})
             segments += [(i, s, size) for s in starts]
             found = qgrams(codes, Q)
             grams.append(found)
@@ -252,20 +253,23 @@ def with_matches(
     """``document`` (the row as a struct) and ``matches``: items found in it.
 
     Texts are compared as lower-cased words with one space between them. An item is looked for in
-    segments of 96 characters that overlap by half (a shorter item is one segment), each with up to 8 %
-    of its characters edited; a match counts its ``segments``, and has the ``edits`` and the normalised
+    segments of 64 characters, one every 12 (a shorter item is one segment), each with up to 8 %
+    of its characters edited: so quotes of 75 characters are found at any place, if 64 of them keep to that. A match counts its ``segments``, and has the ``edits`` and the normalised
     ``place`` of its best one. Besides, 50 or more characters of an item are found wherever they are
     quoted without an edit; where such a quote holds no segment, the match has 0 ``segments``, 0
     ``edits`` and the place where the first quote begins.
 
-    Documents are read once and not shuffled. The items are broadcast in blocks of bounded size; a
-    larger benchmark makes more blocks, which pass over each text one after the other.
+    Documents are not shuffled. The items are broadcast in blocks of bounded size, one after the other: the
+    driver and the workers hold one block. A benchmark of one block is one pass over the documents; each
+    further block reads them again, with the matches so far, from a stored table. Very long texts are
+    looked through whole.
 
     An item of fewer than 24 normalised characters is found where it is, without edits, a whole text, line
     or sentence, or several in a row; it counts as one segment.
 
-    Null or empty document: no match. Null item, or one without words: not looked for. Repeated items: each is found. Empty tables: no rows, or no matches. Extra columns stay
-    inside ``document``, whatever their names.
+    Null or empty document: no match. Null item, or one without words: not looked for. Repeated items: each
+    is found. Empty tables: no rows, or no matches. Extra columns stay inside ``document``, whatever their
+    names.
     """
     kind = benchmark.schema[item].dataType
     context = documents.sparkSession.sparkContext
@@ -274,19 +278,33 @@ def with_matches(
 
     def finder(block: DataFrame):
         rows = block.select(F.col(item).alias("i"), F.coalesce(item_text, F.lit("")).alias("t")).collect()
-        names, sent = [r["i"] for r in rows], context.broadcast([r["t"] for r in rows])
+        sent = context.broadcast((uuid.uuid4().hex, [r["i"] for r in rows], [r["t"] for r in rows]))
 
         @F.arrow_udf(schema)
         def matches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            known = Benchmark(sent.value)
+            number, names, texts = sent.value
+            held = worker_held("benchmark", dict)
+            if number not in held:
+                held.clear()
+                held[number] = Benchmark(texts)
             for batch in batches:
-                yield pa.concat_arrays([_found(p, known, names, fields) for p in parts(batch, 1 << 20)])
+                yield pa.concat_arrays([_found(p, held[number], names, fields) for p in parts(batch, 1 << 20)])
 
-        return matches
+        return matches, sent
 
-    given = F.coalesce(F.col(text), F.lit(""))
-    found = [finder(b)(given) for b in _blocks(benchmark, item_text, block_chars)]
-    return documents.select(F.struct("*").alias("document"), reduce(F.concat, found).alias("matches"))
+    found = documents.select(
+        F.struct("*").alias("document"), F.coalesce(F.col(text), F.lit("")).alias("_text"),
+        F.array().cast(schema).alias("matches"),
+    )
+    blocks = _blocks(benchmark, item_text, block_chars)
+    for block in blocks:
+        matches, sent = finder(block)
+        new = matches("_text")
+        found = found.withColumn("matches", new if block is blocks[0] else F.concat("matches", new))
+        if block is not blocks[-1]:
+            found = stored(found, "decontaminated")
+            sent.destroy()
+    return found.select("document", "matches")
 
 
 def _found(texts: pa.Array, known: Benchmark, names: list, fields: list) -> pa.Array:
@@ -327,6 +345,10 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pipeline stage: the documents that hold no benchmark item, unchanged."""
+    """Pipeline stage: the documents that hold no benchmark item, unchanged.
+
+    Null and empty texts hold none. Repeated rows are judged alike. Empty table: no rows. Extra columns
+    stay as they are, whatever their names.
+    """
     found = with_matches(docs, table(spark, folder, "benchmark"))
     return found.filter(F.size("matches") == 0).select("document.*")

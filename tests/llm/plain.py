@@ -188,8 +188,8 @@ def segments(text):
     n = len(text)
     if n < 24:
         return []
-    size = min(96, n)
-    starts = sorted({*range(0, n - size + 1, 48), n - size})
+    size = min(64, n)
+    starts = sorted({*range(0, n - size + 1, 12), n - size})
     return [(s, size, max(0, min(size * 8 // 100, (size - 10) // 10))) for s in starts]
 
 
