@@ -19,8 +19,8 @@ from muster.llm.tables import table
 from muster.llm.workers import parts, worker_held
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-# Pre-tokens that a worker keeps, about 350 bytes each.
-CACHED = 300_000
+# Bytes of the pre-tokens that a worker keeps.
+CACHED = 72 << 20
 BPE, NORMAL, UNKNOWN = 2, 1, 2
 
 

@@ -77,8 +77,13 @@ def splitter(pattern: str) -> Callable[[str], Iterator[list[str]]]:
     return split
 
 
+def weight(text: str) -> int:
+    """About the bytes that a pre-token and what it maps to take in a cache."""
+    return 200 + 6 * len(text)
+
+
 class Bounded(dict):
-    """Cache of what pre-tokens map to: a fixed first tier, and misses up to a number of entries.
+    """Cache of what pre-tokens map to: a fixed first tier, and misses up to about ``limit`` bytes.
 
     Misses are held in two generations. When the young one is full it becomes the old one, and what is
     asked for again moves on from there without being encoded anew. Results don't depend on its state.
@@ -86,17 +91,20 @@ class Bounded(dict):
 
     def __init__(self, first: dict, limit: int):
         super().__init__(first)
-        self.first, self.limit, self.old = first, limit, {}
+        self.first, self.limit, self.old, self.held = first, limit, {}, 0
 
     def learn(self, lists: list[list[str]], encode: Callable[[list[str]], list]) -> None:
         """Makes sure that all pre-tokens of ``lists`` are held, encoding the misses in one call."""
         asked = set().union(*lists)
         missing = asked.difference(self)
-        if len(self) - len(self.first) + len(missing) > self.limit // 2:
+        more = sum(map(weight, missing))
+        if self.held + more > self.limit // 2:
             self.old = dict(self)
             self.clear()
             self.update(self.first)
             missing = asked.difference(self)
+            self.held, more = 0, sum(map(weight, missing))
+        self.held += more
         known = missing & self.old.keys()
         self.update((t, self.old[t]) for t in known)
         new = list(missing - known)

@@ -43,7 +43,7 @@ def shard(documents: DataFrame, shards: int = SHARDS, partitions: int | None = N
     all bytes are cut into ``shards`` equal pieces: shards are contiguous in ``doc_id`` and differ in
     size from the target by at most one document. ``slot`` numbers the documents of a shard from 0.
 
-    Only (doc_id, size, checksum) is shuffled. The rows are ranged once and stored with the number of
+    Only (doc_id, size, checksum, place of the row) is shuffled. The rows are ranged once and stored with the number of
     their range partition, so that totals and running sums see the same partitions; the totals, one
     row per range partition, and the first positions, one row per shard, are broadcast.
 
@@ -52,13 +52,15 @@ def shard(documents: DataFrame, shards: int = SHARDS, partitions: int | None = N
     read, whatever their names.
     """
     spark = documents.sparkSession
-    order = ["doc_id", "text_crc32", "size"]
+    # Rows equal in all that counts are told apart by their place, so that ranges can part them.
+    order = ["doc_id", "text_crc32", "size", "place"]
     count = partitions or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     slim = documents.select(
         F.col("doc_id"),
         (F.length(text).cast("long") + ROW_OVERHEAD).alias("size"),
         F.crc32(text).alias("text_crc32"),
+        F.monotonically_increasing_id().alias("place"),
     )
     ranged = stored(
         slim.repartitionByRange(count, *order).select("*", F.spark_partition_id().alias("part")),

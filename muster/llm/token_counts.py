@@ -21,8 +21,8 @@ from muster.llm.workers import parts, worker_held
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 MAX_TOKENS = 1024
-# Misses that a worker keeps, about 150 bytes each.
-CACHED = 400_000
+# Bytes of the misses that a worker keeps.
+CACHED = 100 << 20
 
 
 def _special(model: dict) -> list[str]:

@@ -40,13 +40,16 @@ def split_rule(rule: str) -> tuple[list[str], list[str], str]:
 def build_trie(rules: list[tuple[str, str]]) -> Node:
     """Nested (children, entries); below the host labels hang the path segments, under a None edge.
 
-    An entry is (start of the next segment, rule, verdict). Of equal rules a block wins.
+    An entry is (start of the next segment, rule, verdict). Of rules with one host and path, whatever the
+    case of their hosts, a block wins, then the rule that is last in order.
     """
     root: Node = ({}, [])
-    best: dict[str, str] = {}
+    best: dict[tuple[str, str], tuple[str, str]] = {}
     for verdict, rule in rules:
-        best[rule] = "block" if "block" in (verdict, best.get(rule)) else verdict
-    for rule, verdict in sorted(best.items()):
+        host, slash, path = rule.partition("/")
+        same = host.translate(str.maketrans(UPPER, LOWER)), slash + path
+        best[same] = max((verdict, rule), best.get(same, ("", "")))
+    for verdict, rule in sorted(best.values()):
         labels, segments, start = split_rule(rule)
         node = root
         for edge in (*labels, None, *segments):
@@ -105,7 +108,8 @@ def _by_join(rows: DataFrame, rules: DataFrame) -> DataFrame:
         "rule",
         F.translate(F.substring_index("rule", "/", 1), UPPER, LOWER).alias("suffix"),
         F.expr("substring(rule, length(substring_index(rule, '/', 1)) + 1)").alias("prefix"),
-    ).groupBy("suffix", "prefix").agg(F.max_by("rule", "verdict").alias("rule"), F.max("verdict").alias("verdict"))
+    ).groupBy("suffix", "prefix").agg(F.max(F.struct("verdict", "rule")).alias("best"))
+    entries = entries.select("suffix", "prefix", "best.rule", "best.verdict")
     keyed = entries.withColumn(
         "folder", F.expr("substring(prefix, 1, length(prefix) - length(substring_index(prefix, '/', -1)))")
     )

@@ -223,9 +223,9 @@ def test_every_letter_and_number_encodes_as_in_the_library():
 
 
 def test_cache_that_overflows_gives_the_same():
-    from muster.llm.pretokens import Bounded
+    from muster.llm.pretokens import Bounded, weight
 
-    cache = Bounded({"a": 1}, 2)
+    cache = Bounded({"a": 1}, 2 * weight("b"))
     for token in "abcdefab":
         cache.learn([[token]], lambda new: [len(t) for t in new])
         assert cache[token] == 1 and len(cache) <= 3
@@ -246,7 +246,7 @@ def test_cache_that_turns_over_between_short_and_long_texts(spark, monkeypatch,
 
     for module in (pretokens, byte_bpe):
         monkeypatch.setattr(module, "CHUNK", 50)
-    monkeypatch.setattr(byte_bpe, "CACHED", 40)
+    monkeypatch.setattr(byte_bpe, "CACHED", 40 * pretokens.weight("word"))
     # A file of its own name has a cache of its own in the workers.
     own = tmp_path / "ranks.tiktoken"
     own.write_bytes(open(byte_bpe.VOCABULARY, "rb").read())
@@ -328,3 +328,14 @@ def test_forest_spans_what_the_links_span(density):
         return {frozenset(g) for g in found.values()}
 
     assert groups(zip(one.tolist(), two.tolist())) == groups(np.argwhere(near).tolist())
+
+
+def test_cache_is_bounded_by_bytes():
+    from muster.llm.pretokens import Bounded, weight
+
+    cache = Bounded({}, 100_000)
+    for n in range(50):
+        words = [f"{n} {k} " + "long " * 400 for k in range(3)]
+        cache.learn([words], lambda new: list(map(len, new)))
+        assert all(cache[w] == len(w) for w in words)
+        assert sum(map(weight, {**cache, **cache.old})) <= 100_000 + 3 * weight(words[0])

@@ -43,7 +43,7 @@ URLS = [
 ]
 RULES = [
     ("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"),
-    ("block", "x.org/f"), ("allow", "x.org/fra"), ("block", "a.b.example.net/en/x"), ("allow", "net/"), ("allow", "com"),
+    ("block", "NET/x"), ("allow", "net/x"), ("block", "x.org/f"), ("allow", "x.org/fra"), ("block", "a.b.example.net/en/x"), ("allow", "net/"), ("allow", "com"),
 ]
 
 
@@ -56,10 +56,10 @@ def judged(url, rules):
     best = (-1, -1, None, None)
     for verdict, rule in rules:
         h, slash, p = rule.partition("/")
-        p = slash + p
+        h, p = h.translate(plain.LOWER), slash + p
         if (host == h or host.endswith("." + h)) and path.startswith(p):
-            best = max(best, (h.count("."), len(p), rule, verdict))
-    return host, path, best[2], best[3] or "allow"
+            best = max(best, (h.count("."), len(p), verdict, rule))
+    return host, path, best[3], best[2] or "allow"
 
 
 @pytest.fixture
