@@ -30,9 +30,9 @@ def numbered(rows: DataFrame, *order: str, start: int = 0) -> DataFrame:
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     begins = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_begin"))
-    # As many rows as the shuffle has partitions.
+    # As many rows as the shuffle has partitions; no range is larger than a task can hold.
     number = F.lit(start) + F.col("_begin") + F.col("_place") + 1
-    return dealt.join(F.broadcast(begins), "_range").select(*rows.columns, number.alias("number"))
+    return dealt.join(begins, "_range").select(*rows.columns, number.alias("number"))
 
 
 @dataclass(frozen=True)

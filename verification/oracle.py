@@ -679,6 +679,7 @@ spans as (select min(hire_date) as lo, date '2002-01-01' as hi from hired)"""
         "gold.kpi_early_attrition": "select count(distinct coalesce(department_name, '?')) from hired",
     }
     counts |= {"bronze.malformed_line": "0"}
+    counts |= {f"silver.{t}_key": counts[f"silver.{t}"] for t in ("organization", "department", "employee")}
     counts |= {t.replace("gold.", "export."): count for t, count in counts.items() if t.startswith("gold.")}
     hours = "select sum(cast(round(hours * 100) as bigint)) from known where accepted and hours is not null"
     late = _flags("planned_start", "planned_end", "punch_in", "punch_out")
