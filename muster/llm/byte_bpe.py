@@ -185,6 +185,10 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pipeline stage, the last: documents with their number of tokens and the digests."""
+    """Pipeline stage, the last: documents with their number of tokens and the digests.
+
+    Null text: no tokens, as an empty one. Repeated rows give equal rows. Very long texts are encoded whole, in
+    steps. Empty table: no rows. Extra columns stay as they are.
+    """
     found = _encoded(docs, VOCABULARY, "text", with_ids=False)
     return found.select("document.*", "bpe.n_tokens", "bpe.ids_sha256", "bpe.decoded_sha256")

@@ -49,7 +49,7 @@ def format_chats(turns: DataFrame, foreign: tuple[str, ...] = FOREIGN) -> DataFr
     hold exactly the escaped texts of assistant turns.
 
     Null role or text: empty. Repeated turns stay, each as its own. Rows of a null ``conv_id`` are one
-    conversation. Empty table: no rows. Extra columns are not read. A conversation is one value of the
+    conversation. Very long texts are formatted whole. Empty table: no rows. Extra columns are not read. A conversation is one value of the
     output, so one task holds it: that is the bound on a group here.
     """
     marks = (OPEN, SAY, NEXT, CLOSE, *foreign)

@@ -47,7 +47,8 @@ def dedup_lines(
     dropped digests is at most as long as the document, and texts are reassembled by position.
 
     Null or empty text: one empty line, kept. Repeated rows of a key count as one document and are cut
-    alike. Rows without key count as one document, which is never the largest. Empty table: no rows.
+    alike. Rows without key count as one document, which is never the largest. Very long texts and lines are
+    taken whole, a text by one worker. Empty table: no rows.
     Extra columns stay inside ``document``, whatever their names.
     """
     given = documents.select(
@@ -111,7 +112,11 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pipeline stage: all documents with their shared lines dropped and ``n_chars`` counted anew."""
+    """Pipeline stage: all documents with their shared lines dropped and ``n_chars`` counted anew.
+
+    Null text becomes an empty one. Repeated rows are cut alike, very long texts whole. Empty table: no rows.
+    Extra columns stay as they are, whatever their names.
+    """
     cut = dedup_lines(docs)
     new = {"text": F.col("lines.kept"), "n_chars": F.length("lines.kept").cast(docs.schema["n_chars"].dataType)}
     return cut.select(*(new.get(c, F.col(f"document.`{c}`")).alias(c) for c in docs.columns))

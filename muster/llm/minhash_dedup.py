@@ -299,7 +299,8 @@ def near_duplicates(
 
     Null or empty text, or white space only: empty set, linked with nothing. Rows without key are
     linked with nothing: no component, kept. Repeated rows of a key fall into one class; if rows of one
-    key differ in text, one of them is compared and the others have only their copies. Empty table: no
+    key differ in text, one of them is compared and the others have only their copies. Very long texts are
+    compared whole, and a word of any length is one word. Empty table: no
     rows. Extra columns are not read.
     """
     profiles = stored(_profiles(documents, words, bands, rows, text, key), "minhash-profiles")

@@ -155,7 +155,7 @@ def with_quality(documents: DataFrame, text: str = "text") -> DataFrame:
     is null if no passing document votes alike. The posteriors, one row per pattern of votes
     (3 ** rules at most), are broadcast; documents are read twice and never shuffled.
 
-    Null or empty text: no words, base failed. Empty table: no rows. Repeated rows: each is judged
+    Null or empty text: no words, base failed. Very long texts are judged whole. Empty table: no rows. Repeated rows: each is judged
     alike. Extra columns stay inside ``document``, whatever their names.
     """
     rows = documents.select(F.struct("*").alias("document"), F.col(text).alias("_text"))

@@ -47,7 +47,8 @@ def shard(documents: DataFrame, shards: int = SHARDS, partitions: int | None = N
     their range partition, so that totals and running sums see the same partitions; the totals, one
     row per range partition, and the first positions, one row per shard, are broadcast.
 
-    Null text: no bytes (size 8) and checksum 0. Empty table: no rows. Repeated rows: each gets its
+    Null text: no bytes (size 8) and checksum 0. A very long text is one document of its size, and may make
+    its shard larger than the target. Empty table: no rows. Repeated rows: each gets its
     own slot. A shard stays empty if no document's middle byte falls into it. Extra columns are not
     read, whatever their names.
     """

@@ -154,7 +154,8 @@ def filter_urls(
     ``max_broadcast`` entries; a larger table of rules is matched by equi-joins instead.
 
     Null URL or one without ``://``: host and path empty, default verdict. Repeated rows: each is
-    judged. Empty table: no rows. Extra columns stay inside ``page``, whatever their names.
+    judged. Very long URLs are judged whole. Empty table: no rows. Extra columns stay inside ``page``,
+    whatever their names.
     """
     rows = _judged(urls, url)
     if isinstance(rules, DataFrame):
