@@ -294,7 +294,8 @@ class Transaction(Warehouse):
     def append(self, layer: str, table: str, df: DataFrame) -> int:
         folder, rows = self._store(layer, table, df)
         name = f"{layer}/{table}"
-        self._after = {**self._after, name: [*self._after.get(name, []), folder]}
+        if rows or not self._after.get(name):
+            self._after = {**self._after, name: [*self._after.get(name, []), folder]}
         return rows
 
     def publish(self) -> None:
