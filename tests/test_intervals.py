@@ -88,3 +88,42 @@ def test_pages_join_to_the_whole(spark, table, settings):
     first = timesheet_page(df, 10)
     more = df.unionByName(df.limit(1).withColumn("id", F.lit(-1).cast("long")).withColumn("punch_apply_date", F.lit(dates[1])))
     assert timesheet_page(more, 10, first.after).items == timesheet_page(df, 10, first.after).items
+
+
+def _followed(df, size):
+    """Ids by page, as the cursors of single pages give them."""
+    page = timesheet_page(df, size)
+    found = [page.items]
+    while page.after:
+        page = timesheet_page(df, size, page.after)
+        found.append(page.items)
+    return [[(r.punch_apply_date, r.id) for r in items] for items in found if items]
+
+
+@pytest.mark.parametrize("size", [1, 3, 7])
+def test_pages_pass_over_what_cursors_pass_over(table, size):
+    """Repeated ids, and shifts without an id, across the ends of pages."""
+    draw = random.Random(size)
+    shifts = [
+        {"id": draw.choice([None, None, 1, 2, 3, 4, 5, 6]), "punch_apply_date": day(f"2024-01-0{draw.randint(1, 4)}")}
+        for _ in range(50)
+    ]
+    df = table("silver", "timesheet", *shifts)
+    expected = _followed(df, size)
+    pages = timesheet_pages(df, size)
+    assert [[(r.punch_apply_date, r.id) for r in p.items] for p in pages] == expected
+    placed = [(n, k, i) for n, items in enumerate(expected, 1) for k, (_, i) in enumerate(items, 1)]
+    assert sorted(map(tuple, pages.rows.select("page", "place", "shift.id").collect()), key=lambda r: r[:2]) == placed
+    assert sum(map(len, expected)) < len(shifts)
+
+
+def test_all_pages_take_no_job_per_page(spark, table):
+    df = table("silver", "timesheet", *({"id": i, "punch_apply_date": day("2024-01-01")} for i in range(200)))
+    context = spark.sparkContext
+    context.setJobGroup("pages", "all pages")
+    try:
+        pages = list(timesheet_pages(df, 1))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert [r.id for p in pages for r in p.items] == list(range(200))
+    assert 0 < len(context.statusTracker().getJobIdsForGroup("pages")) < 60
